@@ -26,14 +26,50 @@ from funnelwright.operators.model import (
     date_dimension,
     kpi_fact,
     kpi_fact_from_dimensions,
+    lead_contacts,
     leads_dimension,
     look_up,
     match_leads,
     places_dimension,
-    report_keys,
+    report_contacts,
     status_dimension,
 )
 from funnelwright.operators.profile import key_audit, key_multiplicity, null_counts, null_percentages
 from funnelwright.operators.union import union_all_by_name
 
-__all__ = [name for name in dir() if not name.startswith("_") and name not in ("cleaning", "joins", "metrics", "model", "profile", "union")]
+__all__ = [
+    "add_up",
+    "city_report",
+    "city_status_report",
+    "clean",
+    "conform",
+    "count_invalid",
+    "date_dimension",
+    "global_report",
+    "heavy_keys",
+    "invalid_values",
+    "key_audit",
+    "key_multiplicity",
+    "kpi_fact",
+    "kpi_fact_from_dimensions",
+    "lead_contacts",
+    "leads_dimension",
+    "left_join",
+    "look_up",
+    "match_leads",
+    "month_report",
+    "normalise_text",
+    "null_counts",
+    "null_percentages",
+    "null_sentinels",
+    "places_dimension",
+    "project_to_spec",
+    "report_contacts",
+    "status_dimension",
+    "status_report",
+    "tally",
+    "top_and_bottom",
+    "union_all_by_name",
+    "with_attributes",
+    "with_rates",
+]

@@ -53,6 +53,19 @@ def date_dimension(spark: SparkSession, first: str = FIRST_DATE, last: str = LAS
     )
 
 
+def lead_contacts(leads: DataFrame) -> DataFrame:
+    """Distinct (lead_uuid, email_hash, phone_hash) of the delivered leads."""
+    return leads.select("lead_uuid", *HASHES).distinct()
+
+
+def report_contacts(reports: DataFrame) -> DataFrame:
+    """Distinct (email_hash, phone_hash, lead_number) of the reports; rows that can match no lead are left out.
+
+    The same contact recurs in every snapshot. Its rows collapse to one per map task before they are shuffled.
+    """
+    return reports.select(*LEAD_KEY).filter(_present(HASHES)).distinct()
+
+
 def match_leads(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Each lead with every report row that has both its hashes; leads without a report stay, with NULLs.
 
@@ -61,26 +74,16 @@ def match_leads(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None =
     return left_join(leads, reports, HASHES, heavy, slice_by=("lead_number",))
 
 
-def leads_dimension(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def leads_dimension(contacts: DataFrame, reported: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Distinct (uuid, lead_number, phone_hash, email_hash) of the leads matched with the reports.
 
-    Both sides are made distinct before the join. Repeated snapshot rows then collapse before they are shuffled,
-    and the joined rows are distinct already.
+    Takes the :func:`lead_contacts` and the :func:`report_contacts`. As both are distinct, so are the joined rows,
+    and there is nothing left to do after the join, where the rows are most.
     """
-    matched = match_leads(delivered_leads(leads), report_keys(reports), heavy)
+    matched = match_leads(contacts, reported, heavy)
     return matched.select(F.col("lead_uuid").alias("uuid"), "lead_number", "phone_hash", "email_hash")
 
 
-def delivered_leads(leads: DataFrame) -> DataFrame:
-    """Distinct (lead_uuid, email_hash, phone_hash)."""
-    return leads.select("lead_uuid", *HASHES).distinct()
-
-
-def report_keys(reports: DataFrame) -> DataFrame:
-    """Distinct (email_hash, phone_hash, lead_number) of the reports; rows that can match no lead are left out."""
-    return reports.select(*LEAD_KEY).filter(_present(HASHES)).distinct()
-
-
 def places_dimension(reports: DataFrame, sep: str = "") -> DataFrame:
     return _keyed_members(reports, PLACE, sep)
 
@@ -91,7 +94,7 @@ def status_dimension(reports: DataFrame, sep: str = "") -> DataFrame:
 
 def kpi_fact(
     reports: DataFrame,
-    leads: DataFrame,
+    contacts: DataFrame,
     heavy: DataFrame | None = None,
     sep: str = "",
     first_date: str = FIRST_DATE,
@@ -99,20 +102,17 @@ def kpi_fact(
 ) -> DataFrame:
     """One row per report row and lead it belongs to, with the keys of its dimension members.
 
-    Gives what the joins in :func:`kpi_fact_from_dimensions` give for dimensions built from these reports, these
-    leads and this date range, with one join instead of four and without the dimension tables:
+    ``contacts`` are the :func:`lead_contacts`; ``heavy`` lists hash pairs that very many of them share, which are
+    then spread by lead. Gives what the joins in :func:`kpi_fact_from_dimensions` give for dimensions
+    built from these reports, these leads and this date range, with one join instead of four:
 
     * Places, statuses and dates have one member per combination of attributes, so a row's key follows from its
       own attributes: the member's UUID, or NULL where an attribute is NULL or the date is out of range. The fact
       rows need not be moved on keys of which a few hold most of the rows.
     * The leads dimension pairs every lead with all report numbers that carry its hashes. A row's own number is
       one of these, so a numbered row belongs to exactly the leads with its hashes.
-
-    ``heavy`` lists hash pairs shared by very many leads, which are then spread by lead.
     """
-    with_lead = left_join(
-        reports, delivered_leads(leads), HASHES, heavy, slice_by=("lead_uuid",), required=("lead_number",)
-    )
+    with_lead = left_join(reports, contacts, HASHES, heavy, slice_by=("lead_uuid",), required=("lead_number",))
     appointed = F.to_date("appt_date")
     in_range = appointed.between(F.lit(first_date).cast("date"), F.lit(last_date).cast("date"))
     keyed = with_lead.select(
@@ -150,10 +150,11 @@ def look_up(df: DataFrame, dimension: DataFrame, attributes: Sequence[str], key:
     """Add the UUID of the member with equal ``attributes`` as column ``key``; NULL where there is none.
 
     No broadcast is forced: Spark broadcasts the dimension if its measured size is below the threshold. Beyond it
-    the join shuffles, and rows with a NULL attribute or a frequent member do not gather in one task.
+    the join shuffles, and adaptive execution splits the partitions of frequent members and of NULL attributes.
+    Rows with NULLs are not set apart as in :func:`left_join`, which would double the plan with each lookup.
     """
     members = dimension.select(*attributes, F.col("uuid").alias(key))
-    return left_join(df, members, list(attributes))
+    return df.join(members, list(attributes), "left")
 
 
 def _as_fact(keyed: DataFrame, sep: str) -> DataFrame:

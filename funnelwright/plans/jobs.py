@@ -24,11 +24,11 @@ from funnelwright.operators.model import (
     HASHES,
     LAST_DATE,
     date_dimension,
-    delivered_leads,
     kpi_fact,
+    lead_contacts,
     leads_dimension,
     places_dimension,
-    report_keys,
+    report_contacts,
     status_dimension,
 )
 from funnelwright.sources.files import SOURCE_FILE, read_csv_folder, read_leads_folder, read_table, write_table
@@ -76,15 +76,19 @@ def ingest_reports(
 def build_model(
     spark: SparkSession, conformed: str, out: str, first_date: str = FIRST_DATE, last_date: str = LAST_DATE
 ) -> DataFrame:
-    """Tables ``leads`` and ``reports`` -> ``date``, ``leads``, ``places``, ``status``, ``kpi_calculation``."""
-    leads, reports = read_table(spark, conformed, "leads"), read_table(spark, conformed, "reports")
+    """Tables ``leads`` and ``reports`` -> ``date``, ``leads``, ``places``, ``status``, ``kpi_calculation``.
+
+    Two work tables, ``lead_contacts`` and ``report_contacts``, stay next to them.
+    """
+    reports = read_table(spark, conformed, "reports")
     write_table(date_dimension(spark, first_date, last_date), out, "date")
     write_table(places_dimension(reports), out, "places")
     write_table(status_dimension(reports), out, "status")
-    crowded_reports = heavy_keys(report_keys(reports), HASHES)
-    write_table(leads_dimension(leads, reports, crowded_reports), out, "leads")
-    crowded_leads = heavy_keys(delivered_leads(leads), HASHES)
-    fact = kpi_fact(reports, leads, crowded_leads, first_date=first_date, last_date=last_date)
+    # Stored, as each is read twice or more below.
+    contacts = write_table(lead_contacts(read_table(spark, conformed, "leads")), out, "lead_contacts")
+    reported = write_table(report_contacts(reports), out, "report_contacts")
+    write_table(leads_dimension(contacts, reported, heavy_keys(reported, HASHES)), out, "leads")
+    fact = kpi_fact(reports, contacts, heavy_keys(contacts, HASHES), first_date=first_date, last_date=last_date)
     return write_table(fact, out, "kpi_calculation")
 
 

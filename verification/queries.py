@@ -19,6 +19,7 @@ from funnelwright.operators import (
     key_multiplicity,
     kpi_fact,
     kpi_fact_from_dimensions,
+    lead_contacts,
     leads_dimension,
     match_leads,
     month_report,
@@ -27,15 +28,15 @@ from funnelwright.operators import (
     null_sentinels,
     places_dimension,
     project_to_spec,
-    report_keys,
+    report_contacts,
     status_dimension,
     status_report,
     tally,
     union_all_by_name,
 )
-from funnelwright.operators.model import HASHES, delivered_leads
+from funnelwright.operators.model import HASHES
 from funnelwright.plans import build_model, conform_leads, conform_reports, ingest_leads, ingest_reports, kpi_reports
-from funnelwright.sources import read_table
+from funnelwright.sources import read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, get_spec
 from verification.fixture import raw_leads, raw_reports, raw_snapshots
 from verification.scratch import scratch_folder
@@ -56,9 +57,22 @@ def _comparable(df: DataFrame) -> DataFrame:
     return df.withColumn("appt_date", F.col("appt_date").cast("timestamp_ntz"))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written to a table and read back, for intermediate results that a query reads more than once."""
+    return write_table(df, scratch_folder(df.sparkSession), "table")
+
+
+def _stored_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The leads' contacts and the reports."""
+    return _stored(lead_contacts(_leads(spark, sf_dir))), _stored(_reports(spark, sf_dir))
+
+
+def _fact_of(contacts: DataFrame, reports: DataFrame) -> DataFrame:
+    return kpi_fact(reports, contacts, heavy_keys(contacts, HASHES))
+
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    leads = _leads(spark, sf_dir)
-    return kpi_fact(_reports(spark, sf_dir), leads, heavy_keys(delivered_leads(leads), HASHES))
+    return _fact_of(*_stored_tables(spark, sf_dir))
 
 
 def _clean_reports(spark, sf_dir):
@@ -101,7 +115,7 @@ def _parse_entry_date_verbatim(spark, sf_dir):
 
 
 def _lead_match(spark, sf_dir):
-    reports = _reports(spark, sf_dir).select(*HASHES, "lead_number", "appt_date", "job_status")
+    reports = _stored(_reports(spark, sf_dir).select(*HASHES, "lead_number", "appt_date", "job_status"))
     return _comparable(match_leads(_leads(spark, sf_dir), reports, heavy_keys(reports, HASHES)))
 
 
@@ -114,8 +128,8 @@ def _dim_date(spark, sf_dir):
 
 
 def _dim_leads(spark, sf_dir):
-    reports = _reports(spark, sf_dir)
-    return leads_dimension(_leads(spark, sf_dir), reports, heavy_keys(report_keys(reports), HASHES))
+    reported = _stored(report_contacts(_reports(spark, sf_dir)))
+    return leads_dimension(lead_contacts(_leads(spark, sf_dir)), reported, heavy_keys(reported, HASHES))
 
 
 def _dim_places(spark, sf_dir):
@@ -127,14 +141,15 @@ def _dim_status(spark, sf_dir):
 
 
 def _fact_from_dimensions(spark, sf_dir):
-    leads, reports = _leads(spark, sf_dir), _reports(spark, sf_dir)
+    contacts, reports = _stored_tables(spark, sf_dir)
+    reported = _stored(report_contacts(reports))
     return kpi_fact_from_dimensions(
         reports,
-        leads_dimension(leads, reports, heavy_keys(report_keys(reports), HASHES)),
+        leads_dimension(contacts, reported, heavy_keys(reported, HASHES)),
         places_dimension(reports),
         date_dimension(spark),
         status_dimension(reports),
-        heavy_keys(delivered_leads(leads), HASHES),
+        heavy_keys(contacts, HASHES),
     )
 
 
@@ -143,7 +158,9 @@ def _kpi_global(spark, sf_dir):
 
 
 def _kpi_top_bottom_city(spark, sf_dir):
-    return city_report(tally(_fact(spark, sf_dir), ["place_uuid"]), places_dimension(_reports(spark, sf_dir)))
+    contacts, reports = _stored_tables(spark, sf_dir)
+    tallied = _stored(tally(_fact_of(contacts, reports), ["place_uuid"]))
+    return city_report(tallied, places_dimension(reports))
 
 
 def _kpi_by_month(spark, sf_dir):
@@ -151,12 +168,13 @@ def _kpi_by_month(spark, sf_dir):
 
 
 def _kpi_by_status(spark, sf_dir):
-    return status_report(tally(_fact(spark, sf_dir), ["status_uuid"]), status_dimension(_reports(spark, sf_dir)))
+    contacts, reports = _stored_tables(spark, sf_dir)
+    return status_report(tally(_fact_of(contacts, reports), ["status_uuid"]), status_dimension(reports))
 
 
 def _kpi_by_city_status(spark, sf_dir):
-    reports = _reports(spark, sf_dir)
-    tallied = tally(_fact(spark, sf_dir), ["place_uuid", "status_uuid"])
+    contacts, reports = _stored_tables(spark, sf_dir)
+    tallied = tally(_fact_of(contacts, reports), ["place_uuid", "status_uuid"])
     return city_status_report(tallied, places_dimension(reports), status_dimension(reports))
 
 
@@ -190,7 +208,7 @@ def _write_csv_snapshots(spark: SparkSession, sf_dir: str, folder: str) -> str:
     Returns the glob of the folders written. Copies of a row are looked for within a file, so rows are assigned to
     files by their content, all but the column whose whitespace differs between copies.
     """
-    raw = raw_snapshots(spark, sf_dir)
+    raw = write_table(raw_snapshots(spark, sf_dir), folder, "_source")
     columns = [name for name in raw.columns if name != "snapshot"]
     same_in_copies = [quoted(name) for name in columns if name != "Dispo"]
     as_is = [quoted(name) for name in columns]
@@ -200,7 +218,7 @@ def _write_csv_snapshots(spark: SparkSession, sf_dir: str, folder: str) -> str:
         rows = raw.filter(F.col("snapshot") == snapshot).repartition(*same_in_copies).select(layout)
         keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         rows.write.options(header=True, **keep_spaces).csv(f"{folder}/{snapshot}")
-    return f"{folder}/*"
+    return f"{folder}/snapshot-*"
 
 
 def _csv_snapshots(spark, sf_dir):
