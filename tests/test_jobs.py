@@ -1,0 +1,66 @@
+import csv
+
+import pytest
+
+from funnelwright.__main__ import main
+from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.sources import read_table
+
+HEADER = "ENTRYDATE,LEADNUMBER,phone_hash,email_hash,STATE,ZIP,Appt Date,Demo,Set,Dispo,Job Status".split(",")
+
+
+def write_csv(path, city_header, rows):
+    with open(path, "w", newline="") as file:
+        csv.writer(file).writerows([[*HEADER, city_header], *rows])
+
+
+@pytest.fixture()
+def folders(spark, tmp_path):
+    leads, reports = tmp_path / "in" / "leads", tmp_path / "in" / "reports"
+    reports.mkdir(parents=True)
+    data = [("l1", "p1", "e1"), ("l1", "p1", "e1"), ("l2", "p2", "e2"), ("l3", "p3", "e3")]
+    spark.createDataFrame(data, "lead_UUID string, phone_hash string, email_hash string").coalesce(1).write.parquet(str(leads))
+    sold = ["3/4/2023", "1", "p1", "e1", "TX", "12345", "3/6/2023 2:30PM", "true", "1", " sale  made ", "Sold", "Rome"]
+    new = ["3/5/2023", "2", "p2", "e2", "TX", "12345-1", "", "0", "0", "-----", "-----", "Rome"]
+    lost = ["3/5/2023", "3", "-----", "-----", "CA", "00501", "4/1/2023 9:00AM", "0", "TRUE", "", "Lost", "Bari"]
+    write_csv(reports / "monday.csv", "CITY", [sold, sold, new])
+    write_csv(reports / "tuesday.csv", "CityName", [sold, new, lost])
+    return tmp_path
+
+
+def test_from_files_to_reports(spark, folders):
+    step1, step2 = str(folders / "step1"), str(folders / "step2")
+    assert ingest_leads(spark, str(folders / "in" / "leads"), step1).count() == 3
+    reports, n_rows = ingest_reports(spark, str(folders / "in" / "reports"), step1)
+    # The copy within Monday's file is gone, those on Tuesday stay.
+    assert reports.count() == n_rows == 5
+    assert reports.filter("dispo = 'sale made'").count() == 2
+    invalid = read_table(spark, step1, "report_invalid_values")
+    assert sorted(map(tuple, invalid.collect())) == [("ZIP", "12345-1", 2)]
+
+    fact = build_model(spark, step1, step2)
+    assert fact.count() == 5
+    assert {row.lead_uuid for row in fact.collect()} == {"l1", "l2", None}
+    assert {(row.uuid, row.lead_number) for row in read_table(spark, step2, "leads").collect()} == {
+        ("l1", 1), ("l2", 2), ("l3", None),
+    }
+
+    found = {name: [tuple(row) for row in frame.collect()] for name, frame in kpi_reports(spark, step2).items()}
+    assert found["global"] == [(5, 3, 2, 60.0, 66.67)]
+    assert found["month"] == [(2023, 4, 1, 1, 0, 100.0, 0.0), (None, None, 2, 0, 0, 0.0, 0.0), (2023, 3, 2, 2, 2, 100.0, 100.0)]
+    assert found["status"] == [("Lost", 1, 1, 0, 100.0, 0.0), (None, 2, 0, 0, 0.0, 0.0), ("Sold", 2, 2, 2, 100.0, 100.0)]
+    assert found["city_status"] == [("Bari", "Lost", 1, 1, 0, 100.0, 0.0), ("Rome", "Sold", 2, 2, 2, 100.0, 100.0)]
+    top = [(None, None, 2, 0, 0, 0.0, 0.0), ("TX", "Rome", 2, 2, 2, 100.0, 100.0), ("CA", "Bari", 1, 1, 0, 100.0, 0.0)]
+    assert found["city"] == top + [top[2], top[0], top[1]]
+
+
+def test_command_line(spark, folders, capsys, monkeypatch):
+    monkeypatch.chdir(folders)
+    monkeypatch.setenv("LEADS_PREFIX", "in/leads")
+    monkeypatch.setenv("REPORTS_PREFIX", "in/reports")
+    place = [f"--out={folders}/step1"]
+    main(["ingest", f"--leads={folders}/in/leads", f"--reports={folders}/in/reports", *place])
+    main(["model", f"--conformed={folders}/step1", f"--out={folders}/step2"])
+    main(["report", f"--model={folders}/step2", "--rows=5"])
+    printed = capsys.readouterr().out
+    assert "5 report rows" in printed and "Conversion_Rate" in printed and "66.67" in printed

@@ -1,0 +1,90 @@
+from collections import Counter
+
+import pytest
+
+from funnelwright.sources import SOURCE_FILE, read_csv, read_csv_folder, read_leads_folder, read_parquet, read_table, write_table
+from funnelwright.specs import get_spec
+
+
+def put(folder, name, text):
+    (folder / name).write_text(text)
+    return str(folder / name)
+
+
+def records(frame):
+    return Counter(frozenset(row.asDict().items()) for row in frame.drop(SOURCE_FILE).collect())
+
+
+def expect(*rows):
+    return Counter(frozenset(row.items()) for row in rows)
+
+
+def test_files_with_different_headers(spark, tmp_path):
+    put(tmp_path, "a.csv", "CITY,Appt Date,x.y\nRome,1,\n")
+    put(tmp_path, "b.csv", "CityName,Set\nBari,true\n")
+    put(tmp_path, "c.csv", 'Appt Date,CITY,x.y\n"2,5",Pisa,""\n')
+    put(tmp_path, "empty.csv", "")
+    put(tmp_path, "header_only.csv", "CITY,Demo\n")
+    put(tmp_path, "notes.txt", "CITY\nnot this\n")
+    (tmp_path / "deeper").mkdir()
+    put(tmp_path / "deeper", "d.csv", "CITY\nnor this\n")
+    empty = {"CITY": None, "Appt Date": None, "x.y": None, "CityName": None, "Set": None, "Demo": None}
+    assert records(read_csv_folder(spark, str(tmp_path))) == expect(
+        {**empty, "CITY": "Rome", "Appt Date": "1"},
+        {**empty, "CityName": "Bari", "Set": "true"},
+        {**empty, "CITY": "Pisa", "Appt Date": "2,5"},
+    )
+    merged = read_csv_folder(spark, str(tmp_path), get_spec("reports"))
+    assert sorted(row.CITY for row in merged.select("CITY").collect()) == ["Bari", "Pisa", "Rome"]
+    assert merged.select(SOURCE_FILE).distinct().count() == 3
+    assert all(kind == "string" for _, kind in merged.dtypes)
+
+
+def test_one_scan_per_header_not_per_file(spark, tmp_path):
+    for i in range(12):
+        put(tmp_path, f"{i}.csv", f"CITY,Set\n{i},1\n" if i % 3 else f"CityName,Set\n{i},1\n")
+    merged = read_csv_folder(spark, str(tmp_path), get_spec("reports"))
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    assert sorted(int(row.CITY) for row in merged.collect()) == list(range(12))
+
+
+def test_both_aliases_in_one_file(spark, tmp_path):
+    put(tmp_path, "a.csv", "CityName,CITY\nshadowed,Rome\nshadowed,\n")
+    put(tmp_path, "b.csv", "CityName\nBari\n")
+    merged = read_csv_folder(spark, str(tmp_path), get_spec("reports"))
+    assert sorted((row.CITY for row in merged.collect()), key=repr) == sorted(["Rome", None, "Bari"], key=repr)
+
+
+def test_names_of_the_spec_are_case_sensitive(spark, tmp_path):
+    put(tmp_path, "a.csv", "CITY,Set\nRome,1\n")
+    put(tmp_path, "b.csv", "city,Set\nBari,1\n")
+    merged = read_csv_folder(spark, str(tmp_path), get_spec("reports"))
+    assert sorted((row.CITY for row in merged.select("CITY").collect()), key=repr) == sorted(["Rome", None], key=repr)
+
+
+def test_other_headers_in_one_scan_fail_rather_than_shift(spark, tmp_path):
+    paths = [put(tmp_path, "a.csv", "A,B\n1,2\n"), put(tmp_path, "b.csv", "A,C\n1,2\n")]
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, paths).collect()
+
+
+def test_folder_without_csv(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="no CSV file"):
+        read_csv_folder(spark, str(tmp_path))
+
+
+def test_leads_folder_merges_by_name(spark, tmp_path):
+    spark.createDataFrame([("l", "p")], "lead_UUID string, phone_hash string").coalesce(1).write.parquet(str(tmp_path / "a.parquet"))
+    spark.createDataFrame([("e", "m")], "email_hash string, lead_UUID string").coalesce(1).write.parquet(str(tmp_path / "b.parquet"))
+    put(tmp_path, "notes.txt", "")
+    assert records(read_leads_folder(spark, str(tmp_path))) == expect(
+        {"lead_UUID": "l", "phone_hash": "p", "email_hash": None}, {"lead_UUID": "m", "phone_hash": None, "email_hash": "e"}
+    )
+
+
+def test_tables_are_overwritten(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(spark.range(3), root, "t")
+    assert write_table(spark.range(2), root + "/", "t").count() == 2
+    assert read_table(spark, root, "t").count() == read_parquet(spark, root + "/t").count() == 2
