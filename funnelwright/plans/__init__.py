@@ -1,5 +1,21 @@
 """The three batch jobs. Each reads stored tables, and writes tables that the next one reads."""
 
-from funnelwright.plans.jobs import build_model, conform_leads, conform_reports, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.plans.jobs import (
+    build_model,
+    conform_leads,
+    conform_reports,
+    ingest_leads,
+    ingest_reports,
+    kpi_reports,
+    register_views,
+)
 
-__all__ = ["build_model", "conform_leads", "conform_reports", "ingest_leads", "ingest_reports", "kpi_reports"]
+__all__ = [
+    "build_model",
+    "conform_leads",
+    "conform_reports",
+    "ingest_leads",
+    "ingest_reports",
+    "kpi_reports",
+    "register_views",
+]

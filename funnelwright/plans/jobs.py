@@ -5,6 +5,8 @@ A stored table ends every lineage, so a lost executor costs at most the running
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,9 +33,13 @@ from funnelwright.operators.model import (
     report_contacts,
     status_dimension,
 )
-from funnelwright.sources.files import SOURCE_FILE, read_csv_folder, read_leads_folder, read_table, write_table
+from funnelwright.plans.sizing import sized_for
+from funnelwright.sources.files import SOURCE_FILE, read_csv_folder, read_parquet_folder, read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, SPECS, TableSpec
 
+# Parquet is encoded and compressed; rows in a shuffle take several times the space.
+PARQUET_EXPANSION = 4
+
 # Column of the stored reports that keeps the raw values lost in typing; see ``conform``.
 INVALID = "invalid_values"
 
@@ -54,7 +60,8 @@ def conform_reports(
 
 def ingest_leads(spark: SparkSession, folder: str, out: str, spec: TableSpec = SPECS["leads"]) -> DataFrame:
     """Parquet files in ``folder`` -> table ``leads``."""
-    return write_table(conform_leads(read_leads_folder(spark, folder), SOURCE_FILE, spec), out, "leads")
+    with sized_for(spark, folder, expansion=PARQUET_EXPANSION):
+        return write_table(conform_leads(read_parquet_folder(spark, folder), SOURCE_FILE, spec), out, "leads")
 
 
 def ingest_reports(
@@ -68,8 +75,9 @@ def ingest_reports(
     raw = read_csv_folder(spark, folder, spec)
     written = Observation("reports")
     conformed = conform_reports(raw, SOURCE_FILE, spec, INVALID).observe(written, F.count(F.lit(1)).alias("rows"))
-    stored = write_table(conformed, out, "reports")
-    write_table(count_invalid(stored, INVALID), out, "report_invalid_values")
+    with sized_for(spark, folder):
+        stored = write_table(conformed, out, "reports")
+        write_table(count_invalid(stored, INVALID), out, "report_invalid_values")
     return stored, written.get["rows"]
 
 
@@ -80,16 +88,17 @@ def build_model(
 
     Two work tables, ``lead_contacts`` and ``report_contacts``, stay next to them.
     """
-    reports = read_table(spark, conformed, "reports")
-    write_table(date_dimension(spark, first_date, last_date), out, "date")
-    write_table(places_dimension(reports), out, "places")
-    write_table(status_dimension(reports), out, "status")
-    # Stored, as each is read twice or more below.
-    contacts = write_table(lead_contacts(read_table(spark, conformed, "leads")), out, "lead_contacts")
-    reported = write_table(report_contacts(reports), out, "report_contacts")
-    write_table(leads_dimension(contacts, reported, heavy_keys(reported, HASHES)), out, "leads")
-    fact = kpi_fact(reports, contacts, heavy_keys(contacts, HASHES), first_date=first_date, last_date=last_date)
-    return write_table(fact, out, "kpi_calculation")
+    with sized_for(spark, conformed, expansion=PARQUET_EXPANSION):
+        reports = read_table(spark, conformed, "reports")
+        write_table(date_dimension(spark, first_date, last_date), out, "date")
+        write_table(places_dimension(reports), out, "places")
+        write_table(status_dimension(reports), out, "status")
+        # Stored, as each is read twice or more below.
+        contacts = write_table(lead_contacts(read_table(spark, conformed, "leads")), out, "lead_contacts")
+        reported = write_table(report_contacts(reports), out, "report_contacts")
+        write_table(leads_dimension(contacts, reported, heavy_keys(reported, HASHES)), out, "leads")
+        fact = kpi_fact(reports, contacts, heavy_keys(contacts, HASHES), first_date=first_date, last_date=last_date)
+        return write_table(fact, out, "kpi_calculation")
 
 
 def kpi_reports(spark: SparkSession, model: str) -> dict[str, DataFrame]:
@@ -98,7 +107,9 @@ def kpi_reports(spark: SparkSession, model: str) -> dict[str, DataFrame]:
     The fact is read once: its tally by all dimension keys is stored next to it, and every report adds that up.
     """
     d_date, d_places, d_status = (read_table(spark, model, name) for name in ("date", "places", "status"))
-    tallied = write_table(tally(read_table(spark, model, "kpi_calculation"), REPORT_KEYS), model, "kpi_tally")
+    fact = read_table(spark, model, "kpi_calculation")
+    with sized_for(spark, f"{model.rstrip('/')}/kpi_calculation"):
+        tallied = write_table(tally(fact, REPORT_KEYS), model, "kpi_tally")
     return {
         "global": global_report(tallied),
         "city": city_report(tallied, d_places),
@@ -106,3 +117,19 @@ def kpi_reports(spark: SparkSession, model: str) -> dict[str, DataFrame]:
         "status": status_report(tallied, d_status),
         "city_status": city_status_report(tallied, d_places, d_status),
     }
+
+
+# The names under which SQL text refers to the stored tables.
+MODEL_VIEWS = {
+    "d_dates": "date",
+    "d_leads": "leads",
+    "d_places": "places",
+    "d_status": "status",
+    "kpi_calculation": "kpi_calculation",
+}
+
+
+def register_views(spark: SparkSession, root: str, views: Mapping[str, str] = MODEL_VIEWS) -> None:
+    """Make stored tables known to ``spark.sql`` under their view names."""
+    for view, table in views.items():
+        read_table(spark, root, table).createOrReplaceTempView(view)

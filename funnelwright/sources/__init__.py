@@ -4,9 +4,10 @@ from funnelwright.sources.files import (
     SOURCE_FILE,
     read_csv,
     read_csv_folder,
-    read_leads_folder,
     read_parquet,
+    read_parquet_folder,
     read_table,
+    stored_bytes,
     write_table,
 )
 from funnelwright.specs import Field, SPECS, TableSpec, get_spec, report_spec, specs_from_json
@@ -19,10 +20,11 @@ __all__ = [
     "get_spec",
     "read_csv",
     "read_csv_folder",
-    "read_leads_folder",
     "read_parquet",
+    "read_parquet_folder",
     "read_table",
     "report_spec",
     "specs_from_json",
+    "stored_bytes",
     "write_table",
 ]

@@ -59,8 +59,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_leads_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """All ``*.parquet`` files directly in ``folder``, merged by column name, missing columns NULL."""
+def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """All ``*.parquet`` files directly in ``folder``, merged by column name, missing columns NULL.
+
+    For raw files of mixed schemas. Spark reads the footers in a distributed job of its own.
+    """
     return _with_source_file(spark.read.option("mergeSchema", True).parquet(f"{folder.rstrip('/')}/*.parquet"))
 
 
@@ -75,6 +78,13 @@ def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
     return read_table(df.sparkSession, root, name)
 
 
+def stored_bytes(spark: SparkSession, pattern: str) -> int:
+    """Size of the files and folders that match a path or glob."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(files.getContentSummary(status.getPath()).getLength() for status in files.globStatus(path) or [])
+
+
 def _with_source_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 

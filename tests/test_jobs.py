@@ -3,7 +3,7 @@ import csv
 import pytest
 
 from funnelwright.__main__ import main
-from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports, register_views
 from funnelwright.sources import read_table
 
 HEADER = "ENTRYDATE,LEADNUMBER,phone_hash,email_hash,STATE,ZIP,Appt Date,Demo,Set,Dispo,Job Status".split(",")
@@ -54,6 +54,18 @@ def test_from_files_to_reports(spark, folders):
     assert found["city"] == top + [top[2], top[0], top[1]]
 
 
+def test_views(spark, folders):
+    step1, step2 = str(folders / "step1"), str(folders / "step2")
+    ingest_leads(spark, str(folders / "in" / "leads"), step1)
+    ingest_reports(spark, str(folders / "in" / "reports"), step1)
+    build_model(spark, step1, step2)
+    register_views(spark, step2)
+    query = """SELECT year(d.date_key) AS year, count(*) AS n FROM kpi_calculation k
+        JOIN d_dates d ON d.uuid = k.date_uuid LEFT JOIN d_leads ON d_leads.uuid = k.lead_uuid
+        LEFT JOIN d_places ON d_places.uuid = place_uuid LEFT JOIN d_status ON d_status.uuid = status_uuid GROUP BY 1"""
+    assert [tuple(row) for row in spark.sql(query).collect()] == [(2023, 3)]
+
+
 def test_command_line(spark, folders, capsys, monkeypatch):
     monkeypatch.chdir(folders)
     monkeypatch.setenv("LEADS_PREFIX", "in/leads")

@@ -20,3 +20,12 @@ def test_every_query_has_sql():
 def test_entry(spark):
     row = contract.entry(spark).first()
     assert 0 < row.Total_Demos <= row.Total_Scheduled_Appointments <= row.Total_Delivered_Leads
+
+
+def test_known_counts_of_the_test_tables(spark):
+    reports = contract.queries()["step1_reports"](spark, "/root/testdata/sf0.01")
+    row = reports.selectExpr(
+        "count(*) AS n", "count(entry_date) AS dates", "count(appt_date) AS appointments", "count(zip) AS zips",
+        "count_if(email_hash IS NULL) AS keyless", "count(DISTINCT city_name) AS cities",
+    ).first()
+    assert tuple(row) == (15_000, 15_000, 10_021, 14_716, 1_500, 25)

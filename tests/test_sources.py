@@ -2,7 +2,7 @@ from collections import Counter
 
 import pytest
 
-from funnelwright.sources import SOURCE_FILE, read_csv, read_csv_folder, read_leads_folder, read_parquet, read_table, write_table
+from funnelwright.sources import SOURCE_FILE, read_csv, read_csv_folder, read_parquet, read_parquet_folder, read_table, write_table
 from funnelwright.specs import get_spec
 
 
@@ -74,11 +74,11 @@ def test_folder_without_csv(spark, tmp_path):
         read_csv_folder(spark, str(tmp_path))
 
 
-def test_leads_folder_merges_by_name(spark, tmp_path):
+def test_parquet_folder_merges_by_name(spark, tmp_path):
     spark.createDataFrame([("l", "p")], "lead_UUID string, phone_hash string").coalesce(1).write.parquet(str(tmp_path / "a.parquet"))
     spark.createDataFrame([("e", "m")], "email_hash string, lead_UUID string").coalesce(1).write.parquet(str(tmp_path / "b.parquet"))
     put(tmp_path, "notes.txt", "")
-    assert records(read_leads_folder(spark, str(tmp_path))) == expect(
+    assert records(read_parquet_folder(spark, str(tmp_path))) == expect(
         {"lead_UUID": "l", "phone_hash": "p", "email_hash": None}, {"lead_UUID": "m", "phone_hash": None, "email_hash": "e"}
     )
 

@@ -20,7 +20,7 @@ def differences(spark: SparkSession, sf_dir: str, name: str) -> str | None:
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
-    expected = connection.execute(oracle_sql()[name]).to_arrow_table()
+    expected = connection.sql(oracle_sql()[name]).to_arrow_table()
     actual = QUERIES[name](spark, sf_dir)
     wanted = {column: _kind(str(kind)) for column, kind in zip(expected.column_names, expected.schema.types)}
     found = {column: _kind(kind) for column, kind in actual.dtypes}

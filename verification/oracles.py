@@ -204,6 +204,10 @@ _ORACLES = {
     "kpi_by_month": _BY_MONTH,
     "kpi_by_status": _BY_STATUS,
     "kpi_by_city_status": _by_city_status("fact"),
+    "sql_over_views": """SELECT job_status, count(*) AS leads, count(*) FILTER ("set") AS appointments,
+        count(*) FILTER ("set" AND demo) AS demos,
+        coalesce(round(count(*) FILTER ("set" AND demo) / nullif(count(*) FILTER ("set"), 0) * 100, 2), 0) AS demo_rate
+        FROM fact LEFT JOIN d_status ON d_status.uuid = status_uuid GROUP BY job_status""",
     "row_count": "SELECT count(*) AS n_rows FROM reports",
     "null_counts": "SELECT "
     + ", ".join(f'count(*) - count("{name}") AS "{name}"' for name in _REPORT_COLUMNS)

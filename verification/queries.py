@@ -35,7 +35,15 @@ from funnelwright.operators import (
     union_all_by_name,
 )
 from funnelwright.operators.model import HASHES
-from funnelwright.plans import build_model, conform_leads, conform_reports, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.plans import (
+    build_model,
+    conform_leads,
+    conform_reports,
+    ingest_leads,
+    ingest_reports,
+    kpi_reports,
+    register_views,
+)
 from funnelwright.sources import read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, get_spec
 from verification.fixture import raw_leads, raw_reports, raw_snapshots
@@ -178,6 +186,26 @@ def _kpi_by_city_status(spark, sf_dir):
     return city_status_report(tallied, places_dimension(reports), status_dimension(reports))
 
 
+STATUS_SQL = """
+WITH counted AS (
+  SELECT s.job_status, count(*) AS leads, count_if(f.set) AS appointments, count_if(f.set AND f.demo) AS demos
+  FROM kpi_calculation f LEFT JOIN d_status s ON s.uuid = f.status_uuid
+  GROUP BY s.job_status
+)
+SELECT job_status, leads, appointments, demos, coalesce(round(try_divide(demos, appointments) * 100, 2), 0D) AS demo_rate
+FROM counted ORDER BY leads
+"""
+
+
+def _sql_over_views(spark, sf_dir):
+    contacts, reports = _stored_tables(spark, sf_dir)
+    root = scratch_folder(spark)
+    write_table(_fact_of(contacts, reports), root, "kpi_calculation")
+    write_table(status_dimension(reports), root, "status")
+    register_views(spark, root, {"kpi_calculation": "kpi_calculation", "d_status": "status"})
+    return spark.sql(STATUS_SQL)
+
+
 def _row_count(spark, sf_dir):
     return _reports(spark, sf_dir).agg(F.count("*").alias("n_rows"))
 
@@ -272,6 +300,7 @@ QUERIES = {
     "kpi_by_month": _kpi_by_month,
     "kpi_by_status": _kpi_by_status,
     "kpi_by_city_status": _kpi_by_city_status,
+    "sql_over_views": _sql_over_views,
     "row_count": _row_count,
     "null_counts": _null_counts,
     "null_percentages": _null_percentages,
