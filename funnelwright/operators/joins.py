@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -13,35 +14,33 @@ from pyspark.sql import types as T
 
 from funnelwright.operators.union import union_all_by_name
 
-# A key counts as heavy from one row in 1,000 on, so there are at most 1,000 heavy keys however large the table.
+# A key counts as heavy from one row in 1,000 of its table on, so there are at most 1,000 heavy keys per table
+# however large it is.
 HEAVY_SHARE = 0.001
 _MOST_HEAVY_KEYS = 1_000
 # The sketch keeps this many candidates; its error is then far below HEAVY_SHARE of the rows.
 _SKETCH_ITEMS = 20_000
 
+_SLICES = ("_left_slices", "_right_slices")
 
-def heavy_keys(df: DataFrame, on: Sequence[str], least_rows: int = 1_000_000) -> DataFrame | None:
-    """The keys that hold at least one in 1,000 of the rows and ``least_rows`` rows; None if there are none.
 
-    Runs one aggregation over the key columns of ``df``: a mergeable frequent-items sketch, so nothing is shuffled
-    by key and at most 1,000 keys reach the driver. The result is a local table. Counts are estimates, which is
-    good enough: a key wrongly called heavy only costs some replication in :func:`left_join`.
+def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], least_rows: int = 1_000_000) -> DataFrame | None:
+    """Keys too frequent for one task, in how many slices to cut their rows on either side; None if there are none.
+
+    A key is heavy on a side where it holds ``least_rows`` rows and one in 1,000 of the rows; its slices there have
+    ``least_rows`` rows each. Runs one aggregation per side: a mergeable frequent-items sketch of the key columns, so
+    nothing is shuffled by key, and at most 2,000 keys reach the driver. The result is a local table of them. Counts
+    are estimates, on which only the balance of a join depends and never its result.
     """
-    key = F.to_json(F.struct(*on))
-    seen = (
-        df.filter(_all_present(on))
-        .agg(
-            F.call_function("approx_top_k", key, F.lit(_MOST_HEAVY_KEYS), F.lit(_SKETCH_ITEMS)).alias("top"),
-            F.count("*").alias("n_rows"),
-        )
-        .first()
-    )
-    floor = max(least_rows, HEAVY_SHARE * seen.n_rows)
-    rows = [json.loads(entry["item"]) for entry in seen.top or () if entry["count"] >= floor]
+    frequent = [_frequent_keys(side, on, least_rows) for side in (left, right)]
+    rows = [
+        (*key, *[max(1, math.ceil(counts.get(key, 0) / least_rows)) for counts in frequent])
+        for key in {**frequent[0], **frequent[1]}
+    ]
     if not rows:
         return None
-    schema = T.StructType([df.schema[name] for name in on])
-    return df.sparkSession.createDataFrame([tuple(row[name] for name in on) for row in rows], schema)
+    slices = [T.StructField(name, T.IntegerType()) for name in _SLICES]
+    return left.sparkSession.createDataFrame(rows, T.StructType([*[left.schema[name] for name in on], *slices]))
 
 
 def left_join(
@@ -50,50 +49,68 @@ def left_join(
     on: Sequence[str],
     heavy: DataFrame | None = None,
     slice_by: Sequence[str] = (),
-    slices: int = 128,
     required: Sequence[str] = (),
 ) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on equal ``on`` columns, which appear once. NULL never equals NULL.
 
     Left rows with a NULL in a ``required`` column match nothing either.
 
-    Three things can put a large part of the rows into one task, and each is met differently:
+    Two things would put a large part of the rows into one task:
 
-    * Left rows with a NULL in the key would all hash alike, and match nothing. They skip the join and its shuffle.
-    * A key with many left rows. Adaptive execution splits such a partition, as it may for the preserved side.
-    * A key with many right rows. Spark cannot split the non-preserved side of an outer join. ``heavy`` lists such
-      keys (some or all of the ``on`` columns; at most 1,000 rows, see :func:`heavy_keys`). Their rows are joined
-      apart: right rows are spread over ``slices`` by a hash of ``slice_by``, left rows meet every slice.
+    * Left rows with a NULL in the key all hash alike, and match nothing. They skip the join and its shuffle.
+    * The keys in ``heavy``, see :func:`heavy_keys`, hold many rows on one side or both. They are joined apart, each
+      as a grid of slices. Adaptive execution splits partitions too, but only those of the left side of a left
+      join, and it goes by compressed size: the copies of a row that snapshots bring compress to almost nothing.
 
-    The result is the same with and without ``heavy``, whatever it lists.
+    ``slice_by`` names right columns that tell rows of one key apart. The result is the same with and without
+    ``heavy``, whatever it lists.
     """
     matchable = _all_present([*on, *required])
     keyed, keyless = left.filter(matchable), left.filter(~matchable)
     if heavy is None:
         parts = [keyed.join(right, list(on), "left")]
     else:
-        flags = F.broadcast(heavy)
-        heavy_left = keyed.join(flags, heavy.columns, "left_semi")
-        heavy_right = right.join(flags, heavy.columns, "left_semi")
+        # Broadcasts of at most 2,000 keys, also of those among them that the right side has.
+        keys = F.broadcast(heavy.select(*on))
+        heavy_right = right.join(F.broadcast(heavy), list(on))
+        matched = F.broadcast(heavy_right.select(*on).distinct())
         parts = [
-            keyed.join(flags, heavy.columns, "left_anti").join(
-                right.join(flags, heavy.columns, "left_anti"), list(on), "left"
-            ),
-            _sliced_inner_join(heavy_left, heavy_right, on, slice_by, slices),
-            heavy_left.join(heavy_right.select(*on).distinct(), list(on), "left_anti"),
+            keyed.join(keys, list(on), "left_anti").join(right.join(keys, list(on), "left_anti"), list(on), "left"),
+            _grid_join(keyed.join(F.broadcast(heavy), list(on)), heavy_right, on, slice_by),
+            keyed.join(keys, list(on), "left_semi").join(matched, list(on), "left_anti"),
         ]
     if any(left.schema[name].nullable for name in (*on, *required)):
         parts.append(keyless)
     return union_all_by_name(parts)
 
 
-def _sliced_inner_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], slice_by: Sequence[str], slices: int
-) -> DataFrame:
-    # The slice of a right row depends on its content alone, so a recomputed task puts it where it was before.
-    sliced_right = right.withColumn("_slice", F.pmod(F.xxhash64(*slice_by), F.lit(slices)).cast("int"))
-    repeated_left = left.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return repeated_left.join(sliced_right, [*on, "_slice"]).drop("_slice")
+def _frequent_keys(df: DataFrame, on: Sequence[str], least_rows: int) -> dict[tuple, int]:
+    key = F.to_json(F.struct(*on))
+    top = F.call_function("approx_top_k", key, F.lit(_MOST_HEAVY_KEYS), F.lit(_SKETCH_ITEMS))
+    seen = df.filter(_all_present(on)).agg(top.alias("top"), F.count("*").alias("n_rows")).first()
+    floor = max(least_rows, HEAVY_SHARE * seen.n_rows)
+    found = {entry["item"]: entry["count"] for entry in seen.top or () if entry["count"] >= floor}
+    return {tuple(json.loads(item)[name] for name in on): count for item, count in found.items()}
+
+
+def _grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], slice_by: Sequence[str]) -> DataFrame:
+    """Inner join in which each key is a grid: a left row is in one row of it, a right row in one column.
+
+    Each pair meets in one cell. A side that is not heavy has one slice, and is repeated for every slice of the other.
+    """
+    row, column = F.col("_left_slices"), F.col("_right_slices")
+
+    def every(slices: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), slices - 1))
+
+    # Left rows may be copies of each other, so their content cannot spread them; the input partition can. Neither it
+    # nor the content of right rows changes when a lost task runs again, so rows go where they went before.
+    by_row = left.withColumn("_row", F.pmod(F.spark_partition_id(), row)).withColumn("_column", every(column))
+    by_column = right.withColumn("_column", F.pmod(F.xxhash64(*slice_by), column).cast("int")).withColumn(
+        "_row", every(row)
+    )
+    joined = by_row.drop(*_SLICES).join(by_column.drop(*_SLICES), [*on, "_row", "_column"])
+    return joined.drop("_row", "_column")
 
 
 def _all_present(names: Sequence[str]) -> Column:

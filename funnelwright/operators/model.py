@@ -69,7 +69,7 @@ def report_contacts(reports: DataFrame) -> DataFrame:
 def match_leads(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Each lead with every report row that has both its hashes; leads without a report stay, with NULLs.
 
-    ``heavy`` lists hash pairs with very many report rows, which are then spread by lead number.
+    ``heavy``: the :func:`heavy_keys` of leads and reports on the hashes.
     """
     return left_join(leads, reports, HASHES, heavy, slice_by=("lead_number",))
 
@@ -78,7 +78,8 @@ def leads_dimension(contacts: DataFrame, reported: DataFrame, heavy: DataFrame |
     """Distinct (uuid, lead_number, phone_hash, email_hash) of the leads matched with the reports.
 
     Takes the :func:`lead_contacts` and the :func:`report_contacts`. As both are distinct, so are the joined rows,
-    and there is nothing left to do after the join, where the rows are most.
+    and there is nothing left to do after the join, where the rows are most. ``heavy``: their :func:`heavy_keys`
+    on the hashes.
     """
     matched = match_leads(contacts, reported, heavy)
     return matched.select(F.col("lead_uuid").alias("uuid"), "lead_number", "phone_hash", "email_hash")
@@ -102,8 +103,8 @@ def kpi_fact(
 ) -> DataFrame:
     """One row per report row and lead it belongs to, with the keys of its dimension members.
 
-    ``contacts`` are the :func:`lead_contacts`; ``heavy`` lists hash pairs that very many of them share, which are
-    then spread by lead. Gives what the joins in :func:`kpi_fact_from_dimensions` give for dimensions
+    ``contacts`` are the :func:`lead_contacts`, ``heavy`` the :func:`heavy_keys` of reports and contacts on the
+    hashes. Gives what the joins in :func:`kpi_fact_from_dimensions` give for dimensions
     built from these reports, these leads and this date range, with one join instead of four:
 
     * Places, statuses and dates have one member per combination of attributes, so a row's key follows from its
@@ -135,7 +136,7 @@ def kpi_fact_from_dimensions(
 ) -> DataFrame:
     """The fact by lookup in given dimension tables, for dimensions that were not built from these reports.
 
-    ``heavy`` lists lead keys, or hash pairs, that very many rows of the leads dimension share.
+    ``heavy``: the :func:`heavy_keys` of reports and leads dimension on the lead key.
     """
     owners = d_leads.filter(_present(LEAD_KEY)).select(*LEAD_KEY, F.col("uuid").alias("lead_uuid"))
     with_lead = left_join(reports, owners, LEAD_KEY, heavy, slice_by=("lead_uuid",))
@@ -151,7 +152,7 @@ def look_up(df: DataFrame, dimension: DataFrame, attributes: Sequence[str], key:
 
     No broadcast is forced: Spark broadcasts the dimension if its measured size is below the threshold. Beyond it
     the join shuffles, and adaptive execution splits the partitions of frequent members and of NULL attributes.
-    Rows with NULLs are not set apart as in :func:`left_join`, which would double the plan with each lookup.
+    Rows are not set apart as in :func:`left_join`, which would double the plan with each lookup.
     """
     members = dimension.select(*attributes, F.col("uuid").alias(key))
     return df.join(members, list(attributes), "left")

@@ -96,8 +96,10 @@ def build_model(
         # Stored, as each is read twice or more below.
         contacts = write_table(lead_contacts(read_table(spark, conformed, "leads")), out, "lead_contacts")
         reported = write_table(report_contacts(reports), out, "report_contacts")
-        write_table(leads_dimension(contacts, reported, heavy_keys(reported, HASHES)), out, "leads")
-        fact = kpi_fact(reports, contacts, heavy_keys(contacts, HASHES), first_date=first_date, last_date=last_date)
+        crowded = heavy_keys(contacts, reported, HASHES)
+        write_table(leads_dimension(contacts, reported, crowded), out, "leads")
+        repeated = heavy_keys(reports, contacts, HASHES)
+        fact = kpi_fact(reports, contacts, repeated, first_date=first_date, last_date=last_date)
         return write_table(fact, out, "kpi_calculation")
 
 

@@ -21,21 +21,27 @@ def sides():
     rng = random.Random(1)
     keys = ["hot"] * 10 + ["a", "b", "c", None]
     left = [(rng.choice(keys), rng.choice([1, 2, None]), i % 7) for i in range(150)] + [("left only", 1, 0)] * 20
-    right = [(rng.choice(keys), rng.choice([1, 2, None]), f"u{i}") for i in range(120)]
+    right = [(rng.choice(keys), rng.choice([1, 2, None]), f"u{i}") for i in range(120)] + [("right only", 1, "v")] * 9
     return left, right
 
 
-@pytest.mark.parametrize("heavy", [None, [("hot",)], [("hot",), ("left only",), ("nowhere",)], "k m"])
+@pytest.mark.parametrize(
+    "heavy",
+    [
+        None,
+        [("hot", 1, 3, 1)],
+        [("hot", 1, 1, 4), ("hot", 2, 2, 5)],
+        [("hot", 1, 3, 3), ("a", 2, 2, 1), ("left only", 1, 4, 1), ("right only", 1, 1, 4), ("nowhere", 1, 2, 2)],
+    ],
+)
 def test_left_join_equals_brute_force(spark, sides, heavy):
     left, right = sides
-    left_frame = spark.createDataFrame(left, "k string, m int, x int")
+    left_frame = spark.createDataFrame(left, "k string, m int, x int").repartition(5)
     right_frame = spark.createDataFrame(right, "k string, m int, u string")
-    if heavy == "k m":
-        heavy_frame = spark.createDataFrame([("hot", 1), ("a", 2)], "k string, m int")
-    else:
-        heavy_frame = heavy and spark.createDataFrame(heavy, "k string")
-    joined = left_join(left_frame, right_frame, ["k", "m"], heavy_frame, slice_by=["u"], slices=5)
+    heavy_frame = heavy and spark.createDataFrame(heavy, "k string, m int, _left_slices int, _right_slices int")
+    joined = left_join(left_frame, right_frame, ["k", "m"], heavy_frame, slice_by=["u"])
     assert Counter(map(tuple, joined.select("k", "m", "x", "u").collect())) == brute_force(left, right)
+    assert set(joined.columns) == {"k", "m", "x", "u"}
 
 
 def test_required_columns(spark):
@@ -49,21 +55,47 @@ def test_required_columns(spark):
 def test_heavy_keys(spark):
     hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
     frame = spark.range(30_000).select(hot.alias("k"), (F.col("id") % 2).alias("m"))
-    found = heavy_keys(frame, ["k", "m"], least_rows=1_000)
-    assert found.schema == frame.select("k", "m").schema
-    assert sorted(map(tuple, found.collect())) == [("hot", 0), ("hot", 1)]
-    assert heavy_keys(frame, ["k", "m"]) is None
-    assert heavy_keys(frame.limit(0), ["k", "m"], least_rows=0) is None
+    other = spark.range(9_000).select(F.lit("wide").alias("k"), F.lit(7).cast("long").alias("m"))
+    found = heavy_keys(frame, other, ["k", "m"], least_rows=1_000)
+    assert found.columns == ["k", "m", "_left_slices", "_right_slices"]
+    assert sorted(map(tuple, found.collect())) == [("hot", 0, 5, 1), ("hot", 1, 5, 1), ("wide", 7, 1, 9)]
+    assert heavy_keys(frame, other, ["k", "m"]) is None
+    assert heavy_keys(frame.limit(0), other.limit(0), ["k", "m"], least_rows=1) is None
 
 
 def test_number_of_heavy_keys_is_bounded(spark):
-    frame = spark.range(20_000).select((F.col("id") % 5_000).alias("k"))
-    assert heavy_keys(frame, ["k"], least_rows=1) is None
-    few = spark.range(20_000).select((F.col("id") % 900).alias("k"))
-    assert heavy_keys(few, ["k"], least_rows=1).count() <= 1_000
+    many = spark.range(20_000).select((F.col("id") % 5_000).alias("k"))
+    assert heavy_keys(many, many, ["k"], least_rows=1) is None
+    fewer = spark.range(20_000).select((F.col("id") % 900).alias("k"))
+    assert heavy_keys(fewer, fewer, ["k"], least_rows=1).count() <= 1_000
 
 
-def test_keys_with_many_left_rows_are_split_at_run_time(spark):
+def test_no_task_gets_all_rows_of_a_heavy_key(spark):
+    """Half of the left rows are copies of one row, and half of the right rows share another key."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        id_text = F.col("id").cast("string")
+        left = spark.range(0, 40_000, 1, 16).select(
+            F.when(F.col("id") % 2 == 0, "copied").when(F.col("id") == 1, "crowded").otherwise(id_text).alias("k")
+        )
+        right = spark.range(0, 40_000, 1, 16).select(
+            F.when(F.col("id") % 2 == 0, "crowded").when(F.col("id") == 1, "copied").otherwise(id_text).alias("k"),
+            id_text.alias("u"),
+        )
+        heavy = heavy_keys(left, right, ["k"], least_rows=1_000)
+        joined = left_join(left, right, ["k"], heavy, slice_by=["u"])
+        sizes = joined.groupBy("k", F.spark_partition_id().alias("task")).count()
+        largest = {k: (n, most) for k, n, most in sizes.groupBy("k").agg(F.sum("count"), F.max("count")).collect()}
+        assert largest["copied"][0] == largest["crowded"][0] == 20_000
+        assert largest["copied"][1] < 10_000 and largest["crowded"][1] < 10_000
+        assert joined.count() == 20_000 + 20_000 + 19_999
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_adaptive_execution_splits_what_heavy_keys_leave(spark):
     """A third of the left rows share a key: adaptive execution cuts that partition up."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -85,7 +85,13 @@ def test_model_equals_brute_force(spark, seed):
     lead_rows, report_rows = make_tables(seed)
     leads, reports = spark.createDataFrame(lead_rows, LEADS), spark.createDataFrame(report_rows, REPORTS)
     contacts, reported = lead_contacts(leads), report_contacts(reports)
-    heavy = spark.createDataFrame([("e1", "p1")], "email_hash string, phone_hash string") if seed == 2 else None
+    heavy = lead_key = None
+    if seed != 1:
+        slices = "_left_slices int, _right_slices int"
+        pairs = [("e1", "p1", 2, 3), ("e2", "p2", 3, 1), ("e2", "p1", 1, 4)]
+        heavy = spark.createDataFrame(pairs, f"email_hash string, phone_hash string, {slices}")
+        numbered = [(e, p, n, i, j) for e, p, i, j in pairs for n in (1, 2)]
+        lead_key = spark.createDataFrame(numbered, f"email_hash string, phone_hash string, lead_number int, {slices}")
 
     d_leads = leads_dimension(contacts, reported, heavy)
     assert Counter(map(tuple, d_leads.collect())) == Counter(expected_leads(lead_rows, report_rows))
@@ -93,7 +99,7 @@ def test_model_equals_brute_force(spark, seed):
     expected = expected_fact(lead_rows, report_rows)
     assert Counter(map(tuple, kpi_fact(reports, contacts, heavy).collect())) == expected
     looked_up = kpi_fact_from_dimensions(
-        reports, d_leads, places_dimension(reports), date_dimension(spark), status_dimension(reports), heavy
+        reports, d_leads, places_dimension(reports), date_dimension(spark), status_dimension(reports), lead_key
     )
     assert Counter(map(tuple, looked_up.collect())) == expected
 

@@ -34,7 +34,7 @@ from funnelwright.operators import (
     tally,
     union_all_by_name,
 )
-from funnelwright.operators.model import HASHES
+from funnelwright.operators.model import HASHES, LEAD_KEY
 from funnelwright.plans import (
     build_model,
     conform_leads,
@@ -76,7 +76,7 @@ def _stored_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 
 def _fact_of(contacts: DataFrame, reports: DataFrame) -> DataFrame:
-    return kpi_fact(reports, contacts, heavy_keys(contacts, HASHES))
+    return kpi_fact(reports, contacts, heavy_keys(reports, contacts, HASHES))
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,8 +123,9 @@ def _parse_entry_date_verbatim(spark, sf_dir):
 
 
 def _lead_match(spark, sf_dir):
+    leads = _stored(_leads(spark, sf_dir))
     reports = _stored(_reports(spark, sf_dir).select(*HASHES, "lead_number", "appt_date", "job_status"))
-    return _comparable(match_leads(_leads(spark, sf_dir), reports, heavy_keys(reports, HASHES)))
+    return _comparable(match_leads(leads, reports, heavy_keys(leads, reports, HASHES)))
 
 
 def _dim_date(spark, sf_dir):
@@ -135,9 +136,13 @@ def _dim_date(spark, sf_dir):
     return counted.withColumn("n_appointments", F.coalesce("n_appointments", F.lit(0)))
 
 
+def _d_leads_of(contacts: DataFrame, reports: DataFrame) -> DataFrame:
+    reported = _stored(report_contacts(reports))
+    return leads_dimension(contacts, reported, heavy_keys(contacts, reported, HASHES))
+
+
 def _dim_leads(spark, sf_dir):
-    reported = _stored(report_contacts(_reports(spark, sf_dir)))
-    return leads_dimension(lead_contacts(_leads(spark, sf_dir)), reported, heavy_keys(reported, HASHES))
+    return _d_leads_of(_stored(lead_contacts(_leads(spark, sf_dir))), _reports(spark, sf_dir))
 
 
 def _dim_places(spark, sf_dir):
@@ -150,14 +155,14 @@ def _dim_status(spark, sf_dir):
 
 def _fact_from_dimensions(spark, sf_dir):
     contacts, reports = _stored_tables(spark, sf_dir)
-    reported = _stored(report_contacts(reports))
+    d_leads = _stored(_d_leads_of(contacts, reports))
     return kpi_fact_from_dimensions(
         reports,
-        leads_dimension(contacts, reported, heavy_keys(reported, HASHES)),
+        d_leads,
         places_dimension(reports),
         date_dimension(spark),
         status_dimension(reports),
-        heavy_keys(contacts, HASHES),
+        heavy_keys(reports, d_leads, LEAD_KEY),
     )
 
 
