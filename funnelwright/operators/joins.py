@@ -58,8 +58,8 @@ def left_join(
     Two things would put a large part of the rows into one task:
 
     * Left rows with a NULL in the key all hash alike, and match nothing. They skip the join and its shuffle.
-    * The keys in ``heavy``, see :func:`heavy_keys`, hold many rows on one side or both. They are joined apart, each
-      as a grid of slices. Adaptive execution splits partitions too, but only those of the left side of a left
+    * The keys in ``heavy``, see :func:`heavy_keys`, hold many rows on one side or both. Each is joined as a grid of
+      slices. Adaptive execution splits partitions too, but only those of the left side of a left
       join, and it goes by compressed size: the copies of a row that snapshots bring compress to almost nothing.
 
     ``slice_by`` names right columns that tell rows of one key apart. The result is the same with and without
@@ -68,20 +68,12 @@ def left_join(
     matchable = _all_present([*on, *required])
     keyed, keyless = left.filter(matchable), left.filter(~matchable)
     if heavy is None:
-        parts = [keyed.join(right, list(on), "left")]
+        joined = keyed.join(right, list(on), "left")
     else:
-        # Broadcasts of at most 2,000 keys, also of those among them that the right side has.
-        keys = F.broadcast(heavy.select(*on))
-        heavy_right = right.join(F.broadcast(heavy), list(on))
-        matched = F.broadcast(heavy_right.select(*on).distinct())
-        parts = [
-            keyed.join(keys, list(on), "left_anti").join(right.join(keys, list(on), "left_anti"), list(on), "left"),
-            _grid_join(keyed.join(F.broadcast(heavy), list(on)), heavy_right, on, slice_by),
-            keyed.join(keys, list(on), "left_semi").join(matched, list(on), "left_anti"),
-        ]
-    if any(left.schema[name].nullable for name in (*on, *required)):
-        parts.append(keyless)
-    return union_all_by_name(parts)
+        joined = _grid_join(keyed, right, on, heavy, slice_by)
+    if not any(left.schema[name].nullable for name in (*on, *required)):
+        return joined
+    return union_all_by_name([joined, keyless])
 
 
 def _frequent_keys(df: DataFrame, on: Sequence[str], least_rows: int) -> dict[tuple, int]:
@@ -93,24 +85,45 @@ def _frequent_keys(df: DataFrame, on: Sequence[str], least_rows: int) -> dict[tu
     return {tuple(json.loads(item)[name] for name in on): count for item, count in found.items()}
 
 
-def _grid_join(left: DataFrame, right: DataFrame, on: Sequence[str], slice_by: Sequence[str]) -> DataFrame:
-    """Inner join in which each key is a grid: a left row is in one row of it, a right row in one column.
+def _grid_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame, slice_by: Sequence[str]
+) -> DataFrame:
+    """Left join in which each heavy key is a grid: a left row is in one row of it, a right row in one column.
 
-    Each pair meets in one cell. A side that is not heavy has one slice, and is repeated for every slice of the other.
+    Each pair meets in one cell, as either side is repeated for every slice of the other. Other keys are one cell.
     """
-    row, column = F.col("_left_slices"), F.col("_right_slices")
+    rows, columns = F.col("_left_slices"), F.col("_right_slices")
 
-    def every(slices: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), slices - 1))
+    # A left row is repeated only for keys that the right side has. It then has a match in some column, and what it
+    # does not match in the other columns is dropped below. The broadcasts have at most as many rows as ``heavy``.
+    cut = F.broadcast(heavy.filter(columns > 1))
+    present = right.join(cut, list(on), "left_semi").select(*on).distinct().withColumn("_present", F.lit(True))
+    flags = heavy.join(F.broadcast(present), list(on), "left")
 
     # Left rows may be copies of each other, so their content cannot spread them; the input partition can. Neither it
     # nor the content of right rows changes when a lost task runs again, so rows go where they went before.
-    by_row = left.withColumn("_row", F.pmod(F.spark_partition_id(), row)).withColumn("_column", every(column))
-    by_column = right.withColumn("_column", F.pmod(F.xxhash64(*slice_by), column).cast("int")).withColumn(
-        "_row", every(row)
+    row_of_left = F.when(rows.isNotNull(), F.pmod(F.spark_partition_id(), rows)).otherwise(F.lit(0))
+    column_of_right = F.when(columns.isNotNull(), F.pmod(F.xxhash64(*slice_by), columns).cast("int")).otherwise(F.lit(0))
+    by_row = (
+        left.join(F.broadcast(flags), list(on), "left")
+        .withColumn("_row", row_of_left)
+        .withColumn("_column", _each(columns, F.col("_present")))
+        .drop(*_SLICES)
+    )
+    by_column = (
+        right.join(F.broadcast(heavy), list(on), "left")
+        .withColumn("_column", column_of_right)
+        .withColumn("_row", _each(rows, rows.isNotNull()))
+        .withColumn("_matched", F.lit(True))
+        .drop(*_SLICES)
     )
-    joined = by_row.drop(*_SLICES).join(by_column.drop(*_SLICES), [*on, "_row", "_column"])
-    return joined.drop("_row", "_column")
+    joined = by_row.join(by_column, [*on, "_row", "_column"], "left")
+    return joined.filter(F.col("_present").isNull() | F.col("_matched")).drop("_row", "_column", "_present", "_matched")
+
+
+def _each(slices: Column, condition: Column) -> Column:
+    """One row per slice where the condition holds, and one row otherwise."""
+    return F.explode(F.when(condition, F.sequence(F.lit(0), slices - 1)).otherwise(F.array(F.lit(0))))
 
 
 def _all_present(names: Sequence[str]) -> Column:

