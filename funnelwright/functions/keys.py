@@ -31,7 +31,7 @@ def key_text(df: DataFrame, name: str) -> Column:
 
 def uuid5(text: Column) -> Column:
     """Version 5 UUID of ``text`` in the DNS namespace, NULL for NULL."""
-    digest = F.sha1(F.concat(F.unhex(F.lit(DNS_NAMESPACE)), F.encode(text, "UTF-8")))
+    digest = F.sha1(F.concat(F.unhex(F.lit(DNS_NAMESPACE)), text.cast("binary")))
     # Digit 13 becomes the version. The top bits of digit 17 become 10, which leaves one of 8, 9, a, b.
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab" * 4)
     return F.concat(
