@@ -18,8 +18,10 @@ from funnelwright.operators.union import union_all_by_name
 # however large it is.
 HEAVY_SHARE = 0.001
 _MOST_HEAVY_KEYS = 1_000
-# The sketch keeps this many candidates; its error is then far below HEAVY_SHARE of the rows.
-_SKETCH_ITEMS = 20_000
+# A sketch of this many candidates is off by less than half of HEAVY_SHARE of the rows, and takes about a megabyte.
+_SKETCH_ITEMS = 5_000
+# The sketches of all tasks are merged in this many groups first, so that the last merge sees few of them.
+_SKETCH_GROUPS = 256
 
 _SLICES = ("_left_slices", "_right_slices")
 
@@ -28,8 +30,8 @@ def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], least_rows:
     """Keys too frequent for one task, in how many slices to cut their rows on either side; None if there are none.
 
     A key is heavy on a side where it holds ``least_rows`` rows and one in 1,000 of the rows; its slices there have
-    ``least_rows`` rows each. Runs one aggregation per side: a mergeable frequent-items sketch of the key columns, so
-    nothing is shuffled by key, and at most 2,000 keys reach the driver. The result is a local table of them. Counts
+    ``least_rows`` rows each. Runs one aggregation per side: a frequent-items sketch of the key columns per task,
+    merged in two steps, so nothing is shuffled by key, and at most 2,000 keys reach the driver. The result is a local table of them. Counts
     are estimates, on which only the balance of a join depends and never its result.
     """
     frequent = [_frequent_keys(side, on, least_rows) for side in (left, right)]
@@ -77,11 +79,25 @@ def left_join(
 
 
 def _frequent_keys(df: DataFrame, on: Sequence[str], least_rows: int) -> dict[tuple, int]:
-    key = F.to_json(F.struct(*on))
-    top = F.call_function("approx_top_k", key, F.lit(_MOST_HEAVY_KEYS), F.lit(_SKETCH_ITEMS))
-    seen = df.filter(_all_present(on)).agg(top.alias("top"), F.count("*").alias("n_rows")).first()
+    sketches = (
+        df.filter(_all_present(on))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)))
+        .agg(
+            F.call_function("approx_top_k_accumulate", F.to_json(F.struct(*on)), F.lit(_SKETCH_ITEMS)).alias("sketch"),
+            F.count("*").alias("n_rows"),
+        )
+    )
+    # Grouped by a constant, so that tasks without rows, or no rows at all, give no sketch instead of a faulty one.
+    merged = sketches.groupBy(F.lit("all")).agg(
+        F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(_SKETCH_ITEMS)).alias("sketch"),
+        F.sum("n_rows").alias("n_rows"),
+    )
+    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(_MOST_HEAVY_KEYS))
+    seen = merged.select(top.alias("top"), "n_rows").first()
+    if seen is None:
+        return {}
     floor = max(least_rows, HEAVY_SHARE * seen.n_rows)
-    found = {entry["item"]: entry["count"] for entry in seen.top or () if entry["count"] >= floor}
+    found = {entry["item"]: entry["count"] for entry in seen.top if entry["count"] >= floor}
     return {tuple(json.loads(item)[name] for name in on): count for item, count in found.items()}
 
 

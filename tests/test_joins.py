@@ -63,6 +63,18 @@ def test_heavy_keys(spark):
     assert heavy_keys(frame.limit(0), other.limit(0), ["k", "m"], least_rows=1) is None
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_heavy_keys_with_empty_tasks(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        one_full_task = spark.range(0, 800, 1, 16).filter("id < 50").select(F.lit("a").alias("k"))
+        nulls = spark.range(10).select(F.lit(None).cast("string").alias("k"))
+        assert list(map(tuple, heavy_keys(one_full_task, nulls, ["k"], least_rows=10).collect())) == [("a", 5, 1)]
+        assert heavy_keys(nulls, nulls, ["k"], least_rows=1) is None
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_number_of_heavy_keys_is_bounded(spark):
     many = spark.range(20_000).select((F.col("id") % 5_000).alias("k"))
     assert heavy_keys(many, many, ["k"], least_rows=1) is None

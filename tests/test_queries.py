@@ -34,3 +34,15 @@ def test_known_counts_of_the_test_tables(spark):
         "count_if(email_hash IS NULL) AS keyless", "count(DISTINCT city_name) AS cities",
     ).first()
     assert tuple(row) == (15_000, 15_000, 10_021, 14_716, 1_500, 25)
+
+
+def test_reports_agree_with_each_other(spark):
+    run = {name: contract.queries()[name](spark, SF) for name in ("kpi_global", "kpi_by_month", "kpi_by_status")}
+    counts = ("Total_Delivered_Leads", "Total_Scheduled_Appointments", "Total_Demos")
+    totals = {name: tuple(frame.groupBy().sum(*counts).first()) for name, frame in run.items()}
+    assert len(set(totals.values())) == 1
+    by_city_status = contract.queries()["kpi_by_city_status"](spark, SF)
+    without_status = run["kpi_by_status"].filter("job_status IS NULL").first().Total_Delivered_Leads
+    delivered = totals["kpi_global"][0]
+    assert by_city_status.groupBy().sum(counts[0]).first()[0] == delivered - without_status
+    assert delivered >= contract.queries()["row_count"](spark, SF).first().n_rows

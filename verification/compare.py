@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import math
 from collections import Counter
 
 import duckdb
@@ -42,8 +41,6 @@ def _kind(name: str) -> str:
 
 
 def _value(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value
