@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 import os
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.specs import SPECS, get_spec, specs_from_json
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -17,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     ingest.add_argument("--leads", default=os.getenv("LEADS_PREFIX", "leads"))
     ingest.add_argument("--reports", default=os.getenv("REPORTS_PREFIX", "contractor_reports"))
     ingest.add_argument("--out", default="step1")
+    ingest.add_argument("--specs", help="JSON file with table specifications 'leads' and 'reports'")
     model = step.add_parser("model", help="conformed tables -> dimensions and fact")
     model.add_argument("--conformed", default="step1")
     model.add_argument("--out", default="step2")
@@ -27,8 +30,9 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"funnelwright {args.step}").getOrCreate()
     if args.step == "ingest":
-        show(ingest_leads(spark, args.leads, args.out), 10)
-        reports, rows = ingest_reports(spark, args.reports, args.out)
+        specs = specs_from_json(Path(args.specs).read_text()) if args.specs else SPECS
+        show(ingest_leads(spark, args.leads, args.out, get_spec("leads", specs)), 10)
+        reports, rows = ingest_reports(spark, args.reports, args.out, get_spec("reports", specs))
         print(f"{rows} report rows")
         show(reports, 10)
     elif args.step == "model":
@@ -39,7 +43,7 @@ def main(argv: list[str] | None = None) -> None:
             frame.show(args.rows, truncate=False)
 
 
-def show(df, rows: int) -> None:
+def show(df: DataFrame, rows: int) -> None:
     df.printSchema()
     df.show(rows)
 

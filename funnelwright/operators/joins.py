@@ -31,8 +31,8 @@ def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], least_rows:
 
     A key is heavy on a side where it holds ``least_rows`` rows and one in 1,000 of the rows; its slices there have
     ``least_rows`` rows each. Runs one aggregation per side: a frequent-items sketch of the key columns per task,
-    merged in two steps, so nothing is shuffled by key, and at most 2,000 keys reach the driver. The result is a local table of them. Counts
-    are estimates, on which only the balance of a join depends and never its result.
+    merged in two steps, so nothing is shuffled by key, and at most 2,000 keys reach the driver. The result is a local
+    table of them. Counts are estimates, on which only the balance of a join depends and never its result.
     """
     frequent = [_frequent_keys(side, on, least_rows) for side in (left, right)]
     rows = [

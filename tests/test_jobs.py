@@ -1,4 +1,5 @@
 import csv
+import json
 
 import pytest
 
@@ -66,12 +67,24 @@ def test_views(spark, folders):
     assert [tuple(row) for row in spark.sql(query).collect()] == [(2023, 3)]
 
 
-def test_command_line(spark, folders, capsys, monkeypatch):
-    monkeypatch.chdir(folders)
-    monkeypatch.setenv("LEADS_PREFIX", "in/leads")
-    monkeypatch.setenv("REPORTS_PREFIX", "in/reports")
+def test_command_line(spark, folders, capsys):
     place = [f"--out={folders}/step1"]
+    fields = [{"name": name, "type": "string"} for name in HEADER if name not in ("ENTRYDATE", "LEADNUMBER", "Appt Date", "Demo", "Set")]
+    fields += [
+        {"name": "ENTRYDATE", "new_name": "entry_date", "type": "date", "format": "M/d/yyyy"},
+        {"name": "LEADNUMBER", "new_name": "lead_number", "type": "integer"},
+        {"name": "Appt Date", "type": "timestamp", "format": "M/d/yyyy h:mma"},
+        {"name": "Demo", "type": "boolean"},
+        {"name": "Set", "type": "boolean"},
+        {"name": ["CITY", "CityName"], "new_name": "city_name", "type": "string"},
+    ]
+    lead_fields = [{"name": "lead_UUID", "new_name": "lead_uuid", "type": "string"}]
+    lead_fields += [{"name": name, "type": "string"} for name in ("phone_hash", "email_hash")]
+    specs = {"input_schemas": [{"name": "leads", "entries": lead_fields}, {"name": "reports", "entries": fields}]}
+    (folders / "specs.json").write_text(json.dumps(specs))
+    place.append(f"--specs={folders}/specs.json")
     main(["ingest", f"--leads={folders}/in/leads", f"--reports={folders}/in/reports", *place])
+    assert dict(read_table(spark, f"{folders}/step1", "reports").dtypes)["zip"] == "string"
     main(["model", f"--conformed={folders}/step1", f"--out={folders}/step2"])
     main(["report", f"--model={folders}/step2", "--rows=5"])
     printed = capsys.readouterr().out

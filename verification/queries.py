@@ -142,7 +142,7 @@ def _d_leads_of(contacts: DataFrame, reports: DataFrame) -> DataFrame:
 
 
 def _dim_leads(spark, sf_dir):
-    return _d_leads_of(_stored(lead_contacts(_leads(spark, sf_dir))), _reports(spark, sf_dir))
+    return _d_leads_of(*_stored_tables(spark, sf_dir))
 
 
 def _dim_places(spark, sf_dir):
