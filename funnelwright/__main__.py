@@ -16,6 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="funnelwright", description=__doc__)
     step = parser.add_subparsers(dest="step", required=True)
     ingest = step.add_parser("ingest", help="raw leads and report snapshots -> conformed tables")
+    # The environment variables and default folders of the raw files.
     ingest.add_argument("--leads", default=os.getenv("LEADS_PREFIX", "leads"))
     ingest.add_argument("--reports", default=os.getenv("REPORTS_PREFIX", "contractor_reports"))
     ingest.add_argument("--out", default="step1")
