@@ -7,16 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelwright.llm.common import Scratch
 from funnelwright.llm.graph import components
+from funnelwright.llm.tiles import common_items, each_tile, smallest_reachable
 
 # 30 bands of 4 coordinates find a pair of similarity 0.8 with probability 1 - 1.4e-7.
 BANDS, ROWS = 30, 4
 SIMILAR = 80  # percent
 WIDTH = 5  # words in a shingle
+BLOCK_ROWS, BLOCK_SHINGLES = 1_024, 1_000_000  # of a large bucket, that are compared at once with as many others
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31, _S32 = (np.uint64(n) for n in (30, 27, 31, 32))
@@ -131,20 +133,51 @@ def _confirm(width: int):
     return run
 
 
-def _compared(pairs: DataFrame, docs: DataFrame, width: int, scratch: Scratch, name: str) -> DataFrame:
-    """``pairs`` (src, dst) with the exact sizes of intersection and union. Only the texts that occur in them move on."""
-    ids = pairs.select(F.col("src").alias("doc_id")).union(pairs.select("dst")).distinct()
-    texts = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id", "data").agg(F.lit(1).alias("_one")).drop("_one")
-    texts = scratch.store(texts, f"{name}-texts")
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The different texts of the documents in ``ids`` (doc_id)."""
+    return docs.join(ids, "doc_id", "left_semi").groupBy("doc_id", "data").agg(F.lit(1).alias("_one")).drop("_one")
+
+
+def _blocks(rows: Column, shingles: Column) -> Column:
+    """In how many blocks to cut rows, so that a block has at most about a thousand rows and a million shingles."""
+    return F.greatest(F.lit(1), F.ceil(F.greatest(rows / BLOCK_ROWS, F.coalesce(shingles, F.lit(0)) / BLOCK_SHINGLES))).cast("int")
+
+
+def _tile_links(width: int, similar: int):
+    """Links of the rows that ask with the others of their tile, as links of each row with the smallest one reachable."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[bytes, int] = {}
+        for rows in each_tile(parts):
+            asks = np.flatnonzero(rows["asks"].to_numpy(bool))
+            others = np.flatnonzero(~rows["asks"].to_numpy(bool))
+            if not len(asks) or not len(others):
+                continue
+            with np.errstate(over="ignore"):
+                sets = [shingle_hashes(data, width, known) for data in rows["data"]]
+            sizes = np.array([len(s) for s in sets])
+            common = common_items(sets, asks, others)
+            either = sizes[asks][:, None] + sizes[others][None, :] - common
+            ids, groups = rows["rep"].to_numpy(), rows["component"].to_numpy()
+            linked = (100 * common >= similar * either) & (groups[asks][:, None] != groups[others][None, :])
+            a, b = np.nonzero(linked)
+            if len(a):
+                roots = smallest_reachable(ids, asks[a], others[b])
+                moved = np.flatnonzero(roots != ids)
+                yield pd.DataFrame({"src": ids[moved], "dst": roots[moved]}).drop_duplicates()
+
+    return run
+
+
+def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``pairs`` (src, dst) with the exact sizes of intersection and union: of two documents with several texts, those of
+    the most similar ones."""
     heads = texts.select(F.col("doc_id").alias("src"), F.col("data").alias("src_data"))
     tails = texts.select(F.col("doc_id").alias("dst"), F.col("data").alias("dst_data"))
     joined = pairs.join(tails, "dst").join(heads, "src").select("src", "dst", "src_data", "dst_data")
     compared = joined.mapInPandas(_confirm(width), "src long, dst long, both long, either long")
     best = F.max(F.struct((F.col("both") / F.col("either")).alias("s"), "both", "either")).alias("best")
-    best_of = compared.groupBy("src", "dst").agg(best).select("src", "dst", "best.both", "best.either")
-    out = scratch.store(best_of, name)
-    scratch.drop(f"{name}-texts")
-    return out
+    return compared.groupBy("src", "dst").agg(best).select("src", "dst", "best.both", "best.either")
 
 
 def near_duplicates(
@@ -165,9 +198,10 @@ def near_duplicates(
       meet in pairs.
     * Classes that agree in a band share a bucket. Each is compared exactly with the smallest class of the bucket, its
       hub; so a bucket of m near copies costs m comparisons.
-    * A class that this did not join with its hub is compared with the other members, unless the triangle inequality
-      of the Jaccard distance shows from the two known distances to the hub that the pair cannot be similar. So no link
-      between bucket mates is lost, whatever the bucket's size.
+    * Classes that this did not join with their hub are compared with all other members of the bucket but the hub, if
+      these are of different groups by then. This is done in tiles of two blocks of rows: pairs are counted inside a
+      task, and what comes out is at most a row per row of the tile. So no link between bucket mates is lost, whatever
+      the bucket's size, and no pairs are written.
 
     Defined cases: NULL, empty or blank text has n_shingles 0 and links with nothing. A row without doc_id links with
     nothing, has component_id NULL and is kept. Rows that share a doc_id are one document with several texts. Extra
@@ -178,43 +212,49 @@ def near_duplicates(
     schema = "doc_id long, n_shingles long, low long, high long, bands array<long>"
     sketches = scratch.store(docs.mapInPandas(_sketches(width, bands, rows), schema), "sketches")
     usable = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("low", "high", "bands").agg(F.min("doc_id").alias("rep"))
-    members = classes.select("rep", F.explode("bands").alias("key"))
+    classes = usable.groupBy("low", "high", "n_shingles", "bands").agg(F.min("doc_id").alias("rep"))
+    members = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("last")).filter("hub != last")
     shared = scratch.store(members.join(buckets.drop("last"), "key"), "buckets")
 
-    wanted = docs.filter("doc_id IS NOT NULL")
     tested = shared.filter("rep != hub").select(F.col("hub").alias("src"), F.col("rep").alias("dst")).distinct()
-    tested = _compared(tested, wanted, width, scratch, "stars")
+    texts = scratch.store(_texts(docs, shared.select(F.col("rep").alias("doc_id")).distinct()), "texts")
+    tested = scratch.store(_compared(tested, texts, width), "stars")
     is_link = F.col("both") * 100 >= F.col("either") * similar
     groups = scratch.store(components(tested.filter(is_link), scratch, "first"), "groups")
 
-    # What is left: bucket mates in different groups that were not compared with each other.
-    apart = tested.select(
-        F.col("src").alias("hub"), F.col("dst").alias("rep"), (1 - F.col("both") / F.col("either")).alias("apart")
-    )
+    # What is left: bucket mates in different groups, neither of which is the hub.
     group_of = groups.select(F.col("node").alias("rep"), "component")
     hub_group = groups.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    placed = (
-        shared.join(group_of, "rep", "left")
-        .join(hub_group, "hub", "left")
-        .join(apart, ["hub", "rep"], "left")
-        .select(
-            "key", "rep", F.coalesce("component", "rep").alias("component"), F.coalesce("hub_component", "hub").alias("hub_component"),
-            F.coalesce("apart", F.lit(0.0)).alias("apart"), (F.col("rep") == F.col("hub")).alias("is_hub"),
-        )
-    )
-    outside = scratch.store(placed.filter("component != hub_component"), "outside")
-    open_keys = outside.select("key").distinct()
-    mates = placed.filter("NOT is_hub").join(open_keys, "key", "left_semi")
-    mates = mates.select("key", F.col("rep").alias("other"), F.col("component").alias("other_component"), F.col("apart").alias("other_apart"))
-    near_enough = F.abs(F.col("apart") - F.col("other_apart")) <= (100 - similar) / 100 + 1e-9
-    pairs = outside.join(mates, "key").filter((F.col("component") != F.col("other_component")) & near_enough)
-    pairs = pairs.select(F.least("rep", "other").alias("src"), F.greatest("rep", "other").alias("dst")).distinct()
-    pairs = scratch.store(pairs, "pairs")
-    if not pairs.isEmpty():
-        more = _compared(pairs, wanted, width, scratch, "rest").filter(is_link)
-        both = more.select("src", "dst").union(groups.select("component", "node"))
+    mates = shared.filter("rep != hub").join(group_of, "rep", "left").join(hub_group, "hub", "left")
+    mates = mates.select(
+        "key", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"),
+        (F.coalesce("component", "rep") != F.coalesce("hub_component", "hub")).alias("outside"),
+    )
+    mates = scratch.store(mates, "mates")
+    scratch.drop("buckets")
+    scratch.drop("stars")
+    mixed_buckets = mates.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        _blocks(F.count("*"), F.sum("n_shingles")).alias("blocks"),
+        _blocks(F.count_if("outside"), F.sum(F.when(F.col("outside"), F.col("n_shingles")))).alias("outside_blocks"),
+    )
+    mixed_buckets = mixed_buckets.filter("low != high").drop("low", "high")
+    tiled = mates.join(mixed_buckets, "key")
+    of = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    tile = lambda i, j: F.xxhash64("key", i, j).alias("tile")
+    rows = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("outside_blocks") - 1)).alias("other"))
+    rows = rows.select("rep", "component", F.lit(False).alias("asks"), tile(F.col("other"), of(F.col("blocks"))))
+    asks = tiled.filter("outside").select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    asks = asks.select("rep", "component", F.lit(True).alias("asks"), tile(of(F.col("outside_blocks")), F.col("other")))
+    rows = scratch.store(rows.union(asks), "tiles")
+    full = rows.join(texts, F.col("rep") == F.col("doc_id")).drop("doc_id")
+    full = full.repartition("tile").sortWithinPartitions("tile", "rep")
+    more = scratch.store(full.mapInPandas(_tile_links(width, similar), "src long, dst long"), "rest")
+    for table in ("mates", "tiles", "texts"):
+        scratch.drop(table)
+    if not more.isEmpty():
+        both = more.union(groups.select("component", "node"))
         groups = scratch.store(components(both, scratch, "second"), "all-groups")
 
     named = classes.join(groups, F.col("rep") == F.col("node"), "left")
