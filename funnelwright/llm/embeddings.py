@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from funnelwright.llm.common import Scratch
 from funnelwright.llm.graph import components
+from funnelwright.llm.tiles import each_tile, smallest_reachable
 
 # A pair of cosine 0.93 (distance 0.374) shares a bucket in at least one table with probability 0.994, one of cosine
 # 0.96 with 0.9999; an unrelated pair (distance 1.41) with 0.002.
@@ -88,47 +89,17 @@ def _tile_links(cosine: float):
         if not len(a):
             return None
         partners = np.bincount(a, weights[b], len(ids)) + np.bincount(b, weights[a], len(ids))
-        order = np.argsort(ids, kind="stable")
-        root = np.empty(len(ids), np.int64)
-        root[order] = np.arange(len(ids))
-        while True:
-            low = np.minimum(root[a], root[b])
-            before = root.copy()
-            np.minimum.at(root, a, low)
-            np.minimum.at(root, b, low)
-            root = root[order[root]]
-            if (root == before).all():
-                break
+        roots = smallest_reachable(ids, a, b)
         linked = np.flatnonzero(partners)
-        return pd.DataFrame({"cid": ids[linked], "links": partners[linked].astype(np.int64), "root": ids[order[root[linked]]]})
+        return pd.DataFrame({"cid": ids[linked], "links": partners[linked].astype(np.int64), "root": roots[linked]})
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for part in parts:
-            rest = part if rest is None else pd.concat([rest, part], ignore_index=True)
-            last = rest["tile"].iloc[-1] if len(rest) else None
-            whole = rest[rest["tile"] != last]
-            rest = rest[rest["tile"] == last].reset_index(drop=True)
-            yield from tiles(whole)
-        if rest is not None:
-            yield from tiles(rest)
-
-    def tiles(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        if not len(rows):
-            return
-        names = rows["tile"].to_numpy()
-        cuts = np.flatnonzero(names[1:] != names[:-1]) + 1
-        ids, sides, tables, weights = (rows[c].to_numpy() for c in ("cid", "side", "table", "weight"))
-        units, keys = rows["unit"].to_numpy(), rows["keys"].to_numpy()
-        found = []
-        for start, end in zip([0, *cuts], [*cuts, len(rows)], strict=True):
-            if end - start > 1:
-                some = slice(start, end)
-                out = links(ids[some], sides[some], tables[some], np.stack(units[some]), weights[some], np.stack(keys[some]))
-                if out is not None:
-                    found.append(out)
-        if found:
-            yield pd.concat(found)
+        for rows in each_tile(parts):
+            if len(rows) > 1:
+                ids, sides, tables, weights = (rows[c].to_numpy() for c in ("cid", "side", "table", "weight"))
+                found = links(ids, sides, tables, np.stack(rows["unit"].to_numpy()), weights, np.stack(rows["keys"].to_numpy()))
+                if found is not None:
+                    yield found
 
     return run
 
