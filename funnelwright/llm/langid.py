@@ -51,8 +51,8 @@ class TextModel:
         found = pairs(text) if text else np.empty(0, np.int64)
         if not len(found):
             return np.zeros(len(self.languages))
-        score = self.logs[:, found].sum(axis=1) * min(1.0, EVIDENCE / len(found))
-        return score - score.max()
+        score = self.logs[:, found].sum(axis=1, dtype=np.float64) * min(1.0, EVIDENCE / len(found))
+        return np.round(score - score.max(), 9)  # so that the order of summation decides no tie
 
 
 def train_text(labelled: DataFrame, text: str = "text", lang: str = "lang") -> TextModel:

@@ -11,7 +11,7 @@ from funnelwright.llm.common import Scratch, words
 
 WEIGHTS = (5, 2, 1)  # of the sources by name, repeating
 MOST_EPOCHS = 3
-DOCS_PER_SLICE = 50_000
+DOCS_PER_SLICE = 5_000
 
 
 def quality_weight(tokens: Column) -> Column:

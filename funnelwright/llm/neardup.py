@@ -35,12 +35,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def shingle_hashes(data: bytes | None, width: int, known: dict[bytes, int]) -> np.ndarray:
     """The sorted distinct 64-bit hashes of the shingles of a text given in UTF-8.
 
-    ``known`` remembers hashes of words; it is emptied at a million words.
+    ``known`` remembers hashes of words; it is emptied at 200,000 words.
     """
     tokens = data.lower().split() if data else []
     if not tokens:
         return np.empty(0, np.uint64)
-    if len(known) > 1_000_000:
+    if len(known) > 200_000:
         known.clear()
     hashes = np.empty(len(tokens), np.uint64)
     for i, token in enumerate(tokens):

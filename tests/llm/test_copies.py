@@ -1,0 +1,176 @@
+"""Near duplicates, line dedup, near vectors and components against brute force."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from funnelwright.llm import embeddings, linededup, neardup
+from funnelwright.llm.common import Scratch
+from funnelwright.llm.graph import components
+from funnelwright.llm.tiles import common_items
+
+
+def closed(nodes, links):
+    """Smallest node reachable, by repeated passes."""
+    group = {n: n for n in nodes}
+    while True:
+        before = dict(group)
+        for a, b in links:
+            group[a] = group[b] = min(group[a], group[b])
+        if group == before:
+            return group
+
+
+def texts(seed, n=160):
+    draw = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [[draw.choice(vocabulary) for _ in range(60)] for _ in range(6)]
+    out = [None, "", " \n\t", "one", "ONE", "one two", "One  two", "two one", "İ two"]
+    while len(out) < n:
+        own = list(draw.choice(base))
+        for _ in range(draw.choice([0, 0, 1, 2, 3, 4, 5, 6])):
+            own[draw.randrange(len(own))] = draw.choice(vocabulary)
+        out.append(" ".join(own))
+    return out
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def shingles(text, width=2):
+    words = lower(text or "").encode().split()
+    size = min(width, len(words))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+@pytest.mark.parametrize("block", [neardup.BLOCK_ROWS, 3])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", block)
+    rows = [(i * 3 % 163, t) for i, t in enumerate(texts(4))]
+    docs = spark.createDataFrame([(i, t, "x", None) for i, t in rows], "doc_id long, text string, kept string, component_id int")
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and sets[b]]
+    groups = closed(sets, links)
+    found = neardup.near_duplicates(docs, width=2).collect()
+    assert {tuple(r) for r in found} == {(i, len(sets[i]), groups[i], groups[i] == i) for i in sets}
+    kept = {r.doc_id for r in neardup.drop_near_duplicates(docs, width=2).collect()}
+    assert kept == {i for i in sets if groups[i] == i}
+
+
+def test_near_duplicates_odd_rows(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (1, "a b c"), (1, "a b c"), (2, "x " * 30_000)], "doc_id long, text string")
+    found = neardup.near_duplicates(docs, width=2)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(1, 2, 1, True)] * 2 + [(None, 2, None, True)] * 2 + [(2, 1, 2, True)], key=str
+    )
+    assert neardup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_sketch_estimates_jaccard():
+    draw = np.random.default_rng(1)
+    with np.errstate(over="ignore"):
+        for size, common in ((30, 20), (300, 240), (2, 1)):
+            hits = []
+            for _ in range(60):
+                items = draw.integers(0, 2**63, 2 * size - common).astype(np.uint64)
+                one, other = neardup.sketch(items[:size], 120), neardup.sketch(items[size - common :], 120)
+                assert (one != 2**64 - 1).all()
+                hits.append((one == other).mean())
+            assert abs(np.mean(hits) - common / (2 * size - common)) < 0.05
+
+
+def test_common_items_counts_intersections():
+    draw = np.random.default_rng(2)
+    sets = [np.unique(draw.integers(0, 60, 30)).astype(np.uint64) for _ in range(40)] + [np.empty(0, np.uint64)]
+    first, second = np.arange(0, 20), np.arange(10, 41)
+    want = [[len(set(sets[i]) & set(sets[j])) for j in second] for i in first]
+    got = common_items(sets, first, second)
+    same = first[:, None] == second[None, :]
+    assert (got[~same] == np.array(want)[~same]).all()
+
+
+def test_components_of_chains_and_stars(spark):
+    draw = random.Random(3)
+    links = [(i, i + 1) for i in range(100, 180)] + [(5, i) for i in range(200, 260)] + [(draw.randrange(300, 400), draw.randrange(300, 400)) for _ in range(70)]
+    frame = spark.createDataFrame([*links, (7, 7), (None, 3)], "src long, dst long")
+    want = closed({n for link in links if link[0] != link[1] for n in link}, links)
+    assert dict(map(tuple, components(frame, Scratch(spark, "test")).collect())) == want
+
+
+def dedup(rows):
+    holders = {}
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            key = lower(line.strip(" \t\n\v\f\r"))
+            if len(key) >= 10:
+                holders.setdefault(key, set()).add(i)
+    out = set()
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (len(holders.get(lower(x.strip(" \t\n\v\f\r")), ())) > 1 and min(holders[lower(x.strip(" \t\n\v\f\r"))]) != i)]
+        out.add((i, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return out
+
+
+def lines(seed, ids):
+    draw = random.Random(seed)
+    pool = [f"Line number {i} of all" for i in range(30)] + ["short", "ÄÖÜ äöü ßß", "", "  ", "ABCDEFGHIJ", "abcdefghij "]
+    return [(i, "\n".join(draw.choice(pool) for _ in range(draw.randrange(0, 9)))) for i in ids] + [(max(ids) + 1, None)]
+
+
+def digest(frame):
+    return {(r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256(r.text.encode()).hexdigest()) for r in frame.collect()}
+
+
+def test_line_dedup_equals_brute_force_and_is_reversible(spark):
+    old, new = lines(1, range(10, 40)), lines(2, range(50, 70))
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    index = linededup.LineIndex.build(frame(old))
+    assert digest(linededup.dedup_lines(frame(old), index)) == dedup(old)
+    both = index.insert(frame(new))
+    assert digest(linededup.dedup_lines(frame(old + new), both)) == dedup(old + new)
+    back = both.delete(frame(new))
+    assert digest(linededup.dedup_lines(frame(old), back)) == dedup(old)
+    assert set(map(tuple, back.counts.collect())) == set(map(tuple, index.counts.collect()))
+    fewer = both.delete(frame(old[:15]))
+    assert digest(linededup.dedup_lines(frame(old[15:] + new), fewer)) == dedup(old[15:] + new)
+
+
+def test_line_dedup_odd_rows(spark):
+    docs = spark.createDataFrame([(None, "a line of text", 1), (1, "a line of text", 2), (None, "a line of text", 3)], "doc_id long, text string, n_lines int")
+    assert [r.n_dropped for r in linededup.dedup_lines(docs).collect()] == [0, 0, 0]
+    assert linededup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_cuckoo_filter_takes_and_gives_up():
+    draw = np.random.default_rng(5)
+    items = draw.integers(-(2**63), 2**63 - 1, 20_000)
+    table = linededup.Cuckoo.for_items(len(items))
+    assert table.insert(items) and table.contains(items).all()
+    table = linededup.Cuckoo.from_bytes(table.to_bytes())
+    table.remove(items[:10_000])
+    assert table.contains(items[10_000:]).all()
+    assert table.contains(items[:10_000]).mean() < 0.01
+    assert (table.cells != 0).sum() == 10_000
+    assert not linededup.Cuckoo.for_items(10).insert(items)
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_near_vectors_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    draw = np.random.default_rng(8)
+    base = draw.standard_normal((5, 24))
+    rows = [(int(i), (base[i % 5] + draw.standard_normal(24) * draw.choice([0.05, 0.15])).tolist(), int(i % 2)) for i in range(120)]
+    rows += [(200 + i, rows[i][1], rows[i][2]) for i in range(20)] + [(300, rows[0][1], None), (301, None, 0), (302, [0.0] * 24, 0), (303, [float("nan")] * 24, 0), (304, [1.0], 0), (305, [], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    usable = {i: (np.float32(v).astype(float), l) for i, v, l in rows[:140]}
+    unit = {i: v / np.linalg.norm(v) for i, (v, _) in usable.items()}
+    links = [(a, b) for a in usable for b in usable if a < b and usable[a][1] == usable[b][1] and unit[a] @ unit[b] >= 0.93]
+    groups = closed([r[0] for r in rows], links)
+    degree = {i: sum(i in link for link in links) for i in groups}
+    found = {tuple(r) for r in embeddings.near_vectors(frame).collect()}
+    assert found == {(i, degree[i], groups[i], groups[i] == i) for i in groups}
+    assert embeddings.near_vectors(frame.limit(0)).count() == 0
