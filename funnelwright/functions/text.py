@@ -23,5 +23,5 @@ def collapse_whitespace(column: Column) -> Column:
 
 def snake_case(name: str) -> str:
     """``Appt Date`` -> ``appt_date``. Works on column names, never on data."""
-    words = re.split(r"[^a-zA-Z0-9]+", name.strip())
-    return "_".join(words).lower()
+    # Fixed rule of names: a run of anything but ASCII letters and digits is one underscore.
+    return re.sub(r"[^a-zA-Z0-9]+", "_", name.strip()).lower()

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name below the session's checkpoint folder.
+    """A new folder name below ``spark.checkpoint.dir``, or below the warehouse where that is unset, as in tests.
 
-    Where no checkpoint folder is set, a local session gets a temporary folder of its own. A cluster has to set one.
+    Both are shared by all executors. Results of queries are read from these folders later, so they stay; whoever set the
+    checkpoint folder can empty it once results are written.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = tempfile.mkdtemp(prefix="run-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
     return f"{root.rstrip('/')}/funnelwright-{uuid.uuid4().hex}"
