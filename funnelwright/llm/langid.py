@@ -187,7 +187,7 @@ def identify(
         {
             "language": F.element_at(names, F.array_position("_logs", top).cast("int")),
             "confidence": F.lit(1.0) / mass,
-            "text_language": F.element_at(names, F.col("_guess")),
+            "text_language": F.when(F.col("_guess").isNotNull(), F.element_at(names, F.coalesce("_guess", F.lit(1)))),
         }
     )
     return done.drop("_text", "_declared", "_suffix", "_host", "_guess", "_prior_of", "_prior", "_logs")
@@ -227,8 +227,10 @@ def keep_languages(
 
     Rows whose text has no evidence (NULL, empty, without letters) go: they are in no language. Columns stay as they are.
     """
-    found = identify(docs, F.col(text), train_text(docs, text, declared), F.lower(F.trim(F.col(declared))), None, F.col(host))
+    boxed = docs.select(F.struct("*").alias("_row"))
+    own = F.col("_row")
+    found = identify(boxed, own[text], train_text(docs, text, declared), F.lower(F.trim(own[declared])), None, own[host])
     keep = F.col("text_language").isNotNull() & (F.col("confidence") >= least)
     if wanted is not None:
         keep &= F.col("language").isin(wanted)
-    return found.filter(keep).select(docs.columns)
+    return found.filter(keep).select("_row.*")

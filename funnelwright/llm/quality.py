@@ -167,10 +167,8 @@ def fit(described: DataFrame, labels: DataFrame, label: str = "quality", doc_id:
         [tuple(r) for r in binned.groupBy("bin").agg(F.sum("n"), F.sum("total")).collect()], columns=["bin", "n", "total"]
     ).sort_values("bin")
     if len(binned):
-        rate = (system[size - 1, size] if n else 0.5) / max(n, 1)
         held = binned["n"].to_numpy(float)
-        values = (binned["total"].to_numpy() + rate) / (held + 1)
-        levels = isotonic(values, held)
+        levels = isotonic(binned["total"].to_numpy() / held, held)
         # One knot per level, at the middle of its scores; in between the scores rise, so that ranks are not lost.
         centres = _BIN_LOW + (binned["bin"].to_numpy() + 0.5) / BINS * (_BIN_HIGH - _BIN_LOW)
         starts = np.flatnonzero(np.r_[True, levels[1:] > levels[:-1]])
