@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.sources import write_table
 from funnelwright.specs import SPECS, get_spec, specs_from_json
 
 
@@ -26,7 +27,8 @@ def main(argv: list[str] | None = None) -> None:
     model.add_argument("--out", default="step2")
     report = step.add_parser("report", help="dimensions and fact -> the five reports")
     report.add_argument("--model", default="step2")
-    report.add_argument("--rows", type=int, default=1000, help="rows to print of each report")
+    report.add_argument("--out", default="step3", help="folder that the complete reports are stored in")
+    report.add_argument("--rows", type=int, default=1000, help="rows to print of each report; all are stored")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"funnelwright {args.step}").getOrCreate()
@@ -40,6 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         show(build_model(spark, args.conformed, args.out), 10)
     else:
         for name, frame in kpi_reports(spark, args.model).items():
+            write_table(frame, args.out, name)
             print(name)
             frame.show(args.rows, truncate=False)
 

@@ -86,7 +86,8 @@ def build_model(
 ) -> DataFrame:
     """Tables ``leads`` and ``reports`` -> ``date``, ``leads``, ``places``, ``status``, ``kpi_calculation``.
 
-    Two work tables, ``lead_contacts`` and ``report_contacts``, stay next to them.
+    Three more tables stay next to them: ``lead_contacts``, ``report_contacts``, and ``kpi_tally``, the fact counted by all
+    dimension keys, which the reports read.
     """
     with sized_for(spark, conformed, expansion=PARQUET_EXPANSION):
         reports = read_table(spark, conformed, "reports")
@@ -100,18 +101,15 @@ def build_model(
         write_table(leads_dimension(contacts, reported, crowded), out, "leads")
         repeated = heavy_keys(reports, contacts, HASHES)
         fact = kpi_fact(reports, contacts, repeated, first_date=first_date, last_date=last_date)
-        return write_table(fact, out, "kpi_calculation")
+        stored = write_table(fact, out, "kpi_calculation")
+        write_table(tally(stored, REPORT_KEYS), out, "kpi_tally")
+        return stored
 
 
 def kpi_reports(spark: SparkSession, model: str) -> dict[str, DataFrame]:
-    """The five reports over a stored model.
-
-    The fact is read once: its tally by all dimension keys is stored next to it, and every report adds that up.
-    """
+    """The five reports over a stored model, which this only reads: every report adds up the model's tally."""
     d_date, d_places, d_status = (read_table(spark, model, name) for name in ("date", "places", "status"))
-    fact = read_table(spark, model, "kpi_calculation")
-    with sized_for(spark, f"{model.rstrip('/')}/kpi_calculation"):
-        tallied = write_table(tally(fact, REPORT_KEYS), model, "kpi_tally")
+    tallied = read_table(spark, model, "kpi_tally")
     return {
         "global": global_report(tallied),
         "city": city_report(tallied, d_places),

@@ -19,15 +19,17 @@ _SPLIT = "spark.sql.files.maxPartitionBytes"
 
 SHUFFLE_BYTES = 256 << 20
 # Each map task keeps a block per shuffle partition, so neither number may grow without end. At the limits tasks get
-# larger and spill: 100 TB make 100,000 map tasks of 1 GB and 40,000 shuffle partitions of 2.5 GB.
+# larger and spill: 100 TB of files make 100,000 map tasks of 1 GB, and 40,000 shuffle partitions of 2.5 GB times the
+# expansion of the files. 256 MB per shuffle partition hold up to 10 TB of shuffled bytes.
 MOST_PARTITIONS = 40_000
 MOST_SPLITS = 100_000
 LARGEST_SPLIT = 1 << 30
 
 
-def task_sizes(n_bytes: int, partitions: int, split: int) -> tuple[int, int]:
-    """Shuffle partitions and bytes per file split for ``n_bytes`` of input; never below the given settings."""
-    wanted_partitions = min(math.ceil(n_bytes / SHUFFLE_BYTES), MOST_PARTITIONS)
+def task_sizes(n_bytes: int, partitions: int, split: int, expansion: int = 1) -> tuple[int, int]:
+    """Shuffle partitions and bytes per file split for ``n_bytes`` of files, of which shuffled rows take ``expansion``
+    times as many; never below the given settings."""
+    wanted_partitions = min(math.ceil(expansion * n_bytes / SHUFFLE_BYTES), MOST_PARTITIONS)
     wanted_split = min(math.ceil(n_bytes / MOST_SPLITS), LARGEST_SPLIT)
     return max(partitions, wanted_partitions), max(split, wanted_split)
 
@@ -39,8 +41,8 @@ def sized_for(spark: SparkSession, *paths: str, expansion: int = 1) -> Iterator[
     ``expansion`` is the factor by which rows in a shuffle exceed the bytes on disk.
     """
     before = {name: spark.conf.get(name) for name in (_PARTITIONS, _SPLIT)}
-    n_bytes = expansion * sum(stored_bytes(spark, path) for path in paths)
-    partitions, split = task_sizes(n_bytes, int(before[_PARTITIONS]), _in_bytes(before[_SPLIT]))
+    n_bytes = sum(stored_bytes(spark, path) for path in paths)
+    partitions, split = task_sizes(n_bytes, int(before[_PARTITIONS]), _in_bytes(before[_SPLIT]), expansion)
     spark.conf.set(_PARTITIONS, str(partitions))
     spark.conf.set(_SPLIT, str(split))
     try:

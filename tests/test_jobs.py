@@ -46,7 +46,9 @@ def test_from_files_to_reports(spark, folders):
         ("l1", 1), ("l2", 2), ("l3", None),
     }
 
-    found = {name: [tuple(row) for row in frame.collect()] for name, frame in kpi_reports(spark, step2).items()}
+    first = kpi_reports(spark, step2)
+    kpi_reports(spark, step2)  # a second reader leaves the first one's results alone
+    found = {name: [tuple(row) for row in frame.collect()] for name, frame in first.items()}
     assert found["global"] == [(5, 3, 2, 60.0, 66.67)]
     assert found["month"] == [(2023, 4, 1, 1, 0, 100.0, 0.0), (None, None, 2, 0, 0, 0.0, 0.0), (2023, 3, 2, 2, 2, 100.0, 100.0)]
     assert found["status"] == [("Lost", 1, 1, 0, 100.0, 0.0), (None, 2, 0, 0, 0.0, 0.0), ("Sold", 2, 2, 2, 100.0, 100.0)]
@@ -86,6 +88,7 @@ def test_command_line(spark, folders, capsys):
     main(["ingest", f"--leads={folders}/in/leads", f"--reports={folders}/in/reports", *place])
     assert dict(read_table(spark, f"{folders}/step1", "reports").dtypes)["zip"] == "string"
     main(["model", f"--conformed={folders}/step1", f"--out={folders}/step2"])
-    main(["report", f"--model={folders}/step2", "--rows=5"])
+    main(["report", f"--model={folders}/step2", f"--out={folders}/step3", "--rows=1"])
+    assert read_table(spark, f"{folders}/step3", "month").count() == 3
     printed = capsys.readouterr().out
     assert "5 report rows" in printed and "Conversion_Rate" in printed and "66.67" in printed

@@ -15,6 +15,12 @@ def test_large_input_raises_them_within_limits():
     assert task_sizes(1 * TB, 50_000, 2 * LARGEST_SPLIT) == (50_000, 2 * LARGEST_SPLIT)
 
 
+def test_expansion_counts_for_shuffles_only():
+    assert task_sizes(1 * TB, 200, 128 * MB, expansion=4) == (4 * 4096, 128 * MB)
+    assert task_sizes(25 * TB, 200, 128 * MB, expansion=4) == (MOST_PARTITIONS, -(-25 * TB // 100_000))
+    assert task_sizes(100 * TB, 200, 128 * MB, expansion=4) == (MOST_PARTITIONS, LARGEST_SPLIT)
+
+
 def test_settings_hold_within_the_block_only(spark, tmp_path, monkeypatch):
     write_table(spark.range(1000), str(tmp_path), "t")
     n_bytes = stored_bytes(spark, f"{tmp_path}/t")
