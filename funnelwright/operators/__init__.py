@@ -1,4 +1,4 @@
-"""DataFrame operators. None of them runs a job, except :func:`heavy_keys`, which says so."""
+"""DataFrame operators. None of them runs a job."""
 
 from funnelwright.operators.cleaning import (
     clean,

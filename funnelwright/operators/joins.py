@@ -2,47 +2,43 @@
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from funnelwright.operators.union import union_all_by_name
 
-# A key counts as heavy from one row in 1,000 of its table on, so there are at most 1,000 heavy keys per table
-# however large it is.
-HEAVY_SHARE = 0.001
-_MOST_HEAVY_KEYS = 1_000
-# A sketch of this many candidates is off by less than half of HEAVY_SHARE of the rows, and takes about a megabyte.
-_SKETCH_ITEMS = 5_000
-# The sketches of all tasks are merged in this many groups first, so that the last merge sees few of them.
-_SKETCH_GROUPS = 256
+# Rows of one key that a task joins without trouble; a key with more of them on a side is cut into slices of so many.
+LEAST_ROWS = 1_000_000
+# In how many parts the rows of a key are dealt to find out whether it is heavy, where the list is too long to broadcast.
+_PARTS = 16
 
 _SLICES = ("_left_slices", "_right_slices")
 
 
-def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], least_rows: int = 1_000_000) -> DataFrame | None:
-    """Keys too frequent for one task, in how many slices to cut their rows on either side; None if there are none.
+def heavy_keys(
+    left: DataFrame, right: DataFrame, on: Sequence[str], least_rows: int = LEAST_ROWS, left_rows: str | None = None
+) -> DataFrame:
+    """Keys with at least ``least_rows`` rows on a side, and in how many slices to cut their rows on either side.
 
-    A key is heavy on a side where it holds ``least_rows`` rows and one in 1,000 of the rows; its slices there have
-    ``least_rows`` rows each. Runs one aggregation per side: a frequent-items sketch of the key columns per task,
-    merged in two steps, so nothing is shuffled by key, and at most 2,000 keys reach the driver. The result is a local
-    table of them. Counts are estimates, on which only the balance of a join depends and never its result.
+    Exact counts, whatever the number or share of such keys: there are at most as many as ``least_rows`` goes into the
+    rows. ``left_rows`` names a column of ``left`` that says how many rows each row stands for. Each side is counted once, and
+    combined per task before it is shuffled, so a key's frequency does not matter. :func:`left_join` reads the result several
+    times: store it first.
     """
-    frequent = [_frequent_keys(side, on, least_rows) for side in (left, right)]
-    rows = [
-        (*key, *[max(1, math.ceil(counts.get(key, 0) / least_rows)) for counts in frequent])
-        for key in {**frequent[0], **frequent[1]}
-    ]
-    if not rows:
-        return None
-    slices = [T.StructField(name, T.IntegerType()) for name in _SLICES]
-    return left.sparkSession.createDataFrame(rows, T.StructType([*[left.schema[name] for name in on], *slices]))
+    n_left = F.count(F.lit(1)) if left_rows is None else F.sum(left_rows)
+    by_side = [_slices(left, on, n_left, least_rows, _SLICES), _slices(right, on, F.count(F.lit(1)), least_rows, _SLICES[::-1])]
+    return union_all_by_name(by_side).groupBy(*on).agg(*[F.max(name).alias(name) for name in _SLICES])
+
+
+def _slices(df: DataFrame, on: Sequence[str], n_rows: Column, least_rows: int, names: Sequence[str]) -> DataFrame:
+    """The heavy keys of one side: its slices under the first of ``names``, one slice under the other."""
+    counted = df.filter(_all_present(on)).groupBy(*on).agg(n_rows.alias("_rows")).filter(F.col("_rows") >= least_rows)
+    slices = F.ceil(F.col("_rows") / least_rows).cast("int")
+    return counted.select(*on, slices.alias(names[0]), F.lit(1).alias(names[1]))
 
 
 def left_join(
@@ -64,8 +60,9 @@ def left_join(
       slices. Adaptive execution splits partitions too, but only those of the left side of a left
       join, and it goes by compressed size: the copies of a row that snapshots bring compress to almost nothing.
 
-    ``slice_by`` names right columns that tell rows of one key apart. The result is the same with and without
-    ``heavy``, whatever it lists.
+    ``slice_by`` names right columns that tell rows of one key apart. Left rows, which may be copies of each other, are dealt to
+    slices by the input partition they are in: a key whose rows all lie in one partition of ``left`` stays in one row of its
+    grid. The result is the same with and without ``heavy``, whatever keys it lists, each once.
     """
     matchable = _all_present([*on, *required])
     keyed, keyless = left.filter(matchable), left.filter(~matchable)
@@ -78,29 +75,6 @@ def left_join(
     return union_all_by_name([joined, keyless])
 
 
-def _frequent_keys(df: DataFrame, on: Sequence[str], least_rows: int) -> dict[tuple, int]:
-    sketches = (
-        df.filter(_all_present(on))
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)))
-        .agg(
-            F.call_function("approx_top_k_accumulate", F.to_json(F.struct(*on)), F.lit(_SKETCH_ITEMS)).alias("sketch"),
-            F.count("*").alias("n_rows"),
-        )
-    )
-    # Grouped by a constant, so that tasks without rows, or no rows at all, give no sketch instead of a faulty one.
-    merged = sketches.groupBy(F.lit("all")).agg(
-        F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(_SKETCH_ITEMS)).alias("sketch"),
-        F.sum("n_rows").alias("n_rows"),
-    )
-    top = F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(_MOST_HEAVY_KEYS))
-    seen = merged.select(top.alias("top"), "n_rows").first()
-    if seen is None:
-        return {}
-    floor = max(least_rows, HEAVY_SHARE * seen.n_rows)
-    found = {entry["item"]: entry["count"] for entry in seen.top if entry["count"] >= floor}
-    return {tuple(json.loads(item)[name] for name in on): count for item, count in found.items()}
-
-
 def _grid_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame, slice_by: Sequence[str]
 ) -> DataFrame:
@@ -111,23 +85,23 @@ def _grid_join(
     rows, columns = F.col("_left_slices"), F.col("_right_slices")
 
     # A left row is repeated only for keys that the right side has. It then has a match in some column, and what it
-    # does not match in the other columns is dropped below. The broadcasts have at most as many rows as ``heavy``.
-    cut = F.broadcast(heavy.filter(columns > 1))
+    # does not match in the other columns is dropped below.
+    cut = heavy.filter(columns > 1)
     present = right.join(cut, list(on), "left_semi").select(*on).distinct().withColumn("_present", F.lit(True))
-    flags = heavy.join(F.broadcast(present), list(on), "left")
+    flags = heavy.join(present, list(on), "left")
 
     # Left rows may be copies of each other, so their content cannot spread them; the input partition can. Neither it
     # nor the content of right rows changes when a lost task runs again, so rows go where they went before.
-    row_of_left = F.when(rows.isNotNull(), F.pmod(F.spark_partition_id(), rows)).otherwise(F.lit(0))
+    row_of_left = F.when(rows.isNotNull(), F.pmod("_from", rows)).otherwise(F.lit(0))
     column_of_right = F.when(columns.isNotNull(), F.pmod(F.xxhash64(*slice_by), columns).cast("int")).otherwise(F.lit(0))
     by_row = (
-        left.join(F.broadcast(flags), list(on), "left")
+        _flagged(left.withColumn("_from", F.spark_partition_id()), flags, on, F.col("_from"))
         .withColumn("_row", row_of_left)
         .withColumn("_column", _each(columns, F.col("_present")))
-        .drop(*_SLICES)
+        .drop("_from", *_SLICES)
     )
     by_column = (
-        right.join(F.broadcast(heavy), list(on), "left")
+        _flagged(right, heavy, on, F.xxhash64(*slice_by))
         .withColumn("_column", column_of_right)
         .withColumn("_row", _each(rows, rows.isNotNull()))
         .withColumn("_matched", F.lit(True))
@@ -137,6 +111,16 @@ def _grid_join(
     return joined.filter(F.col("_present").isNull() | F.col("_matched")).drop("_row", "_column", "_present", "_matched")
 
 
+def _flagged(df: DataFrame, flags: DataFrame, on: Sequence[str], part: Column) -> DataFrame:
+    """``df`` with the flags of its keys; NULL where a key has none.
+
+    No broadcast is forced: Spark broadcasts the flags while their size allows. Beyond that the join shuffles ``df``; so that
+    no task gets all rows of a key, each key's rows are in ``_PARTS`` parts, and its flags are repeated for each.
+    """
+    repeated = flags.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))))
+    return df.withColumn("_part", F.pmod(part, F.lit(_PARTS)).cast("int")).join(repeated, [*on, "_part"], "left").drop("_part")
+
+
 def _each(slices: Column, condition: Column) -> Column:
     """One row per slice where the condition holds, and one row otherwise."""
     return F.explode(F.when(condition, F.sequence(F.lit(0), slices - 1)).otherwise(F.array(F.lit(0))))

@@ -59,11 +59,12 @@ def lead_contacts(leads: DataFrame) -> DataFrame:
 
 
 def report_contacts(reports: DataFrame) -> DataFrame:
-    """Distinct (email_hash, phone_hash, lead_number) of the reports; rows that can match no lead are left out.
+    """Distinct (email_hash, phone_hash, lead_number) of the reports with their number of rows, ``n_rows``; rows that can
+    match no lead are left out.
 
     The same contact recurs in every snapshot. Its rows collapse to one per map task before they are shuffled.
     """
-    return reports.select(*LEAD_KEY).filter(_present(HASHES)).distinct()
+    return reports.filter(_present(HASHES)).groupBy(*LEAD_KEY).agg(F.count("*").alias("n_rows"))
 
 
 def match_leads(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
@@ -103,8 +104,8 @@ def kpi_fact(
 ) -> DataFrame:
     """One row per report row and lead it belongs to, with the keys of its dimension members.
 
-    ``contacts`` are the :func:`lead_contacts`, ``heavy`` the :func:`heavy_keys` of reports and contacts on the
-    hashes. Gives what the joins in :func:`kpi_fact_from_dimensions` give for dimensions
+    ``contacts`` are the :func:`lead_contacts`, ``heavy`` the :func:`heavy_keys` of reports, or of their
+    :func:`report_contacts` with ``n_rows``, and contacts on the hashes. Gives what the joins in :func:`kpi_fact_from_dimensions` give for dimensions
     built from these reports, these leads and this date range, with one join instead of four:
 
     * Places, statuses and dates have one member per combination of attributes, so a row's key follows from its

@@ -86,8 +86,8 @@ def build_model(
 ) -> DataFrame:
     """Tables ``leads`` and ``reports`` -> ``date``, ``leads``, ``places``, ``status``, ``kpi_calculation``.
 
-    Three more tables stay next to them: ``lead_contacts``, ``report_contacts``, and ``kpi_tally``, the fact counted by all
-    dimension keys, which the reports read.
+    More tables stay next to them: ``lead_contacts``, ``report_contacts``, their heavy keys ``heavy_contacts`` and
+    ``heavy_reports``, and ``kpi_tally``, the fact counted by all dimension keys, which the reports read.
     """
     with sized_for(spark, conformed, expansion=PARQUET_EXPANSION):
         reports = read_table(spark, conformed, "reports")
@@ -97,9 +97,9 @@ def build_model(
         # Stored, as each is read twice or more below.
         contacts = write_table(lead_contacts(read_table(spark, conformed, "leads")), out, "lead_contacts")
         reported = write_table(report_contacts(reports), out, "report_contacts")
-        crowded = heavy_keys(contacts, reported, HASHES)
+        crowded = write_table(heavy_keys(contacts, reported, HASHES), out, "heavy_contacts")
         write_table(leads_dimension(contacts, reported, crowded), out, "leads")
-        repeated = heavy_keys(reports, contacts, HASHES)
+        repeated = write_table(heavy_keys(reported, contacts, HASHES, left_rows="n_rows"), out, "heavy_reports")
         fact = kpi_fact(reports, contacts, repeated, first_date=first_date, last_date=last_date)
         stored = write_table(fact, out, "kpi_calculation")
         write_table(tally(stored, REPORT_KEYS), out, "kpi_tally")

@@ -59,8 +59,15 @@ def test_heavy_keys(spark):
     found = heavy_keys(frame, other, ["k", "m"], least_rows=1_000)
     assert found.columns == ["k", "m", "_left_slices", "_right_slices"]
     assert sorted(map(tuple, found.collect())) == [("hot", 0, 5, 1), ("hot", 1, 5, 1), ("wide", 7, 1, 9)]
-    assert heavy_keys(frame, other, ["k", "m"]) is None
-    assert heavy_keys(frame.limit(0), other.limit(0), ["k", "m"], least_rows=1) is None
+    assert heavy_keys(frame, other, ["k", "m"]).isEmpty()
+    assert heavy_keys(frame.limit(0), other.limit(0), ["k", "m"], least_rows=1).isEmpty()
+
+
+def test_heavy_keys_of_counted_rows(spark):
+    counted = spark.createDataFrame([("a", 30), ("a", 25), ("b", 49), (None, 99)], "k string, n long")
+    other = spark.createDataFrame([("b",)], "k string")
+    found = heavy_keys(counted, other, ["k"], least_rows=50, left_rows="n")
+    assert list(map(tuple, found.collect())) == [("a", 2, 1)]
 
 
 @pytest.mark.parametrize("adaptive", ["true", "false"])
@@ -70,16 +77,23 @@ def test_heavy_keys_with_empty_tasks(spark, adaptive):
         one_full_task = spark.range(0, 800, 1, 16).filter("id < 50").select(F.lit("a").alias("k"))
         nulls = spark.range(10).select(F.lit(None).cast("string").alias("k"))
         assert list(map(tuple, heavy_keys(one_full_task, nulls, ["k"], least_rows=10).collect())) == [("a", 5, 1)]
-        assert heavy_keys(nulls, nulls, ["k"], least_rows=1) is None
+        assert heavy_keys(nulls, nulls, ["k"], least_rows=1).isEmpty()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_number_of_heavy_keys_is_bounded(spark):
-    many = spark.range(20_000).select((F.col("id") % 5_000).alias("k"))
-    assert heavy_keys(many, many, ["k"], least_rows=1) is None
-    fewer = spark.range(20_000).select((F.col("id") % 900).alias("k"))
-    assert heavy_keys(fewer, fewer, ["k"], least_rows=1).count() <= 1_000
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_every_heavy_key_is_split(spark, threshold):
+    """5,000 keys, all at the limit, whether the list of them can be broadcast or not."""
+    many = spark.range(0, 20_000, 1, 8).select((F.col("id") % 5_000).alias("k"), F.col("id").alias("u"))
+    heavy = heavy_keys(many.select("k"), many, ["k"], least_rows=2)
+    assert heavy.groupBy("_left_slices", "_right_slices").count().collect() == [(2, 2, 5_000)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        joined = left_join(many.select("k"), many, ["k"], heavy, slice_by=["u"])
+        assert joined.count() == 80_000 and joined.distinct().count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_no_task_gets_all_rows_of_a_heavy_key(spark):

@@ -15,6 +15,14 @@ SELECT concat('lead-', CAST(c_custkey AS STRING)) AS lead_UUID,
 FROM {customer}
 """
 
+# Every thirtieth lead has the contact of lead 0, which no report has otherwise.
+SKEWED_LEADS = """
+SELECT concat('lead-', CAST(c_custkey AS STRING)) AS lead_UUID,
+       md5(concat('p', CAST(CASE WHEN c_custkey % 30 = 0 THEN 0 ELSE c_custkey END AS STRING))) AS phone_hash,
+       md5(concat('e', CAST(CASE WHEN c_custkey % 30 = 0 THEN 0 ELSE c_custkey END AS STRING))) AS email_hash
+FROM {customer}
+"""
+
 _REPORT_COLUMNS = """
  concat(lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '/', lpad(CAST(day(o_orderdate) AS STRING), 2, '0'), '/',
         CAST(year(o_orderdate) AS STRING)) AS entrydate,
@@ -40,6 +48,11 @@ SELECT {_REPORT_COLUMNS}
 FROM {{orders}} JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey
 """
 
+# Every tenth customer's reports have the contact of lead 0.
+SKEWED_REPORTS = RAW_REPORTS.replace(
+    "CAST(o_custkey AS STRING)", "CAST(CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE o_custkey END AS STRING)"
+)
+
 # Three report snapshots with copies: an order occurs once per line item, in the snapshot of its return flag. Copies
 # differ in whitespace only.
 RAW_SNAPSHOTS = f"""
@@ -71,6 +84,14 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, RAW_LEADS)
 
 
+def skewed_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, SKEWED_LEADS)
+
+
+def skewed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_headers(_run(spark, sf_dir, SKEWED_REPORTS))
+
+
 def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_headers(_run(spark, sf_dir, RAW_REPORTS))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from verification.fixture import HEADERS, RAW_LEADS, RAW_REPORTS, RAW_SNAPSHOTS, TABLES
+from verification.fixture import HEADERS, RAW_LEADS, RAW_REPORTS, RAW_SNAPSHOTS, SKEWED_LEADS, SKEWED_REPORTS, TABLES
 
 
 def _plain(sql: str) -> str:
@@ -109,12 +109,15 @@ def _fact_of(reports: str) -> str:
         LEFT JOIN d_status s ON s.job_status = r.job_status)"""
 
 
+# The same relations over other raw tables.
+_SKEWED = {"raw_leads": _plain(SKEWED_LEADS), "raw_reports": _plain(SKEWED_REPORTS)}
+
 _RELATIONS["fact"] = _fact_of("reports")
 _RELATIONS["snapshot_fact"] = _fact_of("snapshot_reports")
 
 
-def _query(select: str) -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _RELATIONS.items()) + "\n" + select
+def _query(select: str, **others: str) -> str:
+    return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in (_RELATIONS | others).items()) + "\n" + select
 
 
 def _rated(keys: str, source: str) -> str:
@@ -231,4 +234,5 @@ _ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _query(select) for name, select in _ORACLES.items()}
+    found = {name: _query(select) for name, select in _ORACLES.items()}
+    return found | {f"{name}_skewed": _query(_ORACLES[name], **_SKEWED) for name in ("lead_match", "dim_leads", "fact_kpi")}

@@ -34,6 +34,7 @@ from funnelwright.operators import (
     tally,
     union_all_by_name,
 )
+from funnelwright.operators.joins import LEAST_ROWS
 from funnelwright.operators.model import HASHES, LEAD_KEY
 from funnelwright.plans import (
     build_model,
@@ -46,11 +47,14 @@ from funnelwright.plans import (
 )
 from funnelwright.sources import read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, get_spec
-from verification.fixture import raw_leads, raw_reports, raw_snapshots
+from verification.fixture import raw_leads, raw_reports, raw_snapshots, skewed_leads, skewed_reports
 from verification.scratch import scratch_folder
 
 REPORTS = get_spec("reports")
 
+# A limit for heavy keys at which the skewed tables have some on both sides, at every scale.
+FEW_ROWS = 3
+
 
 def _leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_leads(raw_leads(spark, sf_dir))
@@ -75,8 +79,8 @@ def _stored_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return _stored(lead_contacts(_leads(spark, sf_dir))), _stored(_reports(spark, sf_dir))
 
 
-def _fact_of(contacts: DataFrame, reports: DataFrame) -> DataFrame:
-    return kpi_fact(reports, contacts, heavy_keys(reports, contacts, HASHES))
+def _fact_of(contacts: DataFrame, reports: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    return kpi_fact(reports, contacts, _stored(heavy_keys(reports, contacts, HASHES, least_rows)))
 
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +127,13 @@ def _parse_entry_date_verbatim(spark, sf_dir):
 
 
 def _lead_match(spark, sf_dir):
-    leads = _stored(_leads(spark, sf_dir))
-    reports = _stored(_reports(spark, sf_dir).select(*HASHES, "lead_number", "appt_date", "job_status"))
-    return _comparable(match_leads(leads, reports, heavy_keys(leads, reports, HASHES)))
+    return _match_of(_leads(spark, sf_dir), _reports(spark, sf_dir))
+
+
+def _match_of(leads: DataFrame, reports: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    leads = _stored(leads)
+    reports = _stored(reports.select(*HASHES, "lead_number", "appt_date", "job_status"))
+    return _comparable(match_leads(leads, reports, _stored(heavy_keys(leads, reports, HASHES, least_rows))))
 
 
 def _dim_date(spark, sf_dir):
@@ -136,9 +144,9 @@ def _dim_date(spark, sf_dir):
     return counted.withColumn("n_appointments", F.coalesce("n_appointments", F.lit(0)))
 
 
-def _d_leads_of(contacts: DataFrame, reports: DataFrame) -> DataFrame:
+def _d_leads_of(contacts: DataFrame, reports: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
     reported = _stored(report_contacts(reports))
-    return leads_dimension(contacts, reported, heavy_keys(contacts, reported, HASHES))
+    return leads_dimension(contacts, reported, _stored(heavy_keys(contacts, reported, HASHES, least_rows)))
 
 
 def _dim_leads(spark, sf_dir):
@@ -162,10 +170,27 @@ def _fact_from_dimensions(spark, sf_dir):
         places_dimension(reports),
         date_dimension(spark),
         status_dimension(reports),
-        heavy_keys(reports, d_leads, LEAD_KEY),
+        _stored(heavy_keys(reports, d_leads, LEAD_KEY)),
     )
 
 
+def _lead_match_skewed(spark, sf_dir):
+    return _match_of(conform_leads(skewed_leads(spark, sf_dir)), conform_reports(skewed_reports(spark, sf_dir)), FEW_ROWS)
+
+
+def _skewed_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    contacts = lead_contacts(conform_leads(skewed_leads(spark, sf_dir)))
+    return _stored(contacts), _stored(conform_reports(skewed_reports(spark, sf_dir)))
+
+
+def _dim_leads_skewed(spark, sf_dir):
+    return _d_leads_of(*_skewed_tables(spark, sf_dir), FEW_ROWS)
+
+
+def _fact_skewed(spark, sf_dir):
+    return _fact_of(*_skewed_tables(spark, sf_dir), FEW_ROWS)
+
+
 def _kpi_global(spark, sf_dir):
     return global_report(tally(_fact(spark, sf_dir)))
 
@@ -294,6 +319,9 @@ QUERIES = {
     "uuid5_key": _uuid5_key,
     "parse_entry_date_verbatim": _parse_entry_date_verbatim,
     "lead_match": _lead_match,
+    "lead_match_skewed": _lead_match_skewed,
+    "dim_leads_skewed": _dim_leads_skewed,
+    "fact_kpi_skewed": _fact_skewed,
     "dim_date": _dim_date,
     "dim_leads": _dim_leads,
     "dim_places": _dim_places,
