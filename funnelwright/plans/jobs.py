@@ -61,7 +61,7 @@ def conform_reports(
 def ingest_leads(spark: SparkSession, folder: str, out: str, spec: TableSpec = SPECS["leads"]) -> DataFrame:
     """Parquet files in ``folder`` -> table ``leads``."""
     with sized_for(spark, folder, expansion=PARQUET_EXPANSION):
-        return write_table(conform_leads(read_parquet_folder(spark, folder), SOURCE_FILE, spec), out, "leads")
+        return write_table(conform_leads(read_parquet_folder(spark, folder, spec), SOURCE_FILE, spec), out, "leads")
 
 
 def ingest_reports(

@@ -59,12 +59,23 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_parquet_folder(spark: SparkSession, folder: str) -> DataFrame:
+def read_parquet_folder(spark: SparkSession, folder: str, spec: TableSpec | None = None) -> DataFrame:
     """All ``*.parquet`` files directly in ``folder``, merged by column name, missing columns NULL.
 
-    For raw files of mixed schemas. Spark reads the footers in a distributed job of its own.
+    Names are as in :func:`read_csv_folder`. Files that agree in types, and of the names that the spec allows for a column
+    use one, are one scan, for which Spark reads the footers in a distributed job of its own. Otherwise there is one scan per
+    distinct schema, and columns whose types differ become strings; then the driver asks for the schema of each file.
     """
-    return _with_source_file(spark.read.option("mergeSchema", True).parquet(f"{folder.rstrip('/')}/*.parquet"))
+    merged = _merged_parquet(spark, f"{folder.rstrip('/')}/*.parquet")
+    if merged is not None and not _has_rival_names(merged, spec):
+        return _with_leading_names(_with_source_file(merged), spec)
+    paths = _list_files(spark, folder, "*.parquet", folders=True)
+    by_schema: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(_HEADER_READERS) as pool:
+        for path, schema in zip(paths, pool.map(lambda path: spark.read.parquet(path).schema.json(), paths), strict=True):
+            by_schema.setdefault(schema, []).append(path)
+    scans = [spark.read.parquet(*group) for group in by_schema.values()]
+    return union_all_by_name(_with_common_types([_with_leading_names(_with_source_file(scan), spec) for scan in scans]))
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -85,6 +96,33 @@ def stored_bytes(spark: SparkSession, pattern: str) -> int:
     return sum(files.getContentSummary(status.getPath()).getLength() for status in files.globStatus(path) or [])
 
 
+def _merged_parquet(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """The files as one scan; None if columns of one name differ in type."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(pattern)
+    except Exception as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+        return None
+
+
+def _has_rival_names(df: DataFrame, spec: TableSpec | None) -> bool:
+    """Whether several of the names that the spec allows for a column occur."""
+    return spec is not None and any(len(set(field.names) & set(df.columns)) > 1 for field in spec.fields)
+
+
+def _with_common_types(scans: Sequence[DataFrame]) -> list[DataFrame]:
+    """Columns that differ in type between the scans as strings in all of them."""
+    kinds: dict[str, set[str]] = {}
+    for scan in scans:
+        for name, kind in scan.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    return [
+        scan.select([quoted(name).cast("string").alias(name) if len(kinds[name]) > 1 else quoted(name) for name in scan.columns])
+        for scan in scans
+    ]
+
+
 def _with_source_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
 
@@ -101,10 +139,10 @@ def _with_leading_names(df: DataFrame, spec: TableSpec | None) -> DataFrame:
     return df.select([quoted(name).alias(leading.get(name, f"_other_{name}")) for name in df.columns])
 
 
-def _list_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+def _list_files(spark: SparkSession, folder: str, glob: str, folders: bool = False) -> list[str]:
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{glob}")
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    names = [(status.getPath().getName(), status.getPath().toString()) for status in found if status.isFile()]
+    names = [(status.getPath().getName(), status.getPath().toString()) for status in found if folders or status.isFile()]
     return sorted(full for name, full in names if not name.startswith(("_", ".")))
 
 

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 
 from funnelwright.sources import SOURCE_FILE, read_csv, read_csv_folder, read_parquet, read_parquet_folder, read_table, write_table
-from funnelwright.specs import get_spec
+from funnelwright.specs import Field, TableSpec, get_spec
 
 
 def put(folder, name, text):
@@ -83,6 +83,41 @@ def test_parquet_folder_merges_by_name(spark, tmp_path):
     )
 
 
+def test_parquet_files_of_different_types_and_names(spark, tmp_path):
+    spec = TableSpec("t", (Field(("lead_UUID", "LeadId")), Field(("n",), "integer")))
+    frames = {
+        "a": spark.createDataFrame([("l", 1)], "lead_UUID string, n int"),
+        "b": spark.createDataFrame([(7, "x")], "lead_UUID int, extra string"),
+        "c": spark.createDataFrame([("m", 2)], "LeadId string, n int"),
+        "d": spark.createDataFrame([(None, "shadowed")], "lead_UUID string, LeadId string"),
+    }
+    for name, frame in frames.items():
+        frame.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    empty = {"lead_UUID": None, "n": None, "_other_extra": None, "_other_LeadId": None}
+    merged = read_parquet_folder(spark, str(tmp_path), spec)
+    assert dict(merged.dtypes)["lead_UUID"] == "string" and dict(merged.dtypes)["n"] == "int"
+    assert records(merged) == expect(
+        {**empty, "lead_UUID": "l", "n": 1},
+        {**empty, "lead_UUID": "7", "_other_extra": "x"},
+        {**empty, "lead_UUID": "m", "n": 2},
+        {**empty, "_other_LeadId": "shadowed"},
+    )
+    assert merged.select(SOURCE_FILE).distinct().count() == 4
+
+
+def test_parquet_names_that_differ_between_files_only(spark, tmp_path):
+    spec = TableSpec("t", (Field(("lead_UUID", "LeadId")),))
+    for name in ("lead_UUID", "LeadId"):
+        spark.createDataFrame([(name,)], f"{name} string").coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    merged = read_parquet_folder(spark, str(tmp_path), spec)
+    assert records(merged) == expect({"lead_UUID": "lead_UUID"}, {"lead_UUID": "LeadId"})
+
+
+def test_parquet_folder_without_files(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_parquet_folder(spark, str(tmp_path))
+
+
 def test_tables_are_overwritten(spark, tmp_path):
     root = str(tmp_path)
     write_table(spark.range(3), root, "t")

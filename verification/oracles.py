@@ -229,6 +229,9 @@ _ORACLES = {
     "csv_snapshots": "SELECT * FROM snapshot_reports",
     "csv_invalid_values": _invalid("cleaned_snapshots"),
     "parquet_leads": "SELECT * FROM leads",
+    "parquet_leads_variants": """SELECT CASE WHEN number % 4 = 1 THEN CAST(number AS VARCHAR) ELSE lead_uuid END AS lead_uuid,
+        phone_hash, CASE WHEN number % 4 <> 3 THEN email_hash END AS email_hash
+        FROM (SELECT *, CAST(substr(lead_uuid, 6) AS INTEGER) AS number FROM leads)""",
     "stored_model_by_city_status": _by_city_status("snapshot_fact"),
 }
 

@@ -46,7 +46,7 @@ from funnelwright.plans import (
     register_views,
 )
 from funnelwright.sources import read_table, write_table
-from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, get_spec
+from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, Field, TableSpec, get_spec
 from verification.fixture import raw_leads, raw_reports, raw_snapshots, skewed_leads, skewed_reports
 from verification.scratch import scratch_folder
 
@@ -297,6 +297,31 @@ def _parquet_leads(spark, sf_dir):
     return ingest_leads(spark, f"{folder}/raw", f"{folder}/step1")
 
 
+def _write_lead_variants(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The leads as Parquet files of four schemas: as they are, a number as key, another name of the key, and a column less."""
+    raw = _stored(raw_leads(spark, sf_dir))
+    number = F.substring_index("lead_UUID", "-", -1).cast("int")
+    variants = [
+        raw,
+        raw.withColumn("lead_UUID", number),
+        raw.withColumnRenamed("lead_UUID", "LeadId"),
+        raw.drop("email_hash"),
+    ]
+    for turn, variant in enumerate(variants):
+        key = F.col("LeadId" if "LeadId" in variant.columns else "lead_UUID").cast("string")
+        mine = F.substring_index(key, "-", -1).cast("int") % len(variants) == turn
+        variant.filter(mine).write.mode("append").parquet(folder)
+    return folder
+
+
+def _parquet_leads_variants(spark, sf_dir):
+    folder = scratch_folder(spark)
+    plain = get_spec("leads")
+    key = Field(("lead_UUID", "LeadId"), new_name="lead_uuid")
+    spec = TableSpec("leads", (key, *[field for field in plain.fields if "lead_UUID" not in field.names]))
+    return ingest_leads(spark, _write_lead_variants(spark, sf_dir, f"{folder}/raw"), f"{folder}/step1", spec)
+
+
 def _stored_model_by_city_status(spark, sf_dir):
     """All three jobs, from raw files to the last report."""
     folder = scratch_folder(spark)
@@ -343,5 +368,6 @@ QUERIES = {
     "csv_snapshots": _csv_snapshots,
     "csv_invalid_values": _csv_invalid_values,
     "parquet_leads": _parquet_leads,
+    "parquet_leads_variants": _parquet_leads_variants,
     "stored_model_by_city_status": _stored_model_by_city_status,
 }
