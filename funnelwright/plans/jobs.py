@@ -25,6 +25,8 @@ from funnelwright.operators.model import (
     FIRST_DATE,
     HASHES,
     LAST_DATE,
+    PLACE,
+    STATUS,
     date_dimension,
     kpi_fact,
     lead_contacts,
@@ -86,14 +88,15 @@ def build_model(
 ) -> DataFrame:
     """Tables ``leads`` and ``reports`` -> ``date``, ``leads``, ``places``, ``status``, ``kpi_calculation``.
 
-    More tables stay next to them: ``lead_contacts``, ``report_contacts``, their heavy keys ``heavy_contacts`` and
+    More tables stay next to them: ``members``, the combinations of places and statuses, ``lead_contacts``, ``report_contacts``, their heavy keys ``heavy_contacts`` and
     ``heavy_reports``, and ``kpi_tally``, the fact counted by all dimension keys, which the reports read.
     """
     with sized_for(spark, conformed, expansion=PARQUET_EXPANSION):
         reports = read_table(spark, conformed, "reports")
         write_table(date_dimension(spark, first_date, last_date), out, "date")
-        write_table(places_dimension(reports), out, "places")
-        write_table(status_dimension(reports), out, "status")
+        members = write_table(reports.select(*PLACE, *STATUS).distinct(), out, "members")
+        write_table(places_dimension(members), out, "places")
+        write_table(status_dimension(members), out, "status")
         # Stored, as each is read twice or more below.
         contacts = write_table(lead_contacts(read_table(spark, conformed, "leads")), out, "lead_contacts")
         reported = write_table(report_contacts(reports), out, "report_contacts")
