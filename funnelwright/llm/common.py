@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,28 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+BATCH_BYTES = 8 << 20  # of rows that go to a Python worker at once: a worker and its task's JVM hold copies of them
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside send Python workers batches of about ``BATCH_BYTES`` (or one row, if that is longer).
+
+    Results do not depend on it. The session's own limit holds again afterwards, and throughout if it is smaller.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name)
+    given = re.fullmatch(r"(\d+)b?", own)
+    if given and 0 < int(given[1]) <= BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
@@ -36,7 +61,8 @@ class Scratch:
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:

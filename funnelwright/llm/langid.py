@@ -71,6 +71,7 @@ def train_text(labelled: DataFrame, text: str = "text", lang: str = "lang") -> T
     known = rows.filter(F.col("lang").isin(languages))
     sums = known.mapInPandas(_pair_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.full((len(languages), BUCKETS), SMOOTHING)
+    sums = Scratch(labelled.sparkSession, "pair-counts").store(sums, "sums")  # at most 200 times BUCKETS rows
     for row in sums.toLocalIterator():
         counts[languages.index(row.lang), row.bucket] += row.n
     return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
