@@ -31,8 +31,8 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
     own = spark.conf.get(name)
-    given = re.fullmatch(r"(\d+)b?", own)
-    if given and 0 < int(given[1]) <= BATCH_BYTES:
+    given = re.fullmatch(r"(\d+)([bkmg]?)b?", own.strip().lower())
+    if given and int(given[1]) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(given[2], 1) <= BATCH_BYTES:
         yield
         return
     spark.conf.set(name, str(BATCH_BYTES))
