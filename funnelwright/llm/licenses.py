@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -124,25 +125,90 @@ class Templates:
         top = max((2 * sum((own & self.grams[i]).values()) / (size + self.sizes[i]), -i) for i in near)
         return (top[0], self.names[-top[1]]) if top[0] >= self.dice else None
 
-
-def passages(text: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(first line, last line, words) of each line, and of each block of two or more lines without a blank line between."""
-    block: list[str] = []
-    start = 0
-    number = 0
-    for number, line in enumerate(text.lower().split("\n")):
-        tokens = _TOKEN.findall(line)
-        if tokens:
-            if not block:
-                start = number
-            yield number, number, tokens
-            block += tokens
-        elif block:
-            if number - start > 1:
-                yield start, number - 1, block
-            block = []
-    if block and number > start:
-        yield start, number, block
+    def _best_ends(self, i: int, places: list[int], grams: list[tuple[str, str]], first: int, until: int) -> tuple[float, int, int] | None:
+        """(coefficient, bigrams, last place) of template ``i``'s best window that begins at ``places[first]``, within ``places[:until]``."""
+        size, wanted = self.sizes[i], self.grams[i]
+        widest = int(size * (2 - self.dice) / self.dice + 1e-9)
+        if first >= until:
+            return None
+        begin = places[first]
+        held: dict[tuple[str, str], int] = {}
+        common, best = 0, None
+        for at in range(first, until):
+            width = places[at] - begin + 1
+            if width > widest:
+                break
+            gram = grams[places[at]]
+            held[gram] = held.get(gram, 0) + 1
+            if held[gram] <= wanted[gram]:
+                common += 1
+                found = (2 * common / (width + size), width, places[at])
+                if found[0] >= self.dice and (best is None or found[:2] > best[:2]):
+                    best = found
+        return best
+
+    def _starts(self, i: int, places: list[int], grams: list[tuple[str, str]]) -> list[int]:
+        """Indices of the places from which the widest window has as many bigrams of the template as any match needs."""
+        size, wanted = self.sizes[i], self.grams[i]
+        need = size * self.dice / (2 - self.dice) - 1e-9
+        if len(places) < need:
+            return []
+        widest = int(size * (2 - self.dice) / self.dice + 1e-9)
+        held: dict[tuple[str, str], int] = {}
+        common = end = 0
+        out = []
+        for first, begin in enumerate(places):
+            while end < len(places) and places[end] - begin < widest:
+                gram = grams[places[end]]
+                held[gram] = held.get(gram, 0) + 1
+                common += held[gram] <= wanted[gram]
+                end += 1
+            if common >= need:
+                out.append(first)
+            gram = grams[begin]
+            common -= held[gram] <= wanted[gram]
+            held[gram] -= 1
+        return out
+
+    def windows(self, tokens: list[str]) -> list[tuple[float, str, int, int]]:
+        """(coefficient, licence, first word, last word) of the passages among all windows of neighbouring words.
+
+        Windows with a coefficient of at least ``dice`` are taken best first: by coefficient, then more words, then
+        the earlier, then the template's size and name. A window that shares a word with a taken one is none.
+
+        A best window begins and ends with a bigram of its template, so only such are tried, from places where a
+        multiset count, slid over the text, reaches what the bounds ask for.
+        """
+        grams = list(zip(tokens, tokens[1:], strict=False))
+        found: dict[int, list[int]] = {}
+        for at, gram in enumerate(grams):
+            for i in self.holders.get(gram, ()):
+                found.setdefault(i, []).append(at)
+        queue = []
+        for i, places in found.items():
+            for first in self._starts(i, places, grams):
+                best = self._best_ends(i, places, grams, first, len(places))
+                if best:
+                    queue.append((-best[0], -best[1], places[first], i, first, best[2]))
+        heapq.heapify(queue)
+        starts: list[int] = []  # of the taken windows, in order, with the words after their ends
+        ends: list[int] = []
+        out = []
+        while queue:
+            score, _, begin, i, first, last = heapq.heappop(queue)
+            slot = bisect_right(starts, begin)
+            if slot and ends[slot - 1] > begin:
+                continue
+            if slot < len(starts) and starts[slot] < last + 2:
+                # What is left before the taken window may still hold a smaller one.
+                best = self._best_ends(i, found[i], grams, first, bisect_left(found[i], starts[slot] - 1))
+                if best:
+                    heapq.heappush(queue, (-best[0], -best[1], begin, i, first, best[2]))
+                continue
+            starts.insert(slot, begin)
+            ends.insert(slot, last + 2)
+            out.append((-score, self.names[i], begin, last + 1))
+        return sorted(out, key=lambda x: x[2])
 
 
 def scan_licenses(
@@ -150,9 +216,9 @@ def scan_licenses(
 ) -> DataFrame:
     """Licences that documents state: (doc_id, license, dice, first_line, last_line), a row per document and licence.
 
-    Every line, and every block of lines between blank ones, is compared with the templates; a passage counts for the
-    template with the largest coefficient if that is at least ``dice``. Of a licence found repeatedly the first place
-    with the largest coefficient is told. Lines count from 0.
+    All windows of words, across line and paragraph breaks, are compared with the templates; of those that share words
+    the one with the largest coefficient counts, if that is at least ``dice`` (see ``Templates.windows``). Of a licence
+    found repeatedly the first place with the largest coefficient is told. Lines count from 0.
 
     Defined cases: NULL, empty and wordless texts, and single words, have no licence and give no row. Repeated rows
     give a row each; a NULL doc_id stays NULL. Extra columns are ignored.
@@ -164,10 +230,12 @@ def scan_licenses(
             out = []
             for name, missing, body in zip(part["doc_id"], part["missing"], part["text"], strict=True):
                 found: dict[str, tuple[float, int, int]] = {}
-                for first, last, tokens in passages(body or ""):
-                    hit = known.best(tokens)
-                    if hit and hit[0] > found.get(hit[1], (0,))[0]:
-                        found[hit[1]] = (hit[0], first, last)
+                lower = (body or "").lower()
+                hits = known.windows(_TOKEN.findall(lower))
+                lines = [n for n, line in enumerate(lower.split("\n")) for _ in _TOKEN.findall(line)] if hits else []
+                for score, license, first, last in hits:
+                    if score > found.get(license, (0,))[0]:
+                        found[license] = (score, lines[first], lines[last])
                 out += [(None if missing else name, license, *place) for license, place in sorted(found.items())]
             table = pd.DataFrame(out, columns=["doc_id", "license", "dice", "first_line", "last_line"])
             yield table.astype({"doc_id": "Int64", "first_line": "int64", "last_line": "int64", "dice": "float64"})

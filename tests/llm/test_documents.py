@@ -262,3 +262,60 @@ def test_personal_data_adds_repetitions(spark):
     masked = {r.doc_id: r.text for r in pii.masked(docs, "text").collect()}
     assert masked[1] == "Call <phone> now. Or <phone> later, not 555 1234 99." and masked[4] is None
     assert pii.find_personal_data(docs.limit(0)).count() == 0
+
+
+def plain_windows(templates, tokens, dice):
+    """The best of all windows of all templates, then what is left before and after it."""
+    if len(tokens) < 2:
+        return []
+    sized = sorted((sum(c.values()), name, c) for name, c in ((n, licenses.bigrams(t)) for n, t in templates) if c)
+    best = None
+    for a in range(len(tokens) - 1):
+        for b in range(a + 1, len(tokens)):
+            own = licenses.bigrams(" ".join(tokens[a : b + 1]))
+            for i, (size, name, grams) in enumerate(sized):
+                score = 2 * sum((own & grams).values()) / (b - a + size)
+                key = (-score, a - b, a, i)
+                if score >= dice and (best is None or key < best[0]):
+                    best = (key, (score, name, a, b))
+    if best is None:
+        return []
+    _, _, a, b = best[1]
+    after = [(s, n, x + b + 1, y + b + 1) for s, n, x, y in plain_windows(templates, tokens[b + 1 :], dice)]
+    return [*plain_windows(templates, tokens[:a], dice), best[1], *after]
+
+
+def test_license_windows_equal_brute_force():
+    draw = random.Random(5)
+    templates = [(str(i), " ".join(draw.choice("abcd") for _ in range(draw.randrange(2, 9)))) for i in range(6)]
+    known = licenses.Templates(templates, 0.7)
+    some = 0
+    for _ in range(150):
+        tokens = [draw.choice("abcd") for _ in range(draw.randrange(0, 20))]
+        want = plain_windows(templates, tokens, 0.7)
+        some += len(want)
+        assert known.windows(tokens) == want, (templates, tokens)
+    assert some > 100
+
+
+def test_licenses_across_paragraphs(spark):
+    mit = licenses._TEXTS["MIT"].replace("conditions: The above", "conditions:\n\nThe above").replace("Software. THE SOFTWARE", "Software.\n\nTHE SOFTWARE")
+    apache = licenses._TEXTS["Apache-2.0"].replace("License. You may", "License.\nYou may").replace("LICENSE-2.0 Unless", "LICENSE-2.0\n\nUnless")
+    gpl = licenses._TEXTS["GPL-3.0-or-later"].replace("version. This", "version.\n\nThis").replace("details. You", "details.\n\nYou")
+    assert [t.count("\n\n") for t in (mit, apache, gpl)] == [2, 1, 2]
+    other = "\n".join(f"unlike words of page {i} stand here" for i in range(40))
+    rows = []
+    for i, text in enumerate((mit, apache, gpl)):
+        rows.append((10 * i, text))
+        rows.append((10 * i + 1, "/*\n * " + text.replace("\n", "\n * ") + "\n */"))
+        rows.append((10 * i + 2, f"{other}\n{text}\n{other}"))
+        rows.append((10 * i + 3, f"before {' '.join(text.split())} {' '.join(other.split())}"))
+    found = {}
+    for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.doc_id, []).append((r.license, round(r.dice, 6), r.first_line, r.last_line))
+    for i, (name, text) in enumerate((("MIT", mit), ("Apache-2.0", apache), ("GPL-3.0-or-later", gpl))):
+        n = text.count("\n")
+        assert found[10 * i] == [(name, 1.0, 0, n)]
+        assert found[10 * i + 1] == [(name, 1.0, 1, n + 1)]
+        assert found[10 * i + 2] == [(name, 1.0, 40, n + 40)]
+        assert found[10 * i + 3] == [(name, 1.0, 0, 0)]
