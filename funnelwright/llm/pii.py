@@ -66,11 +66,12 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str]]:
-    """(start, end, label or 0, shape, identity) of the base spans and of what else may be personal data, in order.
+def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, str, str]]:
+    """(start, end, label or 0, shape, identity, whole) of the base spans and of what else may be personal data, in order.
 
     ``shape`` is what the spelling shows without the marks that the patterns ask for. ``identity`` is what repetitions
-    share: the lower-cased address, or the last ten digits of a number.
+    share: the lower-cased address, or the last ten digits of a number. ``whole`` is the address, or all digits of the
+    number without a "(0)", with its "+".
     """
     found = [(start, end, kind + 1) for start, kind, end in base]
     taken = sorted((start, end) for start, end, _ in found)
@@ -94,11 +95,13 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
             plain = re.sub(r"\s*(?:\[at\]|\(at\)|@)\s*", "@", own.lower())
             plain = re.sub(r" dot |\[dot\]", ".", plain)
             shape = f"@{min(3, plain.count('.'))}"
+            whole = plain
         else:
             digits = "".join(c for c in own if "0" <= c <= "9")
             plain = digits[-10:]
+            whole = re.sub("[^+0-9]", "", own.replace("(0)", "") if own.startswith("+") else own)
             shape = f"#{len(digits)}{'(' if '(' in own else ''}{'.' if '.' in own else ''}{'-' if '-' in own else ''}{' ' if ' ' in own else ''}"
-        out.append((start, end, label, shape, plain))
+        out.append((start, end, label, shape, plain, whole))
     return out
 
 
@@ -113,6 +116,42 @@ def skip_edges(identities: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def national(whole: str, label: int) -> list[str]:
+    """What a number may also be known by: after a country code of one to three digits, or after a trunk 0 or a 00.
+
+    Told by a leading sign: "+" for the number without its country code and "=" for the one with it, so that national
+    spellings meet international ones only. Seven digits at least.
+    """
+    if whole.startswith("+"):
+        return [f"={whole[1:]}", *(f"+{whole[n:]}" for n in (2, 3, 4))] if label and len(whole) >= 10 else []
+    if whole.startswith("00"):
+        return [f"={whole[2:]}"] if len(whole) >= 9 else []
+    return [f"+{whole[1:]}"] if whole.startswith("0") and len(whole) >= 8 else []
+
+
+def confirmed_fellows(found: list[tuple[int, int, int, str, str, str]]) -> list[dict[int, int]]:
+    """Per mention that no pattern confirms: how many confirmed mentions of each label share its identity.
+
+    Of mentions without such fellows, those whose number is the same but for trunk 0 and country code. Confirmed mentions
+    are summed per identity once, so this is linear however often one is repeated.
+    """
+    exact: dict[str, dict[int, int]] = {}
+    similar: dict[str, dict[int, int]] = {}
+    for m in found:
+        if m[2]:
+            for table, keys in ((exact, [m[4]]), (similar, national(m[5], m[2]) if m[2] == len(KINDS) else [])):
+                for key in keys:
+                    own = table.setdefault(key, {})
+                    own[m[2]] = own.get(m[2], 0) + 1
+    out = []
+    for m in found:
+        fellows = {} if m[2] else exact.get(m[4], {})
+        for key in national(m[5], 0) if not m[2] and not fellows else []:
+            fellows = similar.get(key, fellows)
+        out.append(fellows)
+    return out
+
+
 def propagate(unary: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Marginals by loopy sum-product. ``unary`` (nodes, labels) and ``pair`` (edges, labels, labels) are logarithms.
 
@@ -150,14 +189,18 @@ def _counts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if not text:
                 continue
             found = mentions(text, base_spans(text))
-            labels = [m[2] for m in found]
-            for m in found:
-                key = ("shape", m[3], m[2], 0)
-                seen[key] = seen.get(key, 0) + 1
+            # The label of a confirmed mention's repetition is not known to be "none": it is not counted.
+            labels = [None if fellows else m[2] for m, fellows in zip(found, confirmed_fellows(found), strict=True)]
+            for m, label in zip(found, labels, strict=True):
+                if label is not None:
+                    key = ("shape", m[3], label, 0)
+                    seen[key] = seen.get(key, 0) + 1
             for one, other in zip(labels, labels[1:], strict=False):
-                seen["next", "", one, other] = seen.get(("next", "", one, other), 0) + 1
-            for i, j in skip_edges([m[4] for m in found]):
-                one, other = sorted((labels[i], labels[j]))
+                if one is not None and other is not None:
+                    seen["next", "", one, other] = seen.get(("next", "", one, other), 0) + 1
+            sure = [m for m in found if m[2]]
+            for i, j in skip_edges([m[4] for m in sure]):
+                one, other = sorted((sure[i][2], sure[j][2]))
                 seen["skip", "", one, other] = seen.get(("skip", "", one, other), 0) + 1
         yield pd.DataFrame([(*k, v) for k, v in seen.items()], columns=["what", "shape", "one", "other", "n"])
 
@@ -200,17 +243,28 @@ class Weights:
             out[0] = max(out[0], out[1:].max() + 1)
         return out
 
-    def added(self, found: list[tuple[int, int, int, str, str]]) -> list[tuple[int, int, int]]:
-        """(start, kind, end) of mentions that only their fellows reveal."""
+    def added(self, found: list[tuple[int, int, int, str, str, str]]) -> list[tuple[int, int, int]]:
+        """(start, kind, end) of mentions that only their fellows reveal.
+
+        Each is linked with all confirmed mentions of its identity. As the labels of these are given, their messages are
+        constants, one coupling each, that sum per identity and are added to what the spelling says; how many other
+        mentions are unconfirmed changes nothing. Repetitions without a confirmed fellow are linked as a path.
+        """
         labels = [m[2] for m in found]
         if not any(labels) or all(labels):
             return []
-        skips = skip_edges([m[4] for m in found])
-        if not skips:
+        fellows = confirmed_fellows(found)
+        open_ = [i for i, m in enumerate(found) if not m[2] and not fellows[i]]
+        skips = [(open_[i], open_[j]) for i, j in skip_edges([found[i][4] for i in open_])]
+        if not skips and not any(fellows):
             return []
+        unary = np.stack([self.unary(m[2], m[3]) for m in found])
+        for i, own in enumerate(fellows):
+            for label, n in own.items():
+                unary[i, label] += n * self.skip[label, label]
         chain = [(i, i + 1) for i in range(len(found) - 1)]
         pair = np.concatenate([np.broadcast_to(self.follow, (len(chain), *self.follow.shape)), np.broadcast_to(self.skip, (len(skips), *self.skip.shape))])
-        marginals = propagate(np.stack([self.unary(m[2], m[3]) for m in found]), np.array(chain + skips), pair)
+        marginals = propagate(unary, np.array(chain + skips), pair)
         best = marginals.argmax(axis=1)
         return [(m[0], int(b) - 1, m[1]) for m, b, p in zip(found, best, marginals, strict=True) if not m[2] and b and p[b] > 0.5]
 
@@ -253,7 +307,8 @@ def find_personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     leftmost matches of a pattern per kind that pass its check (parts of an address at most 255; 12 to 19 digits with a
     right check digit; 9 to 15 digits). ``spans`` adds mentions in other spellings that the random field gives a kind
     to, because a repetition elsewhere in the document is confirmed. A document's field has a node per mention, edges
-    between neighbours, and a path through each group of repetitions, so it is linear in the text.
+    between neighbours, and a factor per identity that links all its confirmed mentions with all others, so it is linear
+    in the text.
 
     Defined cases: NULL and empty texts have no spans (empty strings, zeros). Repeated rows are repeated; a NULL doc_id
     stays NULL. Extra columns are ignored.

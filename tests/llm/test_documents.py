@@ -319,3 +319,27 @@ def test_licenses_across_paragraphs(spark):
         assert found[10 * i + 1] == [(name, 1.0, 1, n + 1)]
         assert found[10 * i + 2] == [(name, 1.0, 40, n + 40)]
         assert found[10 * i + 3] == [(name, 1.0, 0, 0)]
+
+
+def test_personal_data_of_any_number_of_repetitions(spark):
+    sure, again = "+1 (743) 555-3824", "(743) 555-3824"
+    rows, want = [], {}
+    for number, n in enumerate((1, 5, 50, 1000)):
+        many = " or ".join([again] * n)
+        for place, (before, after) in enumerate(((many, ""), ("", many), (many, many))):
+            rows.append((10 * number + place, f"{before} call {sure} or {after}"))
+            want[10 * number + place] = 1 + n * (2 if before and after else 1)
+        rows.append((10 * number + 5, f"me@example.com {'and Me [at] example.com ' * n}"))
+        want[10 * number + 5] = 1 + n
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: len(r.spans.split(",")) for r in pii.find_personal_data(docs).collect()} == want
+
+
+def test_personal_data_of_national_spellings(spark):
+    rows = [
+        (1, "+33 1 23 45 67 89 and 01 23 45 67 89 and 01-23-45-67-89"),
+        (2, "+33 (0)1 23 45 67 89, at home 0033 1 23 45 67 89"),
+        (3, "+33 1 23 45 67 89 is not 01 23 45 67 80"),
+    ]
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: "phone:0:17,phone:22:36,phone:41:55", 2: "phone:0:20,phone:30:48", 3: "phone:0:17"}
