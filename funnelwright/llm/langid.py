@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from funnelwright.llm.common import Scratch
 
 BUCKETS = 1 << 14  # of hashed character pairs
-LEAST_SHARE = 0.005  # of the labelled texts for a language to be known; so there are at most 200
+LEAST_PAIRS = 2_000  # character pairs of labelled text, whatever its share, for a language to be known
+OTHER = "other"  # the class of texts unlike all known languages; no code of a language has five letters
+HELD_AT_ONCE = 64  # languages that a task sums before it passes sums on
 SMOOTHING = 0.5
 EVIDENCE = 60.0  # characters' worth of evidence that a text of any length may give at most
 HOST_WEIGHT = 10.0  # pages' worth of belief in the level above
@@ -33,8 +35,16 @@ def _pair_counts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total: dict[str, np.ndarray] = {}
     for part in parts:
         for text, lang in zip(part["text"], part["lang"], strict=True):
-            counts = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
-            counts += np.bincount(pairs(text), minlength=BUCKETS)
+            if lang not in total and len(total) == HELD_AT_ONCE:
+                yield from _sums(total)
+                total.clear()
+            if lang not in total:
+                total[lang] = np.zeros(BUCKETS, np.int64)
+            total[lang] += np.bincount(pairs(text), minlength=BUCKETS)
+    yield from _sums(total)
+
+
+def _sums(total: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
     for lang, counts in total.items():
         held = np.flatnonzero(counts)
         yield pd.DataFrame({"lang": lang, "bucket": held, "n": counts[held]})
@@ -55,26 +65,35 @@ class TextModel:
         return np.round(score - score.max(), 9)  # so that the order of summation decides no tie
 
 
+def background(shares: np.ndarray) -> np.ndarray:
+    """Shares of character pairs in texts of no known language: half alike for all, half by the root of the known mean.
+
+    Known pairs are likelier in their languages; pairs that these lack, or have rarely, are likelier here.
+    """
+    root = np.sqrt(shares.mean(axis=0))
+    return 0.5 / BUCKETS + 0.5 * root / root.sum()
+
+
 def train_text(labelled: DataFrame, text: str = "text", lang: str = "lang") -> TextModel:
-    """Counts of character pairs per language over all rows that have both a text and a language.
+    """Counts of character pairs per language over all rows that have both a text and a language, and the class ``OTHER``.
 
-    Languages of less than ``LEAST_SHARE`` of these rows are not learnt. Tasks send sums, not texts; at most 200 times
-    ``BUCKETS`` sums reach the driver.
+    Every language with ``LEAST_PAIRS`` character pairs is learnt, however small its share; texts of the others count as
+    evidence of nothing. Tasks send sums, not texts; ``BUCKETS`` sums per language reach the driver (64 KB each).
     """
     rows = labelled.select(F.col(text).alias("text"), F.lower(F.trim(F.col(lang))).alias("lang"))
-    rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL AND lang != ''")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    whole = sizes.agg(F.sum("n")).first()[0] or 0
-    languages = sorted(row.lang for row in sizes.filter(F.col("n") >= LEAST_SHARE * whole).collect())
+    rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL").filter(~F.col("lang").isin("", OTHER))
+    sums = rows.mapInPandas(_pair_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = Scratch(labelled.sparkSession, "pair-counts").store(sums, "sums")
+    sizes = sums.groupBy("lang").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_PAIRS)
+    languages = sorted(row.lang for row in sizes.collect())
     if not languages:
         raise ValueError("no text with a language to learn from")
-    known = rows.filter(F.col("lang").isin(languages))
-    sums = known.mapInPandas(_pair_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    place = {name: i for i, name in enumerate(languages)}
     counts = np.full((len(languages), BUCKETS), SMOOTHING)
-    sums = Scratch(labelled.sparkSession, "pair-counts").store(sums, "sums")  # at most 200 times BUCKETS rows
-    for row in sums.toLocalIterator():
-        counts[languages.index(row.lang), row.bucket] += row.n
-    return TextModel(languages, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
+    for row in sums.join(sizes.select("lang"), "lang").toLocalIterator():
+        counts[place[row.lang], row.bucket] += row.n
+    shares = counts / counts.sum(axis=1, keepdims=True)
+    return TextModel([*languages, OTHER], np.log(np.vstack([shares, background(shares)])).astype(np.float32))
 
 
 def page_text(html: Column) -> Column:
@@ -211,7 +230,7 @@ def _conditional(counted: DataFrame, name: str, total: np.ndarray, n: int) -> tu
 def page_languages(pages: DataFrame, labelled: DataFrame) -> DataFrame:
     """(page_id, host, declared, suffix, text_language, language, confidence) of each page (page_id, url, html).
 
-    The text model is learnt from ``labelled`` (text, lang).
+    The text model is learnt from ``labelled`` (text, lang). Pages unlike all its languages are ``OTHER``.
     """
     html, url = F.col("html"), F.col("url")
     found = identify(pages, page_text(html), train_text(labelled), markup_language(html), address_suffix(url), address_host(url))
@@ -226,12 +245,13 @@ def keep_languages(
 ) -> DataFrame:
     """The rows of ``docs`` whose language is one of ``wanted`` (all known ones) with a posterior of at least ``least``.
 
-    Rows whose text has no evidence (NULL, empty, without letters) go: they are in no language. Columns stay as they are.
+    Rows whose text has no evidence (NULL, empty, without letters) go, and those unlike all known languages (``OTHER``):
+    they are in no language that is known. Columns stay as they are.
     """
     boxed = docs.select(F.struct("*").alias("_row"))
     own = F.col("_row")
     found = identify(boxed, own[text], train_text(docs, text, declared), F.lower(F.trim(own[declared])), None, own[host])
-    keep = F.col("text_language").isNotNull() & (F.col("confidence") >= least)
+    keep = F.col("text_language").isNotNull() & (F.col("language") != OTHER) & (F.col("confidence") >= least)
     if wanted is not None:
         keep &= F.col("language").isin(wanted)
     return found.filter(keep).select("_row.*")

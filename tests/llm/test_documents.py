@@ -343,3 +343,30 @@ def test_personal_data_of_national_spellings(spark):
     ]
     found = {r.doc_id: r.spans for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {1: "phone:0:17,phone:22:36,phone:41:55", 2: "phone:0:20,phone:30:48", 3: "phone:0:17"}
+
+
+def planted_languages(spark):
+    """Test documents with a few of a rare language among them, and some of a language that nothing is labelled with."""
+    draw = random.Random(9)
+    rare = ["kwetu", "nyumba", "watoto", "mchana", "wengi", "kazi", "yetu", "ndiyo", "mji", "mkubwa", "habari", "zaidi", "pwani", "sasa"]
+    cyrillic = ["это", "было", "когда", "время", "город", "большой", "люди", "после", "между", "страна"]
+    latin = ["szczęście", "przyjść", "wszystko", "książka", "żółty", "głęboko", "ćwiczyć", "źródło", "mężczyzna", "wrzesień"]
+    say = lambda words, n: " ".join(draw.choice(words) for _ in range(n))
+    docs = read_documents(spark, SF)
+    rows = [(-i, say(rare, 160), "xsw") for i in range(1, 5)]
+    rows += [(-100 - i, say(cyrillic, 60), None) for i in range(5)] + [(-200 - i, say(latin, 60), None) for i in range(5)]
+    planted = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    return docs, docs.unionByName(planted, allowMissingColumns=True)
+
+
+def test_rare_and_unknown_languages(spark):
+    docs, whole = planted_languages(spark)
+    assert 4 < 0.005 * docs.count()  # the share that languages once needed
+    model = langid.train_text(whole)
+    assert "xsw" in model.languages
+    found = {r.doc_id: r.language for r in langid.identify(whole, F.col("text"), model).filter("doc_id < 0").collect()}
+    assert {found[-i] for i in range(1, 5)} == {"xsw"}
+    assert {v for i, v in found.items() if i <= -100} == {langid.OTHER}
+    kept = langid.keep_languages(whole)
+    assert sorted(r.doc_id for r in kept.filter("doc_id < 0").collect()) == list(range(-4, 0))
+    assert kept.filter("doc_id >= 0").count() >= 0.99 * docs.count()
