@@ -1,4 +1,4 @@
-"""Benchmark passages in documents, found by spaced seeds and verified with substitutions. DataFrame operations only."""
+"""Benchmark passages in documents, found by their intact pieces and verified with substitutions. DataFrame operations only."""
 
 from __future__ import annotations
 
@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from funnelwright.llm.common import Scratch
 
-# Positions of a span that a seed looks at (1) or ignores (0). Of all ways to substitute three of fifteen words, these
-# three miss 3 in 455, and none of the ways to substitute two.
+# Spaced seeds of the SQL that op4_leaks is compared with; the operator's own seeds miss nothing and are not these.
 MASKS = ("1101010011", "1111000101", "1010001111")
-SHORT_MASK = "1111"  # for items of fewer words than a span
 SPAN = len(MASKS[0])
+LEAST_WORDS = 4  # of an item that is looked for
 WINDOW = 20  # words that are compared around a hit, or the whole item where it is shorter
 EQUAL = 80  # percent of these that have to agree
 SEEDS_PER_BLOCK = 200_000  # of benchmark seeds that are sent to all tasks at once
@@ -23,13 +22,9 @@ def tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _seeds(masks: list[str], own: str, at: str) -> Column:
-    """A column pair per mask, stacked to a row each: the hash of the words that the mask selects from position ``at``."""
-    hashes = []
-    for number, mask in enumerate(masks):
-        picked = [F.get(F.col(own), F.col(at) + place) for place, bit in enumerate(mask) if bit == "1"]
-        hashes.append(F.xxhash64(F.lit(number), *picked))
-    return F.stack(F.lit(len(masks)), *hashes)
+def _seed(width: int, own: str, at: Column) -> Column:
+    """The hash of ``width`` adjoining words from position ``at``."""
+    return F.xxhash64(F.lit(width), *[F.get(F.col(own), at + place) for place in range(width)])
 
 
 def find_leaks(
@@ -37,49 +32,50 @@ def find_leaks(
 ) -> DataFrame:
     """Benchmark items that documents contain: (doc_id, item_id, matched, compared, doc_start), a row per pair.
 
-    Every position of every document gives a hash per mask; so does every position of the items. Equal hashes are hits.
-    Around a hit, ``WINDOW`` words of the item (all, if it has fewer) are compared in place with the document; if at least
-    ``EQUAL`` percent agree, the document contains the item. Told is the best window, the first among equals, with
-    ``doc_start``, its first word in the document.
+    A document contains an item if ``WINDOW`` adjoining words of it (all, if it has fewer) agree in place with the document
+    for at least ``EQUAL`` percent. Told is the best window, the first among equals, with ``doc_start``, its first word in
+    the document.
 
-    Items go to all tasks in blocks of about ``SEEDS_PER_BLOCK`` seeds, and the documents are read once per block; so
-    documents are never shuffled, and a passage that many documents share costs a row each. Items shorter than
-    a span use a seed of four adjoining words; items of fewer than four words are never found.
+    A window is cut into one piece more than it may have unequal words, so one piece of each window that counts is intact.
+    Every position of every document gives a hash of adjoining words (two to four, the widths of the items' pieces); those
+    equal to a piece's are hits, and their windows are compared word by word. So no window that counts is missed.
+
+    Items go to all tasks in blocks of about ``SEEDS_PER_BLOCK`` pieces, and the documents are read once per block; so
+    documents are never shuffled, and a passage that many documents share costs a row each. Items of fewer than
+    ``LEAST_WORDS`` words are never found.
 
     Defined cases: NULL and empty texts contain nothing. Documents that share a doc_id, or items that share an item_id,
     are reported as one, and NULL ids as one. Equal items are found each. Extra columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("item")).distinct()
-    items = items.filter(F.size("item") >= len(SHORT_MASK)).withColumn("number", F.xxhash64("item_id", "item"))
+    compared = F.least(F.size("item"), F.lit(WINDOW))
+    pieces = F.floor(compared * (100 - EQUAL) / 100).cast("int") + 1
+    items = items.filter(F.size("item") >= LEAST_WORDS).withColumns(
+        {"number": F.xxhash64("item_id", "item"), "compared": compared, "pieces": pieces, "width": F.floor(compared / pieces).cast("int")}
+    )
     items = scratch.store(items, "items")
-    counts = items.agg(F.sum(3 * F.size("item")), F.min(F.size("item"))).first()
+    counts = items.agg(F.sum((F.size("item") - F.col("compared") + 1) * F.col("pieces")), F.collect_set("width")).first()
     blocks = max(1, -(-(counts[0] or 0) // SEEDS_PER_BLOCK))
-    short = counts[1] is not None and counts[1] < SPAN
-    masks = [*MASKS, SHORT_MASK] if short else list(MASKS)
-    least = len(SHORT_MASK) if short else SPAN
+    widths = sorted(counts[1]) or [LEAST_WORDS]
 
-    source = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")).filter(F.size("words") >= least)
-    starts = source.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - least)))
-    hashed = starts.select("doc_id", "words", "at", _seeds(masks, "words", "at").alias("seed"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")).filter(F.size("words") >= widths[0])
+    starts = source.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - widths[0])))
+    hashed = starts.select("doc_id", "words", "at", F.stack(F.lit(len(widths)), *[_seed(w, "words", F.col("at")) for w in widths]).alias("seed"))
     found = []
     for block in range(blocks):
         own = items.filter(F.pmod("number", F.lit(blocks)) == block)
-        places = own.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("item") - len(SHORT_MASK))))
-        whole = F.col("place") + SPAN <= F.size("item")
-        seeds = places.filter(whole).select("number", "place", _seeds(list(MASKS), "item", "place").alias("seed"))
-        if short:
-            few = places.filter(F.size("item") < SPAN)
-            picked = [F.get("item", F.col("place") + i) for i in range(len(SHORT_MASK))]
-            seeds = seeds.union(few.select("number", "place", F.xxhash64(F.lit(len(MASKS)), *picked).alias("seed")))
+        firsts = own.withColumn("first", F.explode(F.sequence(F.lit(0), F.size("item") - F.col("compared"))))
+        places = firsts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+        places = places.withColumn("place", F.col("first") + F.col("piece") * F.col("width"))
+        seed = F.coalesce(*[F.when(F.col("width") == w, _seed(w, "item", F.col("place"))) for w in widths])
+        seeds = places.select("number", "place", "first", seed.alias("seed"))
         hits = hashed.join(F.broadcast(seeds), "seed").join(F.broadcast(own), "number")
-        found.append(hits.select("doc_id", "item_id", "words", "item", "at", "place"))
+        found.append(hits.select("doc_id", "item_id", "words", "item", "compared", "at", "place", "first"))
     hits = found[0]
     for more in found[1:]:
         hits = hits.union(more)
-    size = F.least(F.size("item"), F.lit(WINDOW))
-    first = F.greatest(F.lit(0), F.least(F.size("item") - size, F.col("place") + SPAN // 2 - WINDOW // 2))
-    windows = hits.withColumns({"compared": size, "first": first, "doc_start": F.col("at") - F.col("place") + first})
+    windows = hits.withColumn("doc_start", F.col("at") - F.col("place") + F.col("first"))
     equal = F.aggregate(
         F.sequence(F.lit(0), F.col("compared") - 1),
         F.lit(0),

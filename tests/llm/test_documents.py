@@ -370,3 +370,46 @@ def test_rare_and_unknown_languages(spark):
     kept = langid.keep_languages(whole)
     assert sorted(r.doc_id for r in kept.filter("doc_id < 0").collect()) == list(range(-4, 0))
     assert kept.filter("doc_id >= 0").count() >= 0.99 * docs.count()
+
+
+def test_leaks_with_all_accepted_substitutions(spark):
+    items, docs = [], []
+    for n in range(4, 21):
+        words = [f"n{n}w{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        allowed = n * (100 - decontam.EQUAL) // 100
+        for places in itertools.combinations(range(n), allowed):
+            changed = ["other" if i in places else w for i, w in enumerate(words)]
+            docs.append((n * 100_000 + len(docs), " ".join(["so", *changed, "on"])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontam.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {i for i, _ in docs} and all(r.doc_id // 100_000 == r.item_id for r in found)
+
+
+def test_leaks_equal_every_alignment(spark):
+    draw = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(300)]
+    items = [(i, [draw.choice(vocabulary) for _ in range(n)]) for i, n in enumerate([4, 5, 6, 7, 9, 10, 11, 13, 15, 19, 20, 21, 28, 40])]
+    docs = []
+    for i in range(150):
+        own = list(draw.choice(items)[1])
+        own = own[draw.randrange(0, max(1, len(own) - 18)) :]
+        for _ in range(draw.randrange(0, 6)):
+            own[draw.randrange(len(own))] = draw.choice(vocabulary)
+        around = [[draw.choice(vocabulary) for _ in range(draw.randrange(0, 8))] for _ in range(2)]
+        docs.append((i, around[0] + own + around[1]))
+    want = set()
+    for d, words in docs:
+        for i, item in items:
+            size = min(len(item), decontam.WINDOW)
+            every = []
+            for first in range(len(item) - size + 1):
+                for start in range(-size, len(words)):
+                    equal = sum(0 <= start + k < len(words) and words[start + k] == item[first + k] for k in range(size))
+                    every.append((equal, -start))
+            best = max(every)
+            if best[0] * 100 >= size * decontam.EQUAL:
+                want.add((d, i, best[0], size, -best[1]))
+    table = lambda rows, name: spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{name} long, text string")
+    assert len(want) > 60
+    assert {tuple(r) for r in decontam.find_leaks(table(docs, "doc_id"), table(items, "item_id")).collect()} == want
