@@ -10,7 +10,9 @@ from funnelwright.llm.decontam import EQUAL, MASKS, SPAN, TOKEN, WINDOW
 from funnelwright.llm.embeddings import COSINE
 from funnelwright.llm.mixing import MOST_EPOCHS
 from funnelwright.llm.neardup import SIMILAR
+from funnelwright.llm.resampling import BUCKETS, LEAST_WORDS, PERCENT, SEED
 from funnelwright.llm.sharding import OVERHEAD, SHARDS
+from funnelwright.llm.spelling import DROP_EVERY, LEAST_COUNT, LEAST_LENGTH, RATIO, RUN
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -182,6 +184,101 @@ FROM embeddings e JOIN components c ON c.start = e.vec_id LEFT JOIN degrees d ON
 """
 
 
+_REMAINDERS = """
+bits AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda r, i:
+    xor(r >> 1, (r & 1) * 3988292384), n)) AS remainders
+)"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(CAST(4294967295 AS BIGINT), list_reduce(
+    list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda pair: CAST('0x' || pair AS BIGINT)),
+    lambda crc, byte: xor(crc >> 8, remainders[xor(crc & 255, byte) + 1]), CAST(4294967295 AS BIGINT)))"""
+
+
+RESAMPLING = f"""
+WITH {_REMAINDERS}, worded AS (
+  SELECT false AS wanted, doc_id, row_number() OVER () AS row, text FROM documents
+  UNION ALL SELECT true, NULL, row_number() OVER (), text FROM benchmark
+), listed AS (
+  SELECT wanted, doc_id, row, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM worded
+), features AS (
+  SELECT wanted, row, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS feature
+  FROM listed
+), counted AS (
+  SELECT feature, count(*) FILTER (NOT wanted) AS s, count(*) FILTER (wanted) AS t FROM features GROUP BY feature
+), hashed AS MATERIALIZED (
+  SELECT feature, s, t, {_crc32('feature')} % {BUCKETS} AS bucket FROM counted, bits
+), buckets AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM hashed GROUP BY bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+           CAST((t + 1) * ((SELECT sum(s) FROM buckets) + {BUCKETS}) AS DOUBLE)
+           / CAST((s + 1) * ((SELECT sum(t) FROM buckets) + {BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+  FROM buckets
+), weights AS (
+  SELECT row, count(*) AS n, sum(gain) AS gained FROM features JOIN hashed USING (feature) JOIN gains USING (bucket)
+  WHERE NOT wanted GROUP BY row
+), scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_features,
+         CAST(coalesce((gained - ((gained % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+         CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(concat('{SEED}:', doc_id)), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE))
+                                   / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS luck
+  FROM listed LEFT JOIN weights USING (row) WHERE NOT wanted
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= {LEAST_WORDS} ORDER BY weight + luck DESC, doc_id) AS place,
+         count(*) FILTER (n_words >= {LEAST_WORDS}) OVER () AS able
+  FROM scored
+)
+SELECT doc_id, n_features, weight, weight + luck AS score,
+       CASE WHEN n_words >= {LEAST_WORDS} AND place <= {PERCENT} * able // 100 THEN place END AS rank
+FROM ranked
+"""
+
+# Two words are near if they are equal once one character of either is masked or of one is left out.
+SPELLING = f"""
+WITH RECURSIVE {_REMAINDERS}, runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[{RUN}]+')) AS run FROM documents
+), lowered AS (
+  SELECT concat(doc_id, ':', translate(run, '{_UPPER}', '{_UPPER.lower()}')) AS printed,
+         translate(run, '{_UPPER}', '{_UPPER.lower()}') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= {LEAST_LENGTH} GROUP BY ALL
+), checked AS (
+  SELECT run, n, {_crc32('printed')} AS crc FROM lowered, bits
+), spelled AS (
+  SELECT CASE WHEN crc % {DROP_EVERY} = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word, n
+  FROM checked
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= {LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {LEAST_COUNT}
+), cut AS (
+  SELECT word, unnest(range(1, length(word) + 1)) AS spot FROM words
+), masked AS (
+  SELECT word, substr(word, 1, spot - 1) || '*' || substr(word, spot + 1) AS mask,
+         substr(word, 1, spot - 1) || substr(word, spot + 1) AS shorter
+  FROM cut
+), near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM masked a JOIN masked b ON a.mask = b.mask AND a.word != b.word
+  UNION SELECT m.word, w.word FROM masked m JOIN words w ON w.word = m.shorter
+  UNION SELECT w.word, m.word FROM masked m JOIN words w ON w.word = m.shorter
+), best AS (
+  SELECT near.word, count(*) AS n_near, arg_min(other, (-words.n, other)) AS form, max(words.n) AS form_n
+  FROM near JOIN words ON words.word = near.other GROUP BY near.word
+), judged AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= {RATIO} * n THEN form END AS form,
+         CASE WHEN form_n >= {RATIO} * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), paths AS (
+  SELECT word, word AS spot FROM judged
+  UNION ALL SELECT p.word, j.form FROM paths p JOIN judged j ON j.word = p.spot WHERE j.form IS NOT NULL
+), ends AS (
+  SELECT p.word, p.spot AS root FROM paths p JOIN judged j ON j.word = p.spot WHERE j.form IS NULL
+)
+SELECT word, n, n_near, form, form_n, root FROM judged JOIN ends USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix": MIX,
@@ -190,4 +287,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": LINES,
         "op8_shards": SHARDS_SQL,
         "op9_near_vectors": VECTORS,
+        "op11_resampling": RESAMPLING,
+        "op12_spelling": SPELLING,
     }

@@ -13,9 +13,12 @@ from funnelwright.llm.licenses import scan_licenses
 from funnelwright.llm.linededup import dedup_lines
 from funnelwright.llm.mixing import mix_sizes
 from funnelwright.llm.neardup import near_duplicates
+from funnelwright.llm.packing import pack
 from funnelwright.llm.pii import find_personal_data
 from funnelwright.llm.quality import score_quality
+from funnelwright.llm.resampling import resample
 from funnelwright.llm.sharding import shard_table
+from funnelwright.llm.spelling import spelling_variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +67,18 @@ def _personal_data(spark, sf_dir):
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def _resampling(spark, sf_dir):
+    return resample(read_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def _spelling(spark, sf_dir):
+    return spelling_variants(read_documents(spark, sf_dir))
+
+
+def _packing(spark, sf_dir):
+    return pack(read_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_mix": _mix,
     "op2_language": _language,
@@ -75,4 +90,7 @@ QUERIES = {
     "op8_shards": _shards,
     "op9_near_vectors": _near_vectors,
     "op10_personal_data": _personal_data,
+    "op11_resampling": _resampling,
+    "op12_spelling": _spelling,
+    "op13_packing": _packing,
 }
