@@ -9,7 +9,8 @@ from funnelwright.operators.cleaning import (
     null_sentinels,
     project_to_spec,
 )
-from funnelwright.operators.joins import heavy_keys, left_join
+from funnelwright.operators.history import as_of_join, latest_state, previous_values, status_changes
+from funnelwright.operators.joins import full_outer_join, heavy_keys, left_join, unmatched
 from funnelwright.operators.metrics import (
     add_up,
     city_report,
@@ -31,6 +32,7 @@ from funnelwright.operators.model import (
     look_up,
     match_leads,
     places_dimension,
+    reconcile,
     report_contacts,
     status_dimension,
 )
@@ -39,12 +41,14 @@ from funnelwright.operators.union import union_all_by_name
 
 __all__ = [
     "add_up",
+    "as_of_join",
     "city_report",
     "city_status_report",
     "clean",
     "conform",
     "count_invalid",
     "date_dimension",
+    "full_outer_join",
     "global_report",
     "heavy_keys",
     "invalid_values",
@@ -52,6 +56,7 @@ __all__ = [
     "key_multiplicity",
     "kpi_fact",
     "kpi_fact_from_dimensions",
+    "latest_state",
     "lead_contacts",
     "leads_dimension",
     "left_join",
@@ -63,13 +68,17 @@ __all__ = [
     "null_percentages",
     "null_sentinels",
     "places_dimension",
+    "previous_values",
     "project_to_spec",
+    "reconcile",
     "report_contacts",
+    "status_changes",
     "status_dimension",
     "status_report",
     "tally",
     "top_and_bottom",
     "union_all_by_name",
+    "unmatched",
     "with_attributes",
     "with_rates",
 ]

@@ -28,17 +28,18 @@ def normalise_text(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def clean(df: DataFrame, source: str | None = None) -> DataFrame:
+def clean(df: DataFrame, source: str | Sequence[str] | None = None) -> DataFrame:
     """Collapse whitespace, drop copies of rows, drop rows that are NULL throughout.
 
-    ``source`` names a column with the origin of each row. Rows are copies only within one origin, and the column
-    itself is neither cleaned nor counted when looking for NULL rows.
+    ``source`` names a column with the origin of each row, or several. Rows are copies only within one origin, and the
+    columns themselves are neither cleaned nor counted when looking for NULL rows.
 
     Spark combines copies before the one shuffle, whose key is the whole row: a row repeated many times arrives
     at most once per map task.
     """
-    raw = [name for name in df.columns if name != source]
-    normalised = normalise_text(df, keep=() if source is None else (source,))
+    keep = [] if source is None else [source] if isinstance(source, str) else list(source)
+    raw = [name for name in df.columns if name not in keep]
+    normalised = normalise_text(df, keep)
     distinct = normalised.groupBy(*[quoted(name) for name in df.columns])
     # The test for NULL rows is an aggregate, not a filter on the columns: from a predicate over n columns Catalyst
     # derives up to 2^n constraints once these columns are renamed or retyped, and planning a later join never ends.
@@ -66,8 +67,8 @@ def project_to_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select([quoted(name).alias(targets[name][1]) for name in df.columns if name in targets])
 
 
-def conform(df: DataFrame, spec: TableSpec, invalid: str | None = None) -> DataFrame:
-    """Type the spec's columns, keep only those and give them their final names, in the order of ``df``.
+def conform(df: DataFrame, spec: TableSpec, invalid: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Type the spec's columns, keep only those and give them their final names, in the order of ``df``; those of ``keep`` follow.
 
     Text that does not fit its type becomes NULL. Columns of the spec that ``df`` lacks are skipped. ``invalid``
     names an extra column for what was lost: an array of (column_name, raw_value), NULL in rows without losses.
@@ -78,8 +79,9 @@ def conform(df: DataFrame, spec: TableSpec, invalid: str | None = None) -> DataF
     kept = [name for name in df.columns if name in targets]
     types = dict(df.dtypes)
     typed = [_typed(quoted(name), targets[name][0], types[name]).alias(targets[name][1]) for name in kept]
+    kept_too = [quoted(name) for name in keep]
     if invalid is None:
-        return df.select(typed)
+        return df.select(*typed, *kept_too)
 
     # Two projections, so that each value is parsed once: the second only compares parsed with raw.
     checked = [name for name in kept if _can_fail(targets[name][0])]
@@ -94,7 +96,7 @@ def conform(df: DataFrame, spec: TableSpec, invalid: str | None = None) -> DataF
     for gone in lost:
         any_lost = any_lost | gone
     losses = F.when(any_lost, F.array_compact(F.array(*entries))) if entries else nothing
-    return df.select(*typed, *raws).select(*[targets[name][1] for name in kept], losses.alias(invalid))
+    return df.select(*typed, *kept_too, *raws).select(*[targets[name][1] for name in kept], *kept_too, losses.alias(invalid))
 
 
 def count_invalid(df: DataFrame, invalid: str) -> DataFrame:

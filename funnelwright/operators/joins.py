@@ -1,4 +1,4 @@
-"""Left joins that stay balanced when one key holds a large share of the rows."""
+"""Joins that stay balanced when one key holds a large share of the rows: left, full outer, and what matches nothing."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from funnelwright.functions import quoted
 from funnelwright.operators.union import union_all_by_name
 
 # Rows of one key that a task joins without trouble; a key with more of them on a side is cut into slices of so many.
@@ -60,55 +61,118 @@ def left_join(
       slices. Adaptive execution splits partitions too, but only those of the left side of a left
       join, and it goes by compressed size: the copies of a row that snapshots bring compress to almost nothing.
 
-    ``slice_by`` names right columns that tell rows of one key apart. Left rows, which may be copies of each other, are dealt to
-    slices by the input partition they are in: a key whose rows all lie in one partition of ``left`` stays in one row of its
-    grid. The result is the same with and without ``heavy``, whatever keys it lists, each once.
+    ``slice_by`` names right columns that tell rows of one key apart. Left rows are dealt to slices by their content and the input
+    partition they are in, so only copies of one row within one partition stay together. The result is the same with and without
+    ``heavy``, whatever keys it lists, each once.
     """
     matchable = _all_present([*on, *required])
     keyed, keyless = left.filter(matchable), left.filter(~matchable)
     if heavy is None:
         joined = keyed.join(right, list(on), "left")
     else:
-        joined = _grid_join(keyed, right, on, heavy, slice_by)
+        joined = _grid_join(keyed, right, on, heavy, _content(right, slice_by))
     if not any(left.schema[name].nullable for name in (*on, *required)):
         return joined
     return union_all_by_name([joined, keyless])
 
 
-def _grid_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame, slice_by: Sequence[str]
+def full_outer_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame | None = None, marks: Sequence[str] = ("in_left", "in_right")
 ) -> DataFrame:
-    """Left join in which each heavy key is a grid: a left row is in one row of it, a right row in one column.
+    """All pairs of rows with equal ``on`` columns, and the rows of either side that match nothing, with NULLs for the other side.
 
-    Each pair meets in one cell, as either side is repeated for every slice of the other. Other keys are one cell.
+    The ``on`` columns appear once. NULL never equals NULL. ``marks`` names two new columns that say whether a row has a left and a
+    right row in it. Names of other columns must differ between the sides. Keys in ``heavy``, see :func:`heavy_keys`, are
+    joined as grids. Rows with a NULL in the key skip the join.
     """
-    rows, columns = F.col("_left_slices"), F.col("_right_slices")
+    in_left, in_right = marks
+    key = _all_present(on)
+    if heavy is None:
+        marked = right.filter(key).withColumn(in_right, F.lit(True))
+        joined = left.filter(key).withColumn(in_left, F.lit(True)).join(marked, list(on), "full")
+    else:
+        joined = _grid_join(left.filter(key), right.filter(key), on, heavy, _content(right), marks)
+    joined = joined.withColumns({name: F.coalesce(name, F.lit(False)) for name in marks})
+    alone = [side.filter(~key).withColumns({in_left: F.lit(at == 0), in_right: F.lit(at == 1)}) for at, side in enumerate((left, right))]
+    return union_all_by_name([joined, *alone])
+
+
+def unmatched(left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame | None = None) -> DataFrame:
+    """The rows of ``left`` whose ``on`` columns equal those of no row of ``right``; rows with a NULL there are among them.
 
-    # A left row is repeated only for keys that the right side has. It then has a match in some column, and what it
-    # does not match in the other columns is dropped below.
-    cut = heavy.filter(columns > 1)
-    present = right.join(cut, list(on), "left_semi").select(*on).distinct().withColumn("_present", F.lit(True))
-    flags = heavy.join(present, list(on), "left")
+    Only the distinct keys of ``right`` are needed. Those of the keys in ``heavy`` are repeated for every slice of their left rows, so
+    that no task gets all left rows of a key.
+    """
+    key = _all_present(on)
+    keys = right.filter(key).select(*on).distinct()
+    keyed, keyless = left.filter(key), left.filter(~key)
+    if heavy is None:
+        found = keyed.join(keys, list(on), "left_anti")
+    else:
+        slices = heavy.select(*on, "_left_slices")
+        repeated = keys.join(slices, list(on), "left").withColumn("_row", _each(F.col("_left_slices"), F.col("_left_slices").isNotNull()))
+        dealt = _flagged(keyed.withColumn("_from", _content(keyed, placed=True)), slices, on, F.col("_from"))
+        dealt = dealt.withColumn("_row", _slice_of(F.col("_from"), F.col("_left_slices")))
+        found = dealt.join(repeated, [*on, "_row"], "left_anti").drop("_row", "_from", "_left_slices")
+    return union_all_by_name([found, keyless])
 
-    # Left rows may be copies of each other, so their content cannot spread them; the input partition can. Neither it
-    # nor the content of right rows changes when a lost task runs again, so rows go where they went before.
-    row_of_left = F.when(rows.isNotNull(), F.pmod("_from", rows)).otherwise(F.lit(0))
-    column_of_right = F.when(columns.isNotNull(), F.pmod(F.xxhash64(*slice_by), columns).cast("int")).otherwise(F.lit(0))
+
+def _content(df: DataFrame, names: Sequence[str] = (), placed: bool = False) -> Column:
+    """A hash of the named columns, of all if none is named; with ``placed``, of the input partition too.
+
+    Neither changes when a lost task runs again, so rows go where they went before.
+    """
+    return F.xxhash64(*([F.spark_partition_id()] if placed else []), *[quoted(name) for name in names or df.columns])
+
+
+def _slice_of(content: Column, slices: Column) -> Column:
+    return F.when(slices.isNotNull(), F.pmod(content, slices).cast("int")).otherwise(F.lit(0))
+
+
+def _grid_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], heavy: DataFrame, content_of_right: Column, marks: Sequence[str] = ()
+) -> DataFrame:
+    """Join in which each heavy key is a grid: a left row is in one row of it, a right row in one column.
+
+    Each pair meets in one cell, as either side is repeated for every slice of the other. Other keys are one cell. A left join
+    without ``marks``, a full outer join with them.
+
+    A row is repeated only for keys that the other side has. It then has a match in some cell, and what it does not match in the
+    others is dropped; a row that is there once and matches nothing has no match at all. So no second join tells which rows
+    have been matched.
+    """
+    rows, columns = F.col("_left_slices"), F.col("_right_slices")
+    of_left = heavy.join(_present_keys(right, heavy.filter(columns > 1), on, "_right_present"), list(on), "left")
+    of_right, repeat = heavy, rows.isNotNull()
+    if marks:
+        of_right = heavy.join(_present_keys(left, heavy.filter(rows > 1), on, "_left_present"), list(on), "left")
+        repeat = F.col("_left_present")
     by_row = (
-        _flagged(left.withColumn("_from", F.spark_partition_id()), flags, on, F.col("_from"))
-        .withColumn("_row", row_of_left)
-        .withColumn("_column", _each(columns, F.col("_present")))
+        _flagged(left.withColumn("_from", _content(left, placed=True)), of_left, on, F.col("_from"))
+        .withColumn("_row", _slice_of(F.col("_from"), rows))
+        .withColumn("_column", _each(columns, F.col("_right_present")))
+        .withColumn("_in_left", F.lit(True))
         .drop("_from", *_SLICES)
     )
     by_column = (
-        _flagged(right, heavy, on, F.xxhash64(*slice_by))
-        .withColumn("_column", column_of_right)
-        .withColumn("_row", _each(rows, rows.isNotNull()))
-        .withColumn("_matched", F.lit(True))
-        .drop(*_SLICES)
+        _flagged(right.withColumn("_from", content_of_right), of_right, on, F.col("_from"))
+        .withColumn("_column", _slice_of(F.col("_from"), columns))
+        .withColumn("_row", _each(rows, repeat))
+        .withColumn("_in_right", F.lit(True))
+        .drop("_from", *_SLICES)
     )
-    joined = by_row.join(by_column, [*on, "_row", "_column"], "left")
-    return joined.filter(F.col("_present").isNull() | F.col("_matched")).drop("_row", "_column", "_present", "_matched")
+    joined = by_row.join(by_column, [*on, "_row", "_column"], "full" if marks else "left")
+    kept = F.col("_right_present").isNull() | F.col("_in_right")
+    if marks:
+        kept = F.when(F.col("_in_left"), kept).otherwise(F.col("_left_present").isNull())
+        joined = joined.filter(kept).drop("_left_present").withColumnsRenamed({"_in_left": marks[0], "_in_right": marks[1]})
+        return joined.drop("_row", "_column", "_right_present")
+    return joined.filter(kept).drop("_row", "_column", "_right_present", "_in_left", "_in_right")
+
+
+def _present_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], mark: str) -> DataFrame:
+    """Those of the keys that ``df`` has, marked in a new column."""
+    return df.join(keys, list(on), "left_semi").select(*on).distinct().withColumn(mark, F.lit(True))
 
 
 def _flagged(df: DataFrame, flags: DataFrame, on: Sequence[str], part: Column) -> DataFrame:

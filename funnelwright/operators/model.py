@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelwright.functions import deterministic_uuid, key_text, uuid5
-from funnelwright.operators.joins import left_join
+from funnelwright.operators.joins import full_outer_join, left_join
 
 # The range of the date dimension.
 FIRST_DATE, LAST_DATE = "2000-01-01", "2030-12-31"
@@ -75,6 +75,15 @@ def match_leads(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None =
     return left_join(leads, reports, HASHES, heavy, slice_by=("lead_number",))
 
 
+def reconcile(leads: DataFrame, reports: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """Leads and report rows side by side, also those that have no counterpart on the other side.
+
+    ``delivered`` and ``reported`` say which sides a row has: a lead that nobody reported has only the first, a report
+    row of a lead that was never delivered only the second. ``heavy``: the :func:`heavy_keys` of leads and reports on the hashes.
+    """
+    return full_outer_join(leads, reports, HASHES, heavy, marks=("delivered", "reported"))
+
+
 def leads_dimension(contacts: DataFrame, reported: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Distinct (uuid, lead_number, phone_hash, email_hash) of the leads matched with the reports.
 

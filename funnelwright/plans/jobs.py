@@ -5,7 +5,7 @@ A stored table ends every lineage, so a lost executor costs at most the running
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +36,8 @@ from funnelwright.operators.model import (
     status_dimension,
 )
 from funnelwright.plans.sizing import sized_for
-from funnelwright.sources.files import SOURCE_FILE, read_csv_folder, read_parquet_folder, read_table, write_table
+from funnelwright.sources.files import SOURCE_FILE, read_csv_folder, read_parquet_folder
+from funnelwright.sources.tables import read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, SPECS, TableSpec
 
 # Parquet is encoded and compressed; rows in a shuffle take several times the space.
@@ -46,18 +47,24 @@ PARQUET_EXPANSION = 4
 INVALID = "invalid_values"
 
 
-def conform_leads(raw: DataFrame, source: str | None = None, spec: TableSpec = SPECS["leads"]) -> DataFrame:
-    return conform(clean(raw, source), spec)
+def conform_leads(
+    raw: DataFrame, source: str | Sequence[str] | None = None, spec: TableSpec = SPECS["leads"], keep: Sequence[str] = ()
+) -> DataFrame:
+    return conform(clean(raw, source), spec, keep=keep)
 
 
 def conform_reports(
     raw: DataFrame,
-    source: str | None = None,
+    source: str | Sequence[str] | None = None,
     spec: TableSpec = SPECS["reports"],
     invalid: str | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Clean, type, then turn filler values into NULL. Filler in a typed column thus counts as invalid."""
-    return null_sentinels(conform(clean(raw, source), spec, invalid), SENTINEL_COLUMNS, SENTINELS)
+    """Clean, type, then turn filler values into NULL. Filler in a typed column thus counts as invalid.
+
+    ``keep``: columns of ``source`` that the result has too.
+    """
+    return null_sentinels(conform(clean(raw, source), spec, invalid, keep), SENTINEL_COLUMNS, SENTINELS)
 
 
 def ingest_leads(spark: SparkSession, folder: str, out: str, spec: TableSpec = SPECS["leads"]) -> DataFrame:

@@ -40,8 +40,14 @@ def sized_for(spark: SparkSession, *paths: str, expansion: int = 1) -> Iterator[
 
     ``expansion`` is the factor by which rows in a shuffle exceed the bytes on disk.
     """
+    with sized_for_bytes(spark, sum(stored_bytes(spark, path) for path in paths), expansion):
+        yield
+
+
+@contextmanager
+def sized_for_bytes(spark: SparkSession, n_bytes: int, expansion: int = 1) -> Iterator[None]:
+    """As :func:`sized_for`, for files whose size is known."""
     before = {name: spark.conf.get(name) for name in (_PARTITIONS, _SPLIT)}
-    n_bytes = sum(stored_bytes(spark, path) for path in paths)
     partitions, split = task_sizes(n_bytes, int(before[_PARTITIONS]), _in_bytes(before[_SPLIT]), expansion)
     spark.conf.set(_PARTITIONS, str(partitions))
     spark.conf.set(_SPLIT, str(split))

@@ -2,29 +2,36 @@
 
 from funnelwright.sources.files import (
     SOURCE_FILE,
+    SOURCE_TIME,
     read_csv,
+    read_csv_files,
     read_csv_folder,
     read_parquet,
+    read_parquet_files,
     read_parquet_folder,
-    read_table,
     stored_bytes,
-    write_table,
 )
+from funnelwright.sources.tables import merge_batches, read_table, write_batch, write_table
 from funnelwright.specs import Field, SPECS, TableSpec, get_spec, report_spec, specs_from_json
 
 __all__ = [
     "Field",
     "SOURCE_FILE",
+    "SOURCE_TIME",
     "SPECS",
     "TableSpec",
     "get_spec",
+    "merge_batches",
     "read_csv",
+    "read_csv_files",
     "read_csv_folder",
     "read_parquet",
+    "read_parquet_files",
     "read_parquet_folder",
     "read_table",
     "report_spec",
     "specs_from_json",
     "stored_bytes",
+    "write_batch",
     "write_table",
 ]

@@ -1,4 +1,4 @@
-"""File scans and table writes.
+"""File scans.
 
 Raw scans carry the file each row came from in ``SOURCE_FILE``, because raw rows are deduplicated per file.
 """
@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from funnelwright.functions.text import quoted
 from funnelwright.operators.union import union_all_by_name
+from funnelwright.sources.tables import table_paths
 from funnelwright.specs import TableSpec
 
 SOURCE_FILE = "_source_file"
+SOURCE_TIME = "_source_time"
 
 _HEADER_READERS = 32
 
@@ -41,22 +43,22 @@ def read_csv_folder(spark: SparkSession, folder: str, spec: TableSpec | None = N
 
 
 def read_csv_files(
-    spark: SparkSession, paths: Sequence[str], spec: TableSpec | None = None, where: str = "the given list"
+    spark: SparkSession, paths: Sequence[str], spec: TableSpec | None = None, where: str = "the given list", times: bool = False
 ) -> DataFrame:
-    """As :func:`read_csv_folder`, for a list of files."""
+    """As :func:`read_csv_folder`, for a list of files; with ``times``, the files' times are in ``SOURCE_TIME``."""
     by_header: dict[str, list[str]] = {}
     for path, header in zip(paths, _header_lines(spark, paths), strict=True):
         if header is not None:
             by_header.setdefault(header, []).append(path)
     if not by_header:
         raise FileNotFoundError(f"no CSV file with a header line in {where}")
-    scans = [_with_leading_names(_with_source_file(read_csv(spark, group)), spec) for group in by_header.values()]
+    scans = [_with_leading_names(_with_source_file(read_csv(spark, group), times), spec) for group in by_header.values()]
     return union_all_by_name(scans)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """One Parquet file or Spark-written Parquet folder."""
-    return spark.read.parquet(path)
+    """One Parquet file, Spark-written Parquet folder or stored table."""
+    return spark.read.parquet(*table_paths(spark, path.rstrip("/")))
 
 
 def read_parquet_folder(spark: SparkSession, folder: str, spec: TableSpec | None = None) -> DataFrame:
@@ -69,24 +71,24 @@ def read_parquet_folder(spark: SparkSession, folder: str, spec: TableSpec | None
     merged = _merged_parquet(spark, f"{folder.rstrip('/')}/*.parquet")
     if merged is not None and not _has_rival_names(merged, spec):
         return _with_leading_names(_with_source_file(merged), spec)
-    paths = _list_files(spark, folder, "*.parquet", folders=True)
+    return _scans_by_schema(spark, _list_files(spark, folder, "*.parquet", folders=True), spec, False)
+
+
+def read_parquet_files(spark: SparkSession, paths: Sequence[str], spec: TableSpec | None = None, times: bool = False) -> DataFrame:
+    """As :func:`read_parquet_folder`, for a list of files; with ``times``, the files' times are in ``SOURCE_TIME``."""
+    merged = _merged_parquet(spark, *paths)
+    if merged is not None and not _has_rival_names(merged, spec):
+        return _with_leading_names(_with_source_file(merged, times), spec)
+    return _scans_by_schema(spark, paths, spec, times)
+
+
+def _scans_by_schema(spark: SparkSession, paths: Sequence[str], spec: TableSpec | None, times: bool) -> DataFrame:
     by_schema: dict[str, list[str]] = {}
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
         for path, schema in zip(paths, pool.map(lambda path: spark.read.parquet(path).schema.json(), paths), strict=True):
             by_schema.setdefault(schema, []).append(path)
     scans = [spark.read.parquet(*group) for group in by_schema.values()]
-    return union_all_by_name(_with_common_types([_with_leading_names(_with_source_file(scan), spec) for scan in scans]))
-
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table written by :func:`write_table`. Its files share one schema, so no footers are merged."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
-
-
-def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Overwrite table ``name`` below ``root`` and return it as stored, with a lineage of one file scan."""
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
-    return read_table(df.sparkSession, root, name)
+    return union_all_by_name(_with_common_types([_with_leading_names(_with_source_file(scan, times), spec) for scan in scans]))
 
 
 def stored_bytes(spark: SparkSession, pattern: str) -> int:
@@ -96,10 +98,10 @@ def stored_bytes(spark: SparkSession, pattern: str) -> int:
     return sum(files.getContentSummary(status.getPath()).getLength() for status in files.globStatus(path) or [])
 
 
-def _merged_parquet(spark: SparkSession, pattern: str) -> DataFrame | None:
+def _merged_parquet(spark: SparkSession, *patterns: str) -> DataFrame | None:
     """The files as one scan; None if columns of one name differ in type."""
     try:
-        return spark.read.option("mergeSchema", True).parquet(pattern)
+        return spark.read.option("mergeSchema", True).parquet(*patterns)
     except Exception as error:
         if "CANNOT_MERGE_SCHEMAS" not in str(error):
             raise
@@ -123,14 +125,15 @@ def _with_common_types(scans: Sequence[DataFrame]) -> list[DataFrame]:
     ]
 
 
-def _with_source_file(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+def _with_source_file(df: DataFrame, times: bool = False) -> DataFrame:
+    time = [F.col("_metadata.file_modification_time").alias(SOURCE_TIME)] if times else []
+    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE), *time)
 
 
 def _with_leading_names(df: DataFrame, spec: TableSpec | None) -> DataFrame:
     if spec is None:
         return df
-    leading = {SOURCE_FILE: SOURCE_FILE}
+    leading = {SOURCE_FILE: SOURCE_FILE, SOURCE_TIME: SOURCE_TIME}
     for field in spec.fields:
         source = field.source_in(df.columns)
         if source is not None:

@@ -1,0 +1,123 @@
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from funnelwright.operators import as_of_join, heavy_keys, latest_state, previous_values, status_changes
+from funnelwright.operators.history import asked_times
+
+FIRST = date(2020, 1, 1)
+
+
+def lowest_first(value):
+    """NULL before all values."""
+    return (value is not None, value)
+
+
+@pytest.fixture(scope="module")
+def history():
+    """(key, other key, day, number, status), with NULLs everywhere, a hot key, and gaps of many slices."""
+    draw = random.Random(1)
+    days = [None, *[FIRST + timedelta(days=n) for n in (0, 1, 2, 9, 10, 11, 200, 201, 3000)]]
+    keys = ["hot"] * 8 + ["a", "b", None]
+    rows = {(draw.choice(keys), draw.choice([1, None]), draw.choice(days), n, draw.choice(["new", "sold", None])) for n in range(400)}
+    return sorted(rows, key=str)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k string, m int, day date, n int, status string").repartition(5)
+
+
+def before_each(rows):
+    """Each row's predecessor of the same keys, by day and number."""
+    found, last = {}, {}
+    for row in sorted(rows, key=lambda r: (lowest_first(r[2]), r[3])):
+        found[row] = last.get(row[:2])
+        last[row[:2]] = row
+    return found
+
+
+@pytest.mark.parametrize("slice_days", [1, 10, 100_000])
+def test_previous_values_equal_brute_force(spark, history, slice_days):
+    found = previous_values(frame(spark, history), ["k", "m"], "day", ["n"], ["status", "n"], slice_days=slice_days)
+    assert found.columns == ["k", "m", "day", "n", "status", "previous_status", "previous_n", "previous_row"]
+    expected = {
+        (*row, *((last[4], last[3], True) if last else (None, None, False))) for row, last in before_each(history).items()
+    }
+    rows = [tuple(r) for r in found.collect()]
+    assert set(rows) == expected and len(rows) == len(history)
+
+
+def test_status_changes_equal_brute_force(spark, history):
+    found = status_changes(frame(spark, history), ["k", "m"], "day", ["n"], "status", slice_days=7)
+    expected = {
+        (*row, last and last[4]) for row, last in before_each(history).items() if last is None or last[4] != row[4]
+    }
+    rows = [tuple(r) for r in found.collect()]
+    assert set(rows) == expected and len(rows) == len(expected)
+
+
+def test_latest_state_equals_brute_force(spark, history):
+    copies = frame(spark, history + history[:50])
+    found = latest_state(copies.select("day", "k", "status", "m", "n"), ["k", "m"], ["day", "status"])
+    assert found.columns == ["day", "k", "status", "m", "n"]
+    last = {}
+    for row in sorted(history, key=lambda r: (lowest_first(r[2]), lowest_first(r[4]), r[3])):
+        last[row[:2]] = (row[2], row[0], row[4], row[1], row[3])
+    assert Counter(map(tuple, found.collect())) == Counter(last.values())
+
+
+def test_nothing_gives_nothing(spark, history):
+    none = frame(spark, history).limit(0)
+    assert latest_state(none, ["k"], ["day"]).isEmpty()
+    assert status_changes(none, ["k"], "day", ["n"], "status").isEmpty()
+    offers = none.select("k", F.col("day").alias("at"), F.col("n").alias("u"))
+    assert as_of_join(none, offers, ["k"], "day", "at").isEmpty()
+    alone = as_of_join(frame(spark, history), offers, ["k"], "day", "at")
+    assert alone.count() == len(history) and alone.filter("u IS NOT NULL OR at IS NOT NULL").isEmpty()
+
+
+@pytest.mark.parametrize("direction", ["next", "last"])
+@pytest.mark.parametrize("slice_days, least_rows", [(1, None), (30, 2), (100_000, None)])
+def test_as_of_join_equals_brute_force(spark, history, direction, slice_days, least_rows):
+    draw = random.Random(7)
+    start = datetime(2020, 1, 1)
+    times = [None, *[start + timedelta(hours=n) for n in (0, 1, 30, 31, 220, 230, 4800, 4824, 71_999, 72_000, 90_000)]]
+    keys = ["hot"] * 6 + ["a", "b", None, "right only"]
+    offers = [(draw.choice(keys), draw.choice(times), draw.choice([None, 1, 2]), f"u{draw.randrange(5)}") for _ in range(60)]
+    asks = [(draw.choice(["hot", "hot", "a", None, "left only"]), draw.choice(times), n % 9) for n in range(200)]
+    left = spark.createDataFrame(asks, "k string, day timestamp, n int").repartition(4)
+    right = spark.createDataFrame(offers, "k string, at timestamp, u int, v string").repartition(3)
+    heavy = None if least_rows is None else heavy_keys(left, asked_times(left, ["k"], "day"), ["k", "day"], least_rows)
+    found = as_of_join(left, right, ["k"], "day", "at", direction, ties=["v"], heavy=heavy, slice_days=slice_days)
+    assert found.columns == ["k", "day", "n", "at", "u", "v"]
+
+    def answer(k, day):
+        if k is None or day is None:
+            return (None, None, None)
+        own = [o for o in offers if o[0] == k and o[1] is not None and (o[1] >= day if direction == "next" else o[1] <= day)]
+        if not own:
+            return (None, None, None)
+        at = (min if direction == "next" else max)(o[1] for o in own)
+        return min((o[1:] for o in own if o[1] == at), key=lambda o: (lowest_first(o[2]), lowest_first(o[1])))
+
+    assert Counter(map(tuple, found.collect())) == Counter((*ask, *answer(*ask[:2])) for ask in asks)
+
+
+def test_as_of_join_wants_a_direction(spark, history):
+    offers = frame(spark, history).select("k", F.col("day").alias("at"))
+    with pytest.raises(ValueError, match="direction"):
+        as_of_join(frame(spark, history), offers, ["k"], "day", "at", "nearest")
+
+
+def test_a_hot_keys_rows_are_in_many_tasks(spark):
+    """The windows of one key's rows are cut by time: no task gets more than a few slices of them."""
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("'hot' AS k", "date_add(DATE'2020-01-01', CAST(id % 4000 AS INT)) AS day", "id AS n", "CAST(id % 7 AS STRING) AS status")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = previous_values(rows, ["k"], "day", ["n"], ["status"], slice_days=30).groupBy(F.spark_partition_id().alias("p")).count()
+        assert max(r["count"] for r in found.collect()) < 0.4 * 40_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

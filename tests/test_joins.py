@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from funnelwright.operators import heavy_keys, left_join
+from funnelwright.operators import full_outer_join, heavy_keys, left_join, unmatched
 
 
 def brute_force(left, right):
@@ -144,3 +144,58 @@ def test_adaptive_execution_splits_what_heavy_keys_leave(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+HEAVY = [
+    None,
+    [],
+    [("hot", 1, 3, 1)],
+    [("hot", 1, 1, 4), ("hot", 2, 2, 5)],
+    [("hot", 1, 3, 3), ("a", 2, 2, 1), ("left only", 1, 4, 2), ("right only", 1, 2, 4), ("nowhere", 1, 2, 2)],
+]
+
+
+@pytest.mark.parametrize("heavy", HEAVY)
+def test_full_outer_join_equals_brute_force(spark, sides, heavy):
+    left, right = sides
+    left, right = left + [(None, 1, 0), ("left only", 1, 0)], right + [(None, None, "w"), ("right only", 1, "v")]
+    left_frame = spark.createDataFrame(left, "k string, m int, x int").repartition(5)
+    right_frame = spark.createDataFrame(right, "k string, m int, u string").repartition(3)
+    heavy_frame = heavy if heavy is None else spark.createDataFrame(heavy, "k string, m int, _left_slices int, _right_slices int")
+    joined = full_outer_join(left_frame, right_frame, ["k", "m"], heavy_frame)
+    expected = Counter()
+    for (k, m, x, u), n in brute_force(left, right).items():
+        expected[k, m, x, u, True, u is not None] += n
+    for (k, m, u, x), n in brute_force(right, left).items():
+        if x is None:
+            expected[k, m, None, u, False, True] += n
+    found = joined.select("k", "m", "x", "u", "in_left", "in_right")
+    assert Counter(map(tuple, found.collect())) == expected
+    assert set(joined.columns) == {"k", "m", "x", "u", "in_left", "in_right"}
+
+
+@pytest.mark.parametrize("heavy", HEAVY)
+def test_unmatched_equals_brute_force(spark, sides, heavy):
+    left, right = sides
+    left_frame = spark.createDataFrame(left, "k string, m int, x int").repartition(5)
+    right_frame = spark.createDataFrame(right, "k string, m int, u string")
+    heavy_frame = heavy if heavy is None else spark.createDataFrame(heavy, "k string, m int, _left_slices int, _right_slices int")
+    keys = {row[:2] for row in right if None not in row[:2]}
+    found = unmatched(left_frame, right_frame, ["k", "m"], heavy_frame)
+    assert found.columns == ["k", "m", "x"]
+    assert Counter(map(tuple, found.collect())) == Counter(row for row in left if row[:2] not in keys)
+    assert unmatched(left_frame, right_frame.limit(0), ["k", "m"], heavy_frame).count() == len(left)
+    assert unmatched(left_frame.limit(0), right_frame, ["k", "m"], heavy_frame).isEmpty()
+
+
+def test_a_hot_key_in_one_input_partition_is_cut(spark):
+    left = spark.range(0, 60_000, 1, 1).select(F.lit("hot").alias("k"), F.col("id").alias("x"))
+    right = spark.createDataFrame([("hot", "u")], "k string, u string")
+    heavy = heavy_keys(left, right, ["k"], least_rows=5_000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else tasks are merged, which hides how rows are dealt
+    try:
+        for joined in (left_join(left, right, ["k"], heavy, ["u"]), unmatched(left, right.limit(0), ["k"], heavy), full_outer_join(left, right, ["k"], heavy)):
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert sum(sizes) == 60_000 and max(sizes) < 30_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

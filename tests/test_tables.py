@@ -1,0 +1,102 @@
+import pytest
+from pyspark.sql import functions as F
+
+from funnelwright.sources import merge_batches, read_parquet, read_table, write_batch, write_table
+from funnelwright.sources.tables import table_paths
+
+
+def numbers(frame):
+    return sorted(row.id for row in frame.collect())
+
+
+def dying(spark):
+    """Rows of which the last cannot be made, after others are written."""
+    broken = F.when(F.col("id") == 99, F.raise_error(F.lit("the job died")).cast("long")).otherwise(F.col("id"))
+    return spark.range(0, 100, 1, 4).select(broken.alias("id"))
+
+
+@pytest.mark.parametrize("writes", [1, 2, 3])
+def test_a_write_that_dies_leaves_the_table(spark, tmp_path, writes):
+    root = str(tmp_path)
+    for n in range(writes):
+        write_table(spark.range(n + 1), root, "t")
+    reading = read_table(spark, root, "t")
+    with pytest.raises(Exception, match="the job died"):
+        write_table(dying(spark), root, "t")
+    assert numbers(read_table(spark, root, "t")) == numbers(reading) == list(range(writes))
+    write_table(spark.range(7), root, "t")
+    assert numbers(reading) == list(range(writes))  # the version before stays for who is reading it
+    assert numbers(read_parquet(spark, f"{root}/t/")) == list(range(7))
+
+
+def test_a_first_write_that_dies_leaves_no_table(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(Exception, match="the job died"):
+        write_table(dying(spark), root, "t")
+    assert numbers(write_table(spark.range(2), root, "t")) == numbers(read_table(spark, root, "t")) == [0, 1]
+
+
+def test_a_version_without_marker_is_not_read(spark, tmp_path):
+    """What a writer leaves that dies between the rows and the marker."""
+    root = str(tmp_path)
+    write_table(spark.range(3), root, "t")
+    spark.range(9).write.parquet(f"{root}/t/v00000002-{'a' * 32}")
+    assert numbers(read_table(spark, root, "t")) == [0, 1, 2]
+
+
+def test_old_versions_go(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(6):
+        write_table(spark.range(n), root, "t")
+    held = [path.name for path in (tmp_path / "t").iterdir() if not path.name.startswith(".")]
+    assert sorted(name.split("-")[0] for name in held) == ["_v00000005", "_v00000006", "v00000005", "v00000006"]
+
+
+def test_a_table_may_be_made_of_itself(spark, tmp_path):
+    root = str(tmp_path)
+    write_table(spark.range(3), root, "t")
+    for _ in range(3):
+        write_table(read_table(spark, root, "t").select(F.col("id") + 1).toDF("id"), root, "t")
+    assert numbers(read_table(spark, root, "t")) == [3, 4, 5]
+
+
+def test_tables_of_other_writers(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert numbers(read_table(spark, str(tmp_path), "t")) == [0, 1, 2]
+    write_table(spark.range(1), str(tmp_path), "t")
+    assert numbers(read_table(spark, str(tmp_path), "t")) == [0]
+
+
+def test_batches_add_up_and_replace_themselves(spark, tmp_path):
+    root = str(tmp_path)
+    write_batch(spark.range(0, 3), root, "t", 0)
+    write_batch(spark.range(3, 5), root, "t", 1)
+    assert numbers(read_table(spark, root, "t")) == [0, 1, 2, 3, 4]
+    with pytest.raises(Exception, match="the job died"):
+        write_batch(dying(spark), root, "t", 2)
+    with pytest.raises(Exception, match="the job died"):
+        write_batch(dying(spark), root, "t", 1)
+    assert numbers(read_table(spark, root, "t")) == [0, 1, 2, 3, 4]
+    write_batch(spark.range(5, 7), root, "t", 2)
+    write_batch(spark.range(3, 5), root, "t", 1)
+    assert numbers(read_table(spark, root, "t")) == [0, 1, 2, 3, 4, 5, 6]
+
+
+def test_merged_batches(spark, tmp_path):
+    root = str(tmp_path)
+    for number in range(3):
+        write_batch(spark.range(number, number + 1), root, "t", number)
+    assert numbers(merge_batches(spark, root, "t")) == [0, 1, 2]
+    assert len(table_paths(spark, f"{root}/t")) == 1
+    write_batch(spark.range(99), root, "t", 1)  # replayed after it was merged: it is in already
+    write_batch(spark.range(3, 4), root, "t", 3)
+    assert numbers(read_table(spark, root, "t")) == [0, 1, 2, 3]
+    merge_batches(spark, root, "t")
+    assert numbers(merge_batches(spark, root, "t")) == [0, 1, 2, 3]
+    assert len(table_paths(spark, f"{root}/t")) == 1
+
+
+def test_a_whole_table_takes_no_batches(spark, tmp_path):
+    write_table(spark.range(1), str(tmp_path), "t")
+    with pytest.raises(ValueError, match="no batches"):
+        write_batch(spark.range(1), str(tmp_path), "t", 0)

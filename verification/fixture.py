@@ -63,6 +63,24 @@ FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey
 JOIN {{customer}} ON o_custkey = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey
 """
 
+# A delivery of a lead per line item, on its shipping date.
+RAW_DELIVERIES = """
+SELECT concat('lead-', CAST(o_custkey AS STRING)) AS lead_uuid,
+       md5(concat('p', CAST(o_custkey AS STRING))) AS phone_hash,
+       md5(concat('e', CAST(o_custkey AS STRING))) AS email_hash,
+       CAST(l_shipdate AS DATE) AS delivered_on
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+"""
+
+# Every tenth customer's leads have the contact of lead 0, and half of these deliveries one date.
+SKEWED_DELIVERIES = """
+SELECT concat('lead-', CAST(o_custkey AS STRING)) AS lead_uuid,
+       md5(concat('p', CAST(CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE o_custkey END AS STRING))) AS phone_hash,
+       md5(concat('e', CAST(CASE WHEN o_custkey % 10 = 0 THEN 0 ELSE o_custkey END AS STRING))) AS email_hash,
+       CASE WHEN o_custkey % 20 = 0 THEN DATE '1995-06-17' ELSE CAST(l_shipdate AS DATE) END AS delivered_on
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+"""
+
 # SQL names -> headers of a real report.
 HEADERS = {
     "entrydate": "ENTRYDATE",
@@ -92,6 +110,14 @@ def skewed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_headers(_run(spark, sf_dir, SKEWED_REPORTS))
 
 
+def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, RAW_DELIVERIES)
+
+
+def skewed_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, SKEWED_DELIVERIES)
+
+
 def raw_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_headers(_run(spark, sf_dir, RAW_REPORTS))
 

@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from verification.fixture import HEADERS, RAW_LEADS, RAW_REPORTS, RAW_SNAPSHOTS, SKEWED_LEADS, SKEWED_REPORTS, TABLES
+from verification.fixture import (
+    HEADERS,
+    RAW_DELIVERIES,
+    RAW_LEADS,
+    RAW_REPORTS,
+    RAW_SNAPSHOTS,
+    SKEWED_DELIVERIES,
+    SKEWED_LEADS,
+    SKEWED_REPORTS,
+    TABLES,
+)
 
 
 def _plain(sql: str) -> str:
@@ -75,6 +85,7 @@ _RELATIONS = {
     "raw_leads": _plain(RAW_LEADS),
     "raw_reports": _plain(RAW_REPORTS),
     "raw_snapshots": _plain(RAW_SNAPSHOTS),
+    "raw_deliveries": _plain(RAW_DELIVERIES),
     "leads": f"SELECT DISTINCT {_squeeze('lead_UUID')} AS lead_uuid, {_squeeze('phone_hash')} AS phone_hash, "
     f"{_squeeze('email_hash')} AS email_hash FROM raw_leads",
     "cleaned": f"SELECT DISTINCT {_CLEAN} FROM raw_reports",
@@ -110,7 +121,9 @@ def _fact_of(reports: str) -> str:
 
 
 # The same relations over other raw tables.
-_SKEWED = {"raw_leads": _plain(SKEWED_LEADS), "raw_reports": _plain(SKEWED_REPORTS)}
+_SKEWED_LEADS = {"raw_leads": _plain(SKEWED_LEADS)}
+_SKEWED_REPORTS = {"raw_reports": _plain(SKEWED_REPORTS), "raw_deliveries": _plain(SKEWED_DELIVERIES)}
+_SKEWED = _SKEWED_LEADS | _SKEWED_REPORTS
 
 _RELATIONS["fact"] = _fact_of("reports")
 _RELATIONS["snapshot_fact"] = _fact_of("snapshot_reports")
@@ -153,6 +166,9 @@ _REPORT_COLUMNS = (
     "entry_date lead_number phone_hash email_hash state zip appt_date demo set dispo job_status city_name".split()
 )
 
+# The order in which the latest state is looked for: the given columns, then the others as they stand.
+_STATE_ORDER = "entry_date lead_number state zip appt_date demo set dispo job_status city_name".split()
+
 _HEADERED = ", ".join(f'{name} AS "{header}"' for name, header in HEADERS.items())
 
 # Raw column, header, and the typed value that is NULL when the raw one does not fit.
@@ -233,9 +249,39 @@ _ORACLES = {
         phone_hash, CASE WHEN number % 4 <> 3 THEN email_hash END AS email_hash
         FROM (SELECT *, CAST(substr(lead_uuid, 6) AS INTEGER) AS number FROM leads)""",
     "stored_model_by_city_status": _by_city_status("snapshot_fact"),
+    "incremental_reports": "SELECT * FROM snapshot_reports",
+    "incremental_invalid_values": _invalid("cleaned_snapshots"),
+    "incremental_by_city_status": _by_city_status("snapshot_fact"),
+    "latest_state": f"""SELECT * FROM reports QUALIFY row_number() OVER (PARTITION BY email_hash, phone_hash
+        ORDER BY {", ".join(f'"{name}" DESC NULLS LAST' for name in _STATE_ORDER)}) = 1""",
+    "status_changes": """SELECT * EXCLUDE (place) FROM (
+        SELECT email_hash, phone_hash, entry_date, lead_number, job_status, lag(job_status) OVER history AS previous_job_status,
+               row_number() OVER history AS place
+        FROM reports WINDOW history AS (PARTITION BY email_hash, phone_hash
+          ORDER BY entry_date NULLS FIRST, lead_number NULLS FIRST, job_status NULLS FIRST))
+        WHERE place = 1 OR job_status IS DISTINCT FROM previous_job_status""",
+    "reconciled": """SELECT coalesce(l.email_hash, r.email_hash) AS email_hash, coalesce(l.phone_hash, r.phone_hash) AS phone_hash,
+        lead_uuid, lead_number, appt_date, job_status, delivered IS NOT NULL AS delivered, reported IS NOT NULL AS reported
+        FROM (SELECT *, true AS delivered FROM leads) l FULL JOIN (SELECT *, true AS reported FROM reports) r
+        ON r.phone_hash = l.phone_hash AND r.email_hash = l.email_hash""",
+    "unmatched_leads": """SELECT * FROM leads l WHERE NOT EXISTS (
+        SELECT 1 FROM reports r WHERE r.phone_hash = l.phone_hash AND r.email_hash = l.email_hash)""",
+    "unmatched_reports": """SELECT * FROM reports r WHERE NOT EXISTS (
+        SELECT 1 FROM leads l WHERE r.phone_hash = l.phone_hash AND r.email_hash = l.email_hash)""",
+    "next_report": """SELECT d.*, r.reported_on, r.lead_number, r.job_status FROM raw_deliveries d ASOF LEFT JOIN (
+          SELECT phone_hash, email_hash, entry_date AS reported_on, lead_number, job_status FROM reports
+          WHERE phone_hash IS NOT NULL AND email_hash IS NOT NULL AND entry_date IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY phone_hash, email_hash, entry_date
+                                     ORDER BY lead_number NULLS FIRST, job_status NULLS FIRST) = 1) r
+        ON r.phone_hash = d.phone_hash AND r.email_hash = d.email_hash AND r.reported_on >= d.delivered_on""",
 }
 
+# What is read from skewed raw tables, by query.
+_OVER_SKEWED = dict.fromkeys(
+    ("lead_match", "dim_leads", "fact_kpi", "latest_state", "status_changes", "reconciled", "next_report"), _SKEWED
+) | {"unmatched_leads": _SKEWED_LEADS, "unmatched_reports": _SKEWED_REPORTS}
+
 
 def oracle_sql() -> dict[str, str]:
     found = {name: _query(select) for name, select in _ORACLES.items()}
-    return found | {f"{name}_skewed": _query(_ORACLES[name], **_SKEWED) for name in ("lead_match", "dim_leads", "fact_kpi")}
+    return found | {f"{name}_skewed": _query(_ORACLES[name], **raw) for name, raw in _OVER_SKEWED.items()}

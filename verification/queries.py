@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelwright.functions import deterministic_uuid, parse_date, quoted
 from funnelwright.operators import (
+    as_of_join,
     city_report,
     city_status_report,
     clean,
@@ -19,6 +22,7 @@ from funnelwright.operators import (
     key_multiplicity,
     kpi_fact,
     kpi_fact_from_dimensions,
+    latest_state,
     lead_contacts,
     leads_dimension,
     match_leads,
@@ -28,12 +32,16 @@ from funnelwright.operators import (
     null_sentinels,
     places_dimension,
     project_to_spec,
+    reconcile,
     report_contacts,
+    status_changes,
     status_dimension,
     status_report,
     tally,
     union_all_by_name,
+    unmatched,
 )
+from funnelwright.operators.history import asked_times
 from funnelwright.operators.joins import LEAST_ROWS
 from funnelwright.operators.model import HASHES, LEAD_KEY
 from funnelwright.plans import (
@@ -45,9 +53,18 @@ from funnelwright.plans import (
     kpi_reports,
     register_views,
 )
-from funnelwright.sources import read_table, write_table
+from funnelwright.sources import merge_batches, read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, Field, TableSpec, get_spec
-from verification.fixture import raw_leads, raw_reports, raw_snapshots, skewed_leads, skewed_reports
+from funnelwright.streaming import increment_leads, increment_reports, invalid_values_of_increments
+from verification.fixture import (
+    raw_deliveries,
+    raw_leads,
+    raw_reports,
+    raw_snapshots,
+    skewed_deliveries,
+    skewed_leads,
+    skewed_reports,
+)
 from verification.scratch import scratch_folder
 
 REPORTS = get_spec("reports")
@@ -261,10 +278,15 @@ def _key_multiplicity(spark, sf_dir):
 
 
 def _write_csv_snapshots(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The three snapshots as CSV files; returns the glob of the folders written."""
+    return list(_csv_snapshots_in_turn(spark, sf_dir, folder))[-1]
+
+
+def _csv_snapshots_in_turn(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[str]:
     """The three snapshots as CSV files; one has ``CITY`` for ``CityName``, an extra column and another order.
 
-    Returns the glob of the folders written. Copies of a row are looked for within a file, so rows are assigned to
-    files by their content, all but the column whose whitespace differs between copies.
+    Gives the glob of the folders each time that one is written. Copies of a row are looked for within a file, so rows are
+    assigned to files by their content, all but the column whose whitespace differs between copies.
     """
     raw = write_table(raw_snapshots(spark, sf_dir), folder, "_source")
     columns = [name for name in raw.columns if name != "snapshot"]
@@ -276,7 +298,7 @@ def _write_csv_snapshots(spark: SparkSession, sf_dir: str, folder: str) -> str:
         rows = raw.filter(F.col("snapshot") == snapshot).repartition(*same_in_copies).select(layout)
         keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         rows.write.options(header=True, **keep_spaces).csv(f"{folder}/{snapshot}")
-    return f"{folder}/snapshot-*"
+        yield f"{folder}/snapshot-*"
 
 
 def _csv_snapshots(spark, sf_dir):
@@ -332,6 +354,108 @@ def _stored_model_by_city_status(spark, sf_dir):
     return kpi_reports(spark, f"{folder}/step2")["city_status"]
 
 
+def _latest_state(spark, sf_dir):
+    return _comparable(latest_state(_reports(spark, sf_dir), HASHES, ("entry_date", "lead_number")))
+
+
+def _latest_state_skewed(spark, sf_dir):
+    return _comparable(latest_state(conform_reports(skewed_reports(spark, sf_dir)), HASHES, ("entry_date", "lead_number")))
+
+
+def _changes_of(reports: DataFrame) -> DataFrame:
+    states = reports.select(*HASHES, "entry_date", "lead_number", "job_status")
+    return status_changes(states, HASHES, "entry_date", ("lead_number", "job_status"), "job_status")
+
+
+def _status_changes(spark, sf_dir):
+    return _changes_of(_stored(_reports(spark, sf_dir)))
+
+
+def _status_changes_skewed(spark, sf_dir):
+    return _changes_of(_stored(conform_reports(skewed_reports(spark, sf_dir))))
+
+
+def _reconciled_of(leads: DataFrame, reports: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    leads, reports = _stored(leads), _stored(reports.select(*HASHES, "lead_number", "appt_date", "job_status"))
+    return _comparable(reconcile(leads, reports, _stored(heavy_keys(leads, reports, HASHES, least_rows))))
+
+
+def _reconciled(spark, sf_dir):
+    return _reconciled_of(_leads(spark, sf_dir), _reports(spark, sf_dir))
+
+
+def _reconciled_skewed(spark, sf_dir):
+    return _reconciled_of(conform_leads(skewed_leads(spark, sf_dir)), conform_reports(skewed_reports(spark, sf_dir)), FEW_ROWS)
+
+
+def _unmatched_of(left: DataFrame, right: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    left, right = _stored(left), _stored(right.select(*HASHES))
+    return unmatched(left, right, HASHES, _stored(heavy_keys(left, right, HASHES, least_rows)))
+
+
+def _unmatched_leads(spark, sf_dir):
+    return _unmatched_of(_leads(spark, sf_dir), _reports(spark, sf_dir))
+
+
+def _unmatched_reports(spark, sf_dir):
+    return _comparable(_unmatched_of(_reports(spark, sf_dir), _leads(spark, sf_dir)))
+
+
+def _unmatched_leads_skewed(spark, sf_dir):
+    """Lead 0's contact, which every thirtieth lead has, is in no plain report."""
+    return _unmatched_of(conform_leads(skewed_leads(spark, sf_dir)), _reports(spark, sf_dir), FEW_ROWS)
+
+
+def _unmatched_reports_skewed(spark, sf_dir):
+    return _comparable(_unmatched_of(conform_reports(skewed_reports(spark, sf_dir)), _leads(spark, sf_dir), FEW_ROWS))
+
+
+def _next_report_of(deliveries: DataFrame, reports: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    deliveries = _stored(deliveries)
+    offers = _stored(reports.select(*HASHES, F.col("entry_date").alias("reported_on"), "lead_number", "job_status"))
+    asked = asked_times(deliveries, HASHES, "delivered_on")
+    heavy = _stored(heavy_keys(deliveries, asked, [*HASHES, "delivered_on"], least_rows))
+    return as_of_join(deliveries, offers, HASHES, "delivered_on", "reported_on", ties=("lead_number",), heavy=heavy)
+
+
+def _next_report(spark, sf_dir):
+    return _next_report_of(raw_deliveries(spark, sf_dir), _reports(spark, sf_dir))
+
+
+def _next_report_skewed(spark, sf_dir):
+    return _next_report_of(skewed_deliveries(spark, sf_dir), conform_reports(skewed_reports(spark, sf_dir)), FEW_ROWS)
+
+
+def _grown_step1(spark: SparkSession, sf_dir: str) -> str:
+    """Reports and leads taken in a run for each snapshot that arrives, the first two merged in between."""
+    folder = scratch_folder(spark)
+    leads = raw_leads(spark, sf_dir)
+    third = F.pmod(F.xxhash64("lead_UUID"), F.lit(3))
+    for turn, pattern in enumerate(_csv_snapshots_in_turn(spark, sf_dir, f"{folder}/reports")):
+        leads.filter(third == turn).write.mode("append").parquet(f"{folder}/leads")
+        increment_reports(spark, pattern, f"{folder}/step1", files_per_batch=5)
+        increment_leads(spark, f"{folder}/leads", f"{folder}/step1")
+        if turn == 1:
+            merge_batches(spark, f"{folder}/step1", "reports")
+    return f"{folder}/step1"
+
+
+def _incremental_reports(spark, sf_dir):
+    reports = read_table(spark, _grown_step1(spark, sf_dir), "reports")
+    return _comparable(reports.drop("invalid_values", "source_file", "source_time"))
+
+
+def _incremental_invalid_values(spark, sf_dir):
+    return invalid_values_of_increments(spark, _grown_step1(spark, sf_dir))
+
+
+def _incremental_by_city_status(spark, sf_dir):
+    """The last report over tables that have grown in several runs."""
+    step1 = _grown_step1(spark, sf_dir)
+    build_model(spark, step1, f"{step1}-model")
+    return kpi_reports(spark, f"{step1}-model")["city_status"]
+
+
 QUERIES = {
     "clean_reports": _clean_reports,
     "clean_snapshots": _clean_snapshots,
@@ -370,4 +494,19 @@ QUERIES = {
     "parquet_leads": _parquet_leads,
     "parquet_leads_variants": _parquet_leads_variants,
     "stored_model_by_city_status": _stored_model_by_city_status,
+    "incremental_reports": _incremental_reports,
+    "incremental_invalid_values": _incremental_invalid_values,
+    "incremental_by_city_status": _incremental_by_city_status,
+    "latest_state": _latest_state,
+    "latest_state_skewed": _latest_state_skewed,
+    "status_changes": _status_changes,
+    "status_changes_skewed": _status_changes_skewed,
+    "reconciled": _reconciled,
+    "reconciled_skewed": _reconciled_skewed,
+    "unmatched_leads": _unmatched_leads,
+    "unmatched_leads_skewed": _unmatched_leads_skewed,
+    "unmatched_reports": _unmatched_reports,
+    "unmatched_reports_skewed": _unmatched_reports_skewed,
+    "next_report": _next_report,
+    "next_report_skewed": _next_report_skewed,
 }
