@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,19 @@ KNOWN_WORDS = 400_000  # whose ids a Python worker keeps
 # After an ASCII letter the tokenizer's expression always ends a token before one of these, so a text can be cut there. That
 # leaves fewer distinct words to encode.
 _CUT = r"([A-Za-z])([!-/:-@\[-`{-~0-9])"
+# The parts of the tokenizer's file that the above and the encoding by words rely on.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPLITTING = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _WORDS}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -42,33 +56,50 @@ def tokenizer_path(name: str) -> str:
 class _Encoder:
     """Token ids of texts, by words: spaces never reach the tokenizer's output, so a text's ids are those of its words in order.
 
-    Each distinct word is encoded once for as long as it is known.
+    Each distinct word is encoded once for as long as it is known. A word of Latin letters passes the tokenizer's normalisation and
+    splitting as one lower-cased piece, so it goes to its model directly; any other word goes through all of the tokenizer.
     """
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
+        parts = json.loads(self.tokenizer.to_str())
+        if (parts["normalizer"], parts["pre_tokenizer"]) != (_NORMALIZER, _SPLITTING):
+            raise ValueError(f"{name} does not drop white space and split words as this packing does")
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.latin = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.as_bytes = {code: as_bytes.pre_tokenize_str(chr(code))[0][0] for code in range(0xC0, 0x100)}
         self._forget()
 
+    def _ids_of(self, words: list[str]) -> list[list[int]]:
+        model, found = self.tokenizer.model, dict.fromkeys(words)
+        other = [word for word in words if not self.latin(word)]
+        found.update(zip(other, (x.ids for x in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)), strict=True))
+        for word, ids in found.items():
+            if ids is None:
+                plain = word if word.isascii() else word.lower().translate(self.as_bytes)
+                found[word] = [token.id for token in model.tokenize(plain)]
+        return list(found.values())
+
     def _forget(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.ids, self.starts, self.lengths, self.used = np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        self.ids, self.starts, self.lengths, self.used = np.zeros(1 << 16, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32), 0
 
     def _learn(self, words: list[str]) -> None:
         new = [word for word in words if word not in self.numbers]
         if not new:
             return
-        found = [encoding.ids for encoding in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        found = self._ids_of(new)
         self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new)), strict=True))
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
+        lengths = np.fromiter(map(len, found), np.int32, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         if self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(len(flat), self.used), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
-        self.starts = np.append(self.starts, self.used + np.cumsum(lengths) - lengths)
+        self.starts = np.append(self.starts, self.used + np.cumsum(lengths, dtype=np.int32) - lengths)
         self.lengths = np.append(self.lengths, lengths)
         self.used += len(flat)
 
@@ -86,14 +117,16 @@ class _Encoder:
         if len(self.numbers) > KNOWN_WORDS:
             self._forget()
         self._learn(list(dict.fromkeys(distinct)))
-        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        numbers = np.fromiter(map(self.numbers.__getitem__, distinct), np.int32, len(distinct))
         at = numbers[words.indices.to_numpy()]
         ends = np.cumsum(pc.list_value_length(lists).to_numpy())
         for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
             own = at[start:end]
             lengths = self.lengths[own]
-            before = np.cumsum(lengths) - lengths
-            yield self.ids[np.repeat(self.starts[own] - before, lengths) + np.arange(int(lengths.sum()))]
+            after = np.cumsum(lengths, dtype=np.int32)
+            places = np.repeat(self.starts[own] - after + lengths, lengths)
+            places += np.arange(len(places), dtype=np.int32)
+            yield self.ids[places]
 
 
 def _parts(data: bytes) -> Iterator[bytes]:
