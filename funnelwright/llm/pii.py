@@ -23,7 +23,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # What may be personal data in another spelling: a run of digits with separators, and a word with "@" in it.
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9])+")
-_AT = re.compile(r"[A-Za-z0-9._%+-]+(?: ?@ ?|\[at\]| \[at\] |\(at\)| \(at\) )[A-Za-z0-9-]+(?:(?:\.| dot |\[dot\])[A-Za-z0-9-]+)*")
+_AT = re.compile(r"@|\[at\]|\(at\)")
+_SPELLED_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| dot |\[dot\])[A-Za-z0-9-]+)*")
 
 
 def luhn(digits: str) -> bool:
@@ -34,6 +35,13 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _local_start(text: str, at: int, least: int) -> int:
+    """Where the run of characters that an address's local part may have begins that ends at ``at``, not before ``least``."""
+    while at > least and (text[at - 1] in "._%+-" or (text[at - 1].isascii() and text[at - 1].isalnum())):
+        at -= 1
+    return at
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches, found from each "@" outwards: a long run of letters without "@" is looked at once."""
     end = 0
@@ -41,15 +49,35 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
     while at >= 0:
         domain = _DOMAIN.match(text, at)
         if domain:
-            start = at
-            while start > end and (text[start - 1] in "._%+-" or (text[start - 1].isascii() and text[start - 1].isalnum())):
-                start -= 1
+            start = _local_start(text, at, end)
             if start < at:
                 end = domain.end()
                 yield start, end
         at = text.find("@", max(at + 1, end))
 
 
+def _spelled_addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses in other spellings: "@" with a space on either side, and "[at]" or "(at)" with one on both or none.
+
+    Leftmost matches, found from the sign outwards as above, so the time is linear in the text.
+    """
+    end = 0
+    for sign in _AT.finditer(text):
+        if sign.start() < end:
+            continue
+        local_end, domain_start = sign.span()
+        before, after = text[local_end - 1 : local_end] == " ", text[domain_start : domain_start + 1] == " "
+        if sign[0] != "@" and before != after:
+            continue
+        domain = _SPELLED_DOMAIN.match(text, domain_start + after)
+        if domain:
+            local_end -= before
+            start = _local_start(text, local_end, end)
+            if start < local_end:
+                end = domain.end()
+                yield start, end
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind as listed, end) of the patterns' matches that pass their checks, sorted."""
     out = [(start, 0, end) for start, end in _emails(text)]
@@ -76,7 +104,7 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int
     found = [(start, end, kind + 1) for start, kind, end in base]
     taken = sorted((start, end) for start, end, _ in found)
     if "@" in text or "at]" in text or "at)" in text:
-        others = [m.span() for m in _AT.finditer(text)]
+        others = list(_spelled_addresses(text))
     else:
         others = []
     others += [m.span() for m in _NUMBER.finditer(text) if sum("0" <= c <= "9" for c in m.group()) >= 7]
