@@ -1,4 +1,4 @@
-"""Benchmark passages in documents, found by their intact pieces and verified with substitutions. DataFrame operations only."""
+"""Benchmark passages in documents, found by spaced seeds and verified with substitutions. DataFrame operations only."""
 
 from __future__ import annotations
 
@@ -7,68 +7,82 @@ from pyspark.sql import functions as F
 
 from funnelwright.llm.common import Scratch
 
-# Spaced seeds of the SQL that op4_leaks is compared with; the operator's own seeds miss nothing and are not these.
-MASKS = ("1101010011", "1111000101", "1010001111")
-SPAN = len(MASKS[0])
 LEAST_WORDS = 4  # of an item that is looked for
-WINDOW = 20  # words that are compared around a hit, or the whole item where it is shorter
+WINDOW = 20  # words that are compared, or the whole item where it is shorter
 EQUAL = 80  # percent of these that have to agree
 SEEDS_PER_BLOCK = 200_000  # of benchmark seeds that are sent to all tasks at once
-TOKEN = r"[\p{L}\p{N}]+"
+WINDOWS_PER_PART = 1_000  # of an item; longer items are cut
+# Characters of scripts without spaces between words (Thai to Khmer, kana, Han): each is a word.
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+TOKEN = rf"[{UNSPACED}]|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+"
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
+    """Lower-cased runs of letters and digits; in scripts without spaces each character."""
     return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _seed(width: int, own: str, at: Column) -> Column:
-    """The hash of ``width`` adjoining words from position ``at``."""
-    return F.xxhash64(F.lit(width), *[F.get(F.col(own), at + place) for place in range(width)])
+def mask(compared: int) -> str:
+    """The mask for windows of so many words: "1" for a word that the seed has, "0" for one that it ignores.
+
+    A window that counts has at most so many unequal words; the seed has every further word than that. Put to the window's first
+    words in turn, the mask's ones fall into as many classes as there may be unequal words and one more, and share no word. So
+    one class has none of the unequal words, whichever they are, and its seed hits.
+    """
+    unequal = compared * (100 - EQUAL) // 100
+    return ("0" * unequal).join(["1"] * (compared // (unequal + 1)))
+
+
+def _seed(own_mask: str, own: str, at: Column) -> Column:
+    """The hash of the mask and of the words under its ones, from position ``at``."""
+    return F.xxhash64(F.lit(own_mask), *[F.get(F.col(own), at + place) for place, bit in enumerate(own_mask) if bit == "1"])
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id"
-) -> DataFrame:
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
+    least_words: int = LEAST_WORDS,
+) -> DataFrame:
     """Benchmark items that documents contain: (doc_id, item_id, matched, compared, doc_start), a row per pair.
 
     A document contains an item if ``WINDOW`` adjoining words of it (all, if it has fewer) agree in place with the document
     for at least ``EQUAL`` percent. Told is the best window, the first among equals, with ``doc_start``, its first word in
     the document.
 
-    A window is cut into one piece more than it may have unequal words, so one piece of each window that counts is intact.
-    Every position of every document gives a hash of adjoining words (two to four, the widths of the items' pieces); those
-    equal to a piece's are hits, and their windows are compared word by word. So no window that counts is missed.
+    Seeds are hashes of the words under a fixed mask that ignores the positions in between, see :func:`mask`. Every position
+    of every document gives a seed per mask that items need; those equal to an item's are hits, and the windows around them are
+    compared word by word. No window that counts is missed, whatever words of it are unequal.
 
-    Items go to all tasks in blocks of about ``SEEDS_PER_BLOCK`` pieces, and the documents are read once per block; so
-    documents are never shuffled, and a passage that many documents share costs a row each. Items of fewer than
-    ``LEAST_WORDS`` words are never found.
+    Items are cut into parts of ``WINDOWS_PER_PART`` windows and go to all tasks in blocks of about ``SEEDS_PER_BLOCK`` seeds, so
+    what is sent is bounded; the documents are read once per block. They are never shuffled, and a passage that many documents share
+    costs a row each. Items of fewer than ``least_words`` words are not looked for: with one, a document that has the only word of
+    an item contains it.
 
     Defined cases: NULL and empty texts contain nothing. Documents that share a doc_id, or items that share an item_id,
     are reported as one, and NULL ids as one. Equal items are found each. Extra columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "leaks")
     items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(item_text)).alias("item")).distinct()
-    compared = F.least(F.size("item"), F.lit(WINDOW))
-    pieces = F.floor(compared * (100 - EQUAL) / 100).cast("int") + 1
-    items = items.filter(F.size("item") >= LEAST_WORDS).withColumns(
-        {"number": F.xxhash64("item_id", "item"), "compared": compared, "pieces": pieces, "width": F.floor(compared / pieces).cast("int")}
-    )
-    items = scratch.store(items, "items")
-    counts = items.agg(F.sum((F.size("item") - F.col("compared") + 1) * F.col("pieces")), F.collect_set("width")).first()
-    blocks = max(1, -(-(counts[0] or 0) // SEEDS_PER_BLOCK))
-    widths = sorted(counts[1]) or [LEAST_WORDS]
-
-    source = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")).filter(F.size("words") >= widths[0])
-    starts = source.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - widths[0])))
-    hashed = starts.select("doc_id", "words", "at", F.stack(F.lit(len(widths)), *[_seed(w, "words", F.col("at")) for w in widths]).alias("seed"))
+    items = items.filter(F.size("item") >= max(1, least_words)).withColumn("compared", F.least(F.size("item"), F.lit(WINDOW)))
+    last = F.floor((F.size("item") - F.col("compared")) / WINDOWS_PER_PART).cast("int")
+    items = items.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
+    part = F.slice("item", F.col("part") * WINDOWS_PER_PART + 1, F.lit(WINDOWS_PER_PART - 1) + F.col("compared"))
+    items = scratch.store(items.select("item_id", F.xxhash64("item_id", "item", "part").alias("number"), part.alias("item"), "compared"), "items")
+    masks = {size: mask(size) for size in sorted(items.agg(F.collect_set("compared")).first()[0])}
+    unequal = F.floor(F.col("compared") * (100 - EQUAL) / 100).cast("int")
+    n_seeds = items.agg(F.sum((F.size("item") - F.col("compared") + 1) * (unequal + 1))).first()[0] or 0
+    blocks = max(1, -(-n_seeds // SEEDS_PER_BLOCK))
+    kinds = sorted(set(masks.values())) or [mask(LEAST_WORDS)]
+    least = min(map(len, kinds))
+
+    source = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")).filter(F.size("words") >= least)
+    starts = source.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - least)))
+    hashed = starts.select("doc_id", "words", "at", F.stack(F.lit(len(kinds)), *[_seed(kind, "words", F.col("at")) for kind in kinds]).alias("seed"))
     found = []
     for block in range(blocks):
         own = items.filter(F.pmod("number", F.lit(blocks)) == block)
         firsts = own.withColumn("first", F.explode(F.sequence(F.lit(0), F.size("item") - F.col("compared"))))
-        places = firsts.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-        places = places.withColumn("place", F.col("first") + F.col("piece") * F.col("width"))
-        seed = F.coalesce(*[F.when(F.col("width") == w, _seed(w, "item", F.col("place"))) for w in widths])
+        places = firsts.withColumn("place", F.explode(F.sequence(F.col("first"), F.col("first") + unequal)))
+        seed = F.coalesce(*[F.when(F.col("compared") == size, _seed(kind, "item", F.col("place"))) for size, kind in masks.items()], F.lit(None))
         seeds = places.select("number", "place", "first", seed.alias("seed"))
         hits = hashed.join(F.broadcast(seeds), "seed").join(F.broadcast(own), "number")
         found.append(hits.select("doc_id", "item_id", "words", "item", "compared", "at", "place", "first"))
@@ -92,12 +106,15 @@ def _word(words: str, place: Column) -> Column:
     return F.get(F.col(words), place)
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", least_words: int = LEAST_WORDS
+) -> DataFrame:
     """``docs`` without those that contain a benchmark item. Rows without doc_id are judged by their text alone.
 
-    A row goes if any row of its doc_id does.
+    A row goes if any row of its doc_id does. Columns of any name stay as they are; see ``find_leaks`` for NULLs and empty tables.
     """
     named = F.coalesce(F.concat(F.lit("#"), F.col(doc_id).cast("string")), F.sha2(F.col(text), 256))
-    source = docs.select(named.alias("_name"), F.col(text).alias("_text"))
-    leaks = find_leaks(source, benchmark, "_text", "_name").select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, named == F.col("_leak"), "left_anti").select(docs.columns)
+    source = docs.select(named.alias("name"), F.col(text).alias("text"))
+    leaks = find_leaks(source, benchmark, "text", "name", least_words=least_words).select(F.col("doc_id").alias("leak")).distinct()
+    boxed = docs.select(F.struct("*").alias("row"), named.alias("name"))
+    return boxed.join(leaks, F.col("name") == F.col("leak"), "left_anti").select("row.*")

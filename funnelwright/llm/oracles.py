@@ -6,7 +6,8 @@ come from trained models or from procedures over passages; their tests compare w
 
 from __future__ import annotations
 
-from funnelwright.llm.decontam import EQUAL, MASKS, SPAN, TOKEN, WINDOW
+from funnelwright.llm.decontam import EQUAL, UNSPACED, WINDOW
+from funnelwright.llm.decontam import LEAST_WORDS as LEAST_ITEM_WORDS
 from funnelwright.llm.embeddings import COSINE
 from funnelwright.llm.mixing import MOST_EPOCHS
 from funnelwright.llm.neardup import SIMILAR
@@ -61,35 +62,34 @@ JOIN taken k ON k.source IS NOT DISTINCT FROM s.source AND k.key = s.key AND k.p
 """
 
 
-def _hash(mask: str, words: str, at: str) -> str:
-    picked = ", ' ', ".join(f"{words}[{at} + {place + 1}]" for place, bit in enumerate(mask) if bit == "1")
-    return f"concat({picked})"
+def _tokens(text: str) -> str:
+    """Characters of scripts without spaces are words of their own."""
+    return f"regexp_extract_all(regexp_replace(lower(coalesce({text}, '')), '([{UNSPACED}])', ' \\1 ', 'g'), '[\\p{{L}}\\p{{N}}]+')"
 
 
-# Items of fewer words than a span are looked for with another seed, which this leaves out.
+# All alignments: every pair of equal words of a document and an item is one of a shift between the two.
 LEAKS = f"""
-WITH items AS (
-  SELECT DISTINCT item_id, regexp_extract_all(lower(text), '{TOKEN}') AS item FROM benchmark
-), docs AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{TOKEN}') AS words FROM documents
-), places AS (
-  SELECT item_id, item, unnest(range(len(item) - {SPAN - 1})) AS place FROM items WHERE len(item) >= {SPAN}
-), starts AS (
-  SELECT doc_id, words, unnest(range(len(words) - {SPAN - 1})) AS spot FROM docs WHERE len(words) >= {SPAN}
-), hits AS (
-  {" UNION ".join(f"SELECT doc_id, item_id, spot, place, words, item FROM starts JOIN places ON {_hash(m, 'words', 'spot')} = {_hash(m, 'item', 'place')}" for m in MASKS)}
+WITH items AS MATERIALIZED (
+  SELECT row_number() OVER () AS item_row, item_id, item, least(len(item), {WINDOW}) AS compared
+  FROM (SELECT DISTINCT item_id, {_tokens('text')} AS item FROM benchmark) WHERE len(item) >= {LEAST_ITEM_WORDS}
+), item_words AS (
+  SELECT item_row, compared, unnest(item) AS word, unnest(range(len(item))) AS place FROM items
+), docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc_row, doc_id, {_tokens('text')} AS words FROM documents
+), doc_words AS (
+  SELECT doc_row, unnest(words) AS word, unnest(range(len(words))) AS spot FROM docs
+), aligned AS (
+  SELECT doc_row, item_row, spot - place AS shift, list(place) AS places FROM doc_words JOIN item_words USING (word)
+  GROUP BY doc_row, item_row, spot - place HAVING count(*) * 100 >= any_value(compared) * {EQUAL}
 ), windows AS (
-  SELECT *, least(len(item), {WINDOW}) AS compared,
-         greatest(0, least(len(item) - least(len(item), {WINDOW}), place + {SPAN // 2 - WINDOW // 2})) AS first
-  FROM hits
+  SELECT doc_row, item_id, compared, shift, places, unnest(range(len(item) - compared + 1)) AS first FROM aligned JOIN items USING (item_row)
 ), verified AS (
-  SELECT doc_id, item_id, compared, spot - place + first AS doc_start,
-         list_sum(list_transform(range(compared), lambda i: CASE
-           WHEN spot - place + first + i >= 0 AND words[spot - place + first + i + 1] = item[first + i + 1] THEN 1 ELSE 0 END)) AS matched
+  SELECT doc_row, item_id, compared, shift + first AS doc_start,
+         len(list_filter(places, lambda p: p >= first AND p < first + compared)) AS matched
   FROM windows
 )
 SELECT doc_id, item_id, CAST(matched AS INTEGER) AS matched, CAST(compared AS INTEGER) AS compared, CAST(doc_start AS INTEGER) AS doc_start
-FROM verified WHERE matched * 100 >= compared * {EQUAL}
+FROM verified JOIN docs USING (doc_row) WHERE matched * 100 >= compared * {EQUAL}
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, doc_start, compared DESC) = 1
 """
 
