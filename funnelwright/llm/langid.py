@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from funnelwright.llm.common import Scratch
 
 BUCKETS = 1 << 14  # of hashed character pairs
-LEAST_PAIRS = 2_000  # character pairs of labelled text, whatever its share, for a language to be known
+LEAST_PAIRS = 200  # character pairs of labelled text, whatever its share, for a language to be known
+BELIEF = 200.0  # pairs' worth of belief in the mean of all languages, towards which those of few pairs are smoothed
 OTHER = "other"  # the class of texts unlike all known languages; no code of a language has five letters
 HELD_AT_ONCE = 64  # languages that a task sums before it passes sums on
 SMOOTHING = 0.5
@@ -68,42 +69,53 @@ class TextModel:
 def background(shares: np.ndarray) -> np.ndarray:
     """Shares of character pairs in texts of no known language: half alike for all, half by the root of the known mean.
 
-    Known pairs are likelier in their languages; pairs that these lack, or have rarely, are likelier here.
+    Known pairs are likelier in their languages; pairs that these lack, or have rarely, are likelier here. All alike if none is known.
     """
+    if not len(shares):
+        return np.full(BUCKETS, 1 / BUCKETS)
     root = np.sqrt(shares.mean(axis=0))
     return 0.5 / BUCKETS + 0.5 * root / root.sum()
 
 
-def train_text(labelled: DataFrame, text: str = "text", lang: str = "lang") -> TextModel:
+def train_text(labelled: DataFrame, text: str = "text", lang: str = "lang", least_pairs: int = LEAST_PAIRS) -> TextModel:
     """Counts of character pairs per language over all rows that have both a text and a language, and the class ``OTHER``.
 
-    Every language with ``LEAST_PAIRS`` character pairs is learnt, however small its share; texts of the others count as
-    evidence of nothing. Tasks send sums, not texts; ``BUCKETS`` sums per language reach the driver (64 KB each).
+    Every language with ``least_pairs`` character pairs is learnt, however small its share; texts of the others count as
+    evidence of nothing. The fewer pairs, the more a language is taken to be like the mean of all, see ``BELIEF``. Without any
+    language (an empty table, no labels, or all too short) there is the class ``OTHER`` alone.
+
+    Tasks send sums, not texts; ``BUCKETS`` sums per language reach the driver (64 KB each).
     """
     rows = labelled.select(F.col(text).alias("text"), F.lower(F.trim(F.col(lang))).alias("lang"))
     rows = rows.filter("text IS NOT NULL AND lang IS NOT NULL").filter(~F.col("lang").isin("", OTHER))
     sums = rows.mapInPandas(_pair_counts, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     sums = Scratch(labelled.sparkSession, "pair-counts").store(sums, "sums")
-    sizes = sums.groupBy("lang").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_PAIRS)
+    sizes = sums.groupBy("lang").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_pairs)
     languages = sorted(row.lang for row in sizes.collect())
-    if not languages:
-        raise ValueError("no text with a language to learn from")
     place = {name: i for i, name in enumerate(languages)}
-    counts = np.full((len(languages), BUCKETS), SMOOTHING)
+    counts = np.zeros((len(languages), BUCKETS))
     for row in sums.join(sizes.select("lang"), "lang").toLocalIterator():
         counts[place[row.lang], row.bucket] += row.n
-    shares = counts / counts.sum(axis=1, keepdims=True)
+    plain = counts + SMOOTHING
+    if len(languages) > 1:
+        mean = (plain / plain.sum(axis=1, keepdims=True)).mean(axis=0)
+        plain = plain + BELIEF * mean
+    shares = plain / plain.sum(axis=1, keepdims=True)
     return TextModel([*languages, OTHER], np.log(np.vstack([shares, background(shares)])).astype(np.float32))
 
 
 def page_text(html: Column) -> Column:
-    """The visible text of a page."""
-    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[#a-zA-Z0-9]+;", " ")
+    """The visible text of a page.
+
+    What is not closed ends with the page (comments, scripts, styles) or before the next "<" (other marks), so that no part of
+    the page is looked at for each mark before it.
+    """
+    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|</?[a-z!?][^<>]*>?|&[#a-z0-9]+;", " ")
 
 
 def markup_language(html: Column) -> Column:
     """The primary subtag of the lang attribute of the html element, or NULL."""
-    return _code(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", 1))
+    return _code(F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", 1))
 
 
 def address_host(url: Column) -> Column:
@@ -150,11 +162,11 @@ def identify(
 
     * host prior: counts of the host, smoothed by ``HOST_WEIGHT`` rows of its site's prior, which is smoothed alike by
       the whole. Rows without host take the whole's.
-    * declared and suffix: counts of each value per language, smoothed by ``SMOOTHING`` per cell. Values beyond the 200
-      most frequent share a cell, so the tables have a bounded size. A missing value says nothing.
+    * declared and suffix: counts of each value per language, smoothed by ``SMOOTHING`` per cell, with a cell for values that no
+      text with evidence has. A missing value says nothing.
 
-    Texts are read twice, rather than written in between. Hosts are joined with one row each, which Spark sends to all
-    tasks while it is small; beyond that the join is by key, and adaptive execution splits hosts that hold many rows.
+    Texts are read twice, rather than written in between. Hosts, declared values and suffixes are joined with one row each, which
+    Spark sends to all tasks while they are small; beyond that the join is by key, and adaptive execution splits values that hold many rows.
 
     Defined cases: NULL, empty or letterless text gives no evidence (text_language NULL); the rest decides. Ties go to
     the first language by name. Repeated rows count as often as they occur. Existing columns of these names are
@@ -182,7 +194,7 @@ def identify(
     for row in counted.groupBy("_guess").agg(F.sum("n").alias("n")).collect():
         total[row["_guess"] - 1] += row["n"]
     share = total / total.sum()
-    likely = {name: _conditional(counted, name, total, n) for name in ("_declared", "_suffix")}
+    likely = {name: _conditional(counted, name, n, scratch) for name in ("_declared", "_suffix")}
 
     hosts = counted.filter("_host IS NOT NULL").withColumn("_site", site(F.col("_host")))
     sums = [F.sum(F.when(F.col("_guess") == i + 1, F.col("n")).otherwise(0)) for i in range(n)]
@@ -197,9 +209,10 @@ def identify(
 
     joined = marked.join(priors, F.col("_host") == F.col("_prior_of"), "left")
     logs = F.transform(F.coalesce("_prior", _vector(share)), lambda p: F.ln(p))
-    for name, (values, default) in likely.items():
-        found = F.coalesce(F.try_element_at(values, F.col(name)), default) if values is not None else default
-        logs = F.zip_with(logs, F.when(F.col(name).isNull(), _vector(np.zeros(n))).otherwise(found), lambda a, b: a + b)
+    for name, (table, unseen) in likely.items():
+        joined = joined.join(table, F.col(name) == F.col(f"{name}_of"), "left")
+        said = F.when(F.col(name).isNull(), _vector(np.zeros(n))).otherwise(F.coalesce(F.col(f"{name}_logs"), unseen))
+        logs = F.zip_with(logs, said, lambda a, b: a + b)
     joined = joined.withColumn("_logs", F.zip_with(logs, "_text", lambda a, b: a + b))
     top = F.array_max("_logs")
     mass = F.aggregate(F.transform("_logs", lambda x: F.exp(x - top)), F.lit(0.0), lambda a, x: a + x)
@@ -210,21 +223,19 @@ def identify(
             "text_language": F.when(F.col("_guess").isNotNull(), F.element_at(names, F.coalesce("_guess", F.lit(1)))),
         }
     )
-    return done.drop("_text", "_declared", "_suffix", "_host", "_guess", "_prior_of", "_prior", "_logs")
+    joins = [f"{name}_{what}" for name in likely for what in ("of", "logs")]
+    return done.drop("_text", "_declared", "_suffix", "_host", "_guess", "_prior_of", "_prior", "_logs", *joins)
 
 
-def _conditional(counted: DataFrame, name: str, total: np.ndarray, n: int) -> tuple[Column | None, Column]:
-    """Log probability of each value of a column per language: a map for frequent values, a vector for all others."""
-    rows = counted.filter(F.col(name).isNotNull())
-    sums = [F.sum(F.when(F.col("_guess") == i + 1, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(n)]
-    common = rows.groupBy(name).agg(F.sum("n").alias("all"), *sums).orderBy(F.desc("all"), name).limit(200).collect()
-    whole = rows.agg(*sums).first()
-    seen = np.array([[row[f"n{i}"] for i in range(n)] for row in common], float).reshape(-1, n)
-    rest = np.array([whole[f"n{i}"] or 0 for i in range(n)], float) - seen.sum(axis=0)
-    table = np.vstack([seen, np.maximum(rest, 0)]) + SMOOTHING
-    logs = np.log(table / table.sum(axis=0))
-    entries = [x for row, own in zip(common, logs, strict=False) for x in (F.lit(row[name]), _vector(own))]
-    return (F.create_map(*entries) if entries else None), _vector(logs[-1])
+def _conditional(counted: DataFrame, name: str, n: int, scratch: Scratch) -> tuple[DataFrame, Column]:
+    """Log probability of each value of a column per language: a row per value, and a vector for values that have none."""
+    sums = F.array(*[F.sum(F.when(F.col("_guess") == i + 1, F.col("n")).otherwise(0)) for i in range(n)])
+    table = counted.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias(f"{name}_of")).agg(sums.alias("own"))
+    table = scratch.store(table, f"values{name}")
+    whole = table.agg(F.count(F.lit(1)).alias("cells"), *[F.sum(F.col("own")[i]).alias(f"n{i}") for i in range(n)]).first()
+    cells = np.array([whole[f"n{i}"] or 0 for i in range(n)], float) + SMOOTHING * (whole["cells"] + 1)
+    logs = F.zip_with("own", _vector(np.log(cells)), lambda count, all_of_it: F.ln(count + SMOOTHING) - all_of_it)
+    return table.select(f"{name}_of", logs.alias(f"{name}_logs")), _vector(np.log(SMOOTHING / cells))
 
 
 def page_languages(pages: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -246,11 +257,17 @@ def keep_languages(
     """The rows of ``docs`` whose language is one of ``wanted`` (all known ones) with a posterior of at least ``least``.
 
     Rows whose text has no evidence (NULL, empty, without letters) go, and those unlike all known languages (``OTHER``):
-    they are in no language that is known. Columns stay as they are.
+    they are in no language that is known. Where no language is known at all (see :func:`train_text`), nothing can be told of a
+    text, and all with a letter stay, unless there are ``wanted`` languages. An empty table stays empty. Columns of any name stay
+    as they are, repeated rows are judged alike.
     """
+    model = train_text(docs, text, declared)
+    if model.languages == [OTHER]:
+        lettered = F.col(text).rlike(r"[A-Za-z]|[^\x00-\x7F]") & F.lit(wanted is None)
+        return docs.filter(F.coalesce(lettered, F.lit(False)))
     boxed = docs.select(F.struct("*").alias("_row"))
     own = F.col("_row")
-    found = identify(boxed, own[text], train_text(docs, text, declared), F.lower(F.trim(own[declared])), None, own[host])
+    found = identify(boxed, own[text], model, F.lower(F.trim(own[declared])), None, own[host])
     keep = F.col("text_language").isNotNull() & (F.col("language") != OTHER) & (F.col("confidence") >= least)
     if wanted is not None:
         keep &= F.col("language").isin(wanted)
