@@ -267,11 +267,13 @@ def dedup_lines(docs: DataFrame, index: LineIndex | None = None, text: str = "te
 
     Defined cases: NULL text is one empty line. A row without doc_id keeps its lines and does not count as a holder.
     Rows that share a doc_id are one holder; each is rewritten. A line that occurs repeatedly in its keeper stays as
-    often as it occurs. Extra columns stay, except that existing n_lines and n_dropped are replaced.
+    often as it occurs. Extra columns of any name stay, except that existing n_lines and n_dropped are replaced.
     """
     index = index or LineIndex.build(docs, text, doc_id)
-    lost = index.surplus().select(F.col("doc_id").alias("_lost_of"), F.col("lows").alias("_lows"), F.col("highs").alias("_highs"))
-    joined = docs.join(lost, F.col(doc_id).cast("long") == F.col("_lost_of"), "left")
-    done = joined.withColumn("_done", _rewriter(index.shortest)(F.col(text).cast("binary"), "_lows", "_highs"))
-    done = done.withColumns({text: F.col("_done.text"), "n_lines": F.col("_done.n_lines"), "n_dropped": F.col("_done.n_dropped")})
-    return done.drop("_lost_of", "_lows", "_highs", "_done")
+    lost = index.surplus().withColumnRenamed("doc_id", "lost_of")
+    boxed = docs.select(F.struct("*").alias("row"), F.col(doc_id).cast("long").alias("holder"), F.col(text).cast("binary").alias("data"))
+    joined = boxed.join(lost, F.col("holder") == F.col("lost_of"), "left")
+    done = joined.select("row", _rewriter(index.shortest)("data", "lows", "highs").alias("done"))
+    new = {text: F.col("done.text"), "n_lines": F.col("done.n_lines"), "n_dropped": F.col("done.n_dropped")}
+    names = [*docs.columns, *[name for name in ("n_lines", "n_dropped") if name not in docs.columns]]
+    return done.select([new.get(name, F.col("row")[name]).alias(name) for name in names])

@@ -139,12 +139,12 @@ def mix(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix_sizes`` takes it. Texts are read again and never shuffled.
 
-    Rows of size 0 are taken as often as the complete epochs say.
+    Rows of size 0 are taken as often as the complete epochs say. Columns of any name stay as they are; see ``mix_sizes`` for
+    NULLs, ties, repeated rows and empty tables.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    columns = docs.columns
-    sized = _sized(docs, text, source, doc_id)
-    narrow = sized.select(F.col(source).alias("source"), "_size", "_weight", "_print")
-    plan = mix_plan(narrow, "source", scratch, share, weights, most_epochs)
-    turns = _with_turns(sized, plan, source).filter("_turns > 0")
-    return turns.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_turns")))).select(columns)
+    boxed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"), F.col(source).alias("source"), F.col(doc_id).alias("doc_id"))
+    sized = _sized(boxed, "text", "source", "doc_id")
+    plan = mix_plan(sized.select("source", "_size", "_weight", "_print"), "source", scratch, share, weights, most_epochs)
+    turns = _with_turns(sized, plan, "source").filter("_turns > 0")
+    return turns.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_turns")))).select("_row.*")

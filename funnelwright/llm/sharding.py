@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from funnelwright.functions import quoted
 from funnelwright.llm.common import Scratch
 
 SHARDS = 40
@@ -87,7 +88,9 @@ def _probe(units: DataFrame, intervals: list[tuple[int, int, int]]):
     parts = []
     for bits in sorted({i[0] for i in intervals}):
         own = [i for i in intervals if i[0] == bits]
-        table = spark.createDataFrame([(i[1], i[2]) for i in own], "high long, low long")
+        # From literals: a frame made of Python's values would be read by Python workers.
+        known_bits = F.array(*[F.struct(F.lit(i[1]).cast("long").alias("high"), F.lit(i[2]).cast("long").alias("low")) for i in own])
+        table = spark.range(1).select(F.inline(known_bits))
         shift = _BITS - bits if bits < _BITS else 2 * _BITS - bits
         if bits < _BITS:
             known = [F.shiftright("_high", shift).alias("high"), F.lit(0).cast("long").alias("low")]
@@ -178,12 +181,14 @@ def shard_table(docs: DataFrame, shards: int = SHARDS, tolerance: float = 0.0, t
 def shard_documents(docs: DataFrame, shards: int = SHARDS, tolerance: float = 0.0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with ``shard`` (an existing one is replaced), exchanged once, in order of (shard, key) within tasks.
 
-    Copies of a row that agree in text and doc_id go to the shard of the first of them.
+    Copies of a row that agree in text and doc_id go to the shard of the first of them. Other columns, of any name, stay as they
+    are; see ``shard_table`` for NULLs, ties and empty tables.
     """
     scratch = Scratch(docs.sparkSession, "shards")
-    columns = [c for c in docs.columns if c != "shard"]
-    keyed = _keyed(docs.select(columns), text, doc_id)
+    columns = [quoted(c) for c in docs.columns if c != "shard"]
+    boxed = docs.select(F.struct(*columns).alias("_row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    keyed = _keyed(boxed, "text", "doc_id").drop("text", "doc_id")
     units = scratch.store(_units(keyed.select("_high", "_low", "_size")), "units")
     splitters = find_splitters(units, shards, tolerance, scratch)
     placed = keyed.withColumn("shard", _shard_of(splitters, F.lit(0)))
-    return placed.repartitionByRange("shard", "_high", "_low").sortWithinPartitions("shard", "_high", "_low").select(*columns, "shard")
+    return placed.repartitionByRange("shard", "_high", "_low").sortWithinPartitions("shard", "_high", "_low").select("_row.*", "shard")

@@ -3,12 +3,13 @@
 import itertools
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
-from funnelwright.llm import decontam, langid, licenses, mixing, pii, quality, sharding
+from funnelwright.llm import decontam, langid, licenses, linededup, mixing, pii, quality, sharding
 from funnelwright.llm.common import read_documents
 
 SF = "/root/testdata/sf0.01"
@@ -413,3 +414,198 @@ def test_leaks_equal_every_alignment(spark):
     table = lambda rows, name: spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{name} long, text string")
     assert len(want) > 60
     assert {tuple(r) for r in decontam.find_leaks(table(docs, "doc_id"), table(items, "item_id")).collect()} == want
+
+
+_AT = re.compile(r"[A-Za-z0-9._%+-]+(?: ?@ ?|\[at\]| \[at\] |\(at\)| \(at\) )[A-Za-z0-9-]+(?:(?:\.| dot |\[dot\])[A-Za-z0-9-]+)*")
+
+
+def test_spelled_addresses_equal_the_pattern():
+    draw = random.Random(8)
+    parts = ["a", "Z9", ".", "-", "@", " ", " ", "[at]", "(at)", " [at] ", " (at) ", " dot ", "[dot]", "é", "%", "\n"]
+    for _ in range(20_000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(0, 14)))
+        assert list(pii._spelled_addresses(text)) == [m.span() for m in _AT.finditer(text)], text
+
+
+def seconds(work):
+    started = time.process_time()
+    work()
+    return time.process_time() - started
+
+
+def test_mentions_are_linear_in_the_text():
+    for text in (
+        "me@example.com " + "a" * 1_000_000, "a" * 1_000_000 + "@", "x [at] " * 150_000, "a@" * 500_000, "1." * 500_000,
+        "me@example.com " + "1" * 1_000_000, "+1 (" * 250_000 + "@", "a (at) b dot " * 80_000, "(0)" * 300_000 + "@",
+    ):
+        assert seconds(lambda text=text: pii.mentions(text, pii.base_spans(text))) < 2 + 0.5 * (text[:2] in ("x ", "a@", "a ", "1."))
+
+
+def test_pages_of_any_length(spark):
+    pages = ["<!-- a " * 150_000, "<script " * 130_000, "<" * 1_000_000, "<a " * 330_000, "<html " * 170_000, "&a" * 500_000, "</" * 500_000]
+    frame = spark.createDataFrame([(i, page) for i, page in enumerate(pages)], "i int, html string")
+    html = F.col("html")
+    started = time.perf_counter()
+    rows = frame.select("i", F.length(langid.page_text(html)).alias("n"), langid.markup_language(html).alias("lang")).collect()
+    assert len(rows) == len(pages) and time.perf_counter() - started < 2 * len(pages)
+
+
+def test_text_of_pages(spark):
+    cases = {
+        "<p>One <b>two</b></p>&amp;x": " One  two   x",
+        "a<!-- b --->c<!-- d": "a c ",
+        "<SCRIPT>if (a < b) {}</script >x<style>y": " x ",
+        "1 < 2 <br/>3 <i": "1 < 2  3  ",
+        "<!DOCTYPE html><html lang='DE-at'>x": "  x",
+    }
+    frame = spark.createDataFrame(list(cases.items()), "html string, text string")
+    assert frame.filter(langid.page_text(F.col("html")) != F.col("text")).collect() == []
+
+
+def test_pages_with_odd_values(spark):
+    pages = [(1, None, None), (None, "http://a.de/", ""), (2, "http://b.fr/x", None), (2, "http://b.fr/x", None), (3, "", "<p>" + "der und die " * 40_000)]
+    frame = spark.createDataFrame([(*row, "mine", 1.0) for row in pages], "page_id long, url string, html string, language string, _text double")
+    docs = read_documents(spark, SF)
+    found = langid.page_languages(frame, docs).collect()
+    assert len(found) == len(pages) and {r.language for r in found if r.page_id == 3} == {"de"}
+    assert langid.page_languages(frame.limit(0), docs).count() == 0
+    unlearnt = langid.page_languages(frame, docs.limit(0)).collect()
+    assert {(r.language, r.text_language) for r in unlearnt} == {(langid.OTHER, None)}
+
+
+def test_language_filter_without_a_language(spark):
+    few = [(1, "Plain words stand here.", "en"), (2, "Andere stehen hier.", None), (3, "123 - 4", "en"), (4, None, "en"), (5, "", None)]
+    docs = spark.createDataFrame(few, "doc_id long, text string, lang string").withColumn("source", F.lit("s"))
+    for unlabelled in (docs.withColumn("lang", F.lit(None).cast("string")), docs):
+        assert sorted(r.doc_id for r in langid.keep_languages(unlabelled).collect()) == [1, 2]
+    assert langid.keep_languages(docs, wanted=["en"]).isEmpty()
+    assert langid.keep_languages(docs.limit(0)).isEmpty() and langid.keep_languages(docs.limit(0)).columns == docs.columns
+    short = [(i, text, lang) for i, (text, lang) in enumerate([("the words and the signs of this", "en"), ("die Worte und die Zeichen von hier", "de")] * 10)]
+    learnt = langid.keep_languages(spark.createDataFrame(short, "doc_id long, text string, lang string").withColumn("source", F.lit("s")))
+    assert learnt.count() == 20
+
+
+def test_likelihoods_of_pairs_equal_brute_force(spark):
+    docs = [("abba ab", "xx"), ("baab", " XX "), ("aaab b", "yy"), (None, "yy"), ("ab", None), ("q", "other"), ("zz", "rare")]
+    model = langid.train_text(spark.createDataFrame(docs, "text string, lang string"), least_pairs=4)
+    assert model.languages == ["xx", "yy", langid.OTHER]
+    counts = np.zeros((2, langid.BUCKETS))
+    for text, lang in docs:
+        if text and lang and lang.strip().lower() in ("xx", "yy"):
+            for bucket in langid.pairs(text):
+                counts[int(lang.strip().lower() == "yy"), bucket] += 1
+    plain = counts + langid.SMOOTHING
+    mean = (plain / plain.sum(1, keepdims=True)).mean(0)
+    plain += langid.BELIEF * mean
+    shares = plain / plain.sum(1, keepdims=True)
+    assert np.allclose(np.exp(model.logs), np.vstack([shares, langid.background(shares)]), rtol=1e-5)
+
+
+def test_posterior_with_all_evidence_equals_formula(spark):
+    """Declared values and suffixes by the hundred, each with a likelihood of its own."""
+    model = langid.TextModel(["de", "en", "fr"], np.log(np.full((3, langid.BUCKETS), 1 / langid.BUCKETS)).astype(np.float32))
+    model.logs[0, ::2] += 0.2
+    model.logs[2, ::3] += 0.15
+    draw = random.Random(2)
+    texts = ["abc def", "ghi", "xyz uvw", None, "", "123", "lorem ipsum", "dolor"]
+    rows = [
+        (i, draw.choice(texts), draw.choice([None, *[f"d{n}" for n in range(300)]]), draw.choice([None, "s1", "s2"]), draw.choice([None, "a.x.org", "b.x.org", "c.y.org"]))
+        for i in range(900)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, declared string, suffix string, host string")
+    out = langid.identify(docs, F.col("text"), model, F.col("declared"), F.col("suffix"), F.col("host")).collect()
+    logs = {r[0]: model.evidence(r[1]) for r in rows}
+    guess = {i: int(v.argmax()) for i, v in logs.items() if v.min() < v.max()}
+
+    def counts(of):
+        found = {}
+        for r in rows:
+            if r[0] in guess and of(r) is not None:
+                found.setdefault(of(r), np.zeros(3))[guess[r[0]]] += 1
+        return found
+
+    total = 1.0 + sum(counts(lambda r: "all").values())
+    by_host, by_site = counts(lambda r: r[4]), counts(lambda r: r[4] and r[4][2:])
+    said = {place: counts(lambda r, place=place: r[place]) for place in (2, 3)}
+    assert len(said[2]) > 200
+    cells = {place: sum(table.values()) + langid.SMOOTHING * (len(table) + 1) for place, table in said.items()}
+    weight = langid.HOST_WEIGHT
+    assert len(out) == len(rows)
+    for r in out:
+        row = rows[r.doc_id]
+        prior = total / total.sum()
+        if row[4] in by_host:
+            for own in (by_site[row[4][2:]], by_host[row[4]]):
+                prior = (own + weight * prior) / (own.sum() + weight)
+        log = np.log(prior) + logs[r.doc_id]
+        for place, table in said.items():
+            if row[place] is not None:
+                log = log + np.log((table.get(row[place], np.zeros(3)) + langid.SMOOTHING) / cells[place])
+        posterior = np.exp(log - log.max())
+        assert abs(r.confidence - posterior.max() / posterior.sum()) < 1e-9 and r.language == model.languages[int(log.argmax())]
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["_size", "_weight", "_print", "_tokens", "_turns", "_key", "_high", "_low", "_crc", "_row", "_leak", "_lows", "_highs", "_done", "row", "name", "leak", "a.b"]
+    docs = spark.createDataFrame(NULLS, "doc_id long, text string, source string").withColumns({n: F.lit(777) for n in names if n != "a.b"})
+    docs = docs.select("*", F.lit(777).alias("a.b"))
+    benchmark = spark.createDataFrame([(1, "some words of another kind")], "item_id long, text string")
+    for work in (mixing.mix, sharding.shard_documents, linededup.dedup_lines, lambda d: decontam.drop_leaks(d, benchmark), langid.keep_languages):
+        if work is langid.keep_languages:
+            out = work(docs.withColumn("lang", F.lit("en")))
+        else:
+            out = work(docs)
+        assert set(docs.columns) <= set(out.columns)
+        rows = out.collect()
+        assert rows and all(row[name] == 777 for row in rows for name in names)
+
+
+def test_probes_run_no_python(spark):
+    units = spark.range(100).select(F.col("id").alias("_high"), F.col("id").alias("_low"), F.lit(1).alias("_size"), F.lit(1).alias("n"))
+    seen = []
+    collect = type(units).collect
+
+    def watched(frame):
+        seen.append(frame._jdf.queryExecution().executedPlan().toString() + frame._jdf.queryExecution().toRdd().toDebugString())
+        return collect(frame)
+
+    type(units).collect = watched
+    try:
+        sharding._probe(units, [(0, 0, 0), (10, 1, 0)])
+    finally:
+        type(units).collect = collect
+    assert seen and not any(word in plan for plan in seen for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_masks_leave_no_accepted_substitution_out():
+    """Whatever words are unequal, as many as may be, the mask put to one of the window's first words has none of them."""
+    for size in range(1, decontam.WINDOW + 1):
+        mask = decontam.mask(size)
+        allowed = size * (100 - decontam.EQUAL) // 100
+        ones = {i for i, bit in enumerate(mask) if bit == "1"}
+        assert mask[0] == mask[-1] == "1" and len(mask) + allowed <= size
+        assert ("0" in mask) == (allowed > 0 and len(ones) > 1)
+        for places in itertools.combinations(range(size), allowed):
+            assert any(not {start + i for i in ones} & set(places) for start in range(allowed + 1))
+
+
+def test_short_and_unspaced_items(spark):
+    items = [(1, "one two three"), (2, "solitary"), (3, "東京都は日本の首都である"), (4, "ภาษาไทย")]
+    docs = [
+        (1, "so one two three on"), (2, "one two four"), (3, "a solitary one"), (4, "昔東京都は日本の首都であるという"),
+        (5, "昔東京都は中国の首都であるという"), (6, "東京 都"), (7, "xภาษาไทยx"),
+    ]
+    frame, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda **more: {(r.doc_id, r.item_id) for r in decontam.find_leaks(frame, benchmark, **more).collect()}
+    assert found() == {(4, 3), (5, 3), (7, 4)}
+    assert found(least_words=1) == found() | {(1, 1), (3, 2)}
+    assert sorted(r.doc_id for r in decontam.drop_leaks(frame, benchmark, least_words=1).collect()) == [2, 6]
+
+
+def test_long_items_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "WINDOWS_PER_PART", 7)
+    draw = random.Random(1)
+    words = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(["so", *words[i : i + 20], "on"])) for i in range(0, 180, 3)] + [(999, " ".join(draw.sample(words, 200)))]
+    found = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"))
+    assert sorted(map(tuple, found.collect())) == [(i, 1, 20, 20, 1) for i in range(0, 180, 3)]
