@@ -13,14 +13,20 @@ from funnelwright.operators.history import as_of_join, latest_state, previous_va
 from funnelwright.operators.joins import full_outer_join, heavy_keys, left_join, unmatched
 from funnelwright.operators.metrics import (
     add_up,
+    add_up_sketches,
     city_report,
     city_status_report,
+    distinct_leads_report,
     global_report,
+    level_report,
     month_report,
+    sketch_leads,
     status_report,
     tally,
+    tally_levels,
     top_and_bottom,
     with_attributes,
+    with_estimate,
     with_rates,
 )
 from funnelwright.operators.model import (
@@ -36,22 +42,28 @@ from funnelwright.operators.model import (
     report_contacts,
     status_dimension,
 )
+from funnelwright.operators.multiset import added, copies, kept, removed
 from funnelwright.operators.profile import key_audit, key_multiplicity, null_counts, null_percentages
 from funnelwright.operators.union import union_all_by_name
 
 __all__ = [
     "add_up",
+    "add_up_sketches",
+    "added",
     "as_of_join",
     "city_report",
     "city_status_report",
     "clean",
     "conform",
+    "copies",
     "count_invalid",
     "date_dimension",
+    "distinct_leads_report",
     "full_outer_join",
     "global_report",
     "heavy_keys",
     "invalid_values",
+    "kept",
     "key_audit",
     "key_multiplicity",
     "kpi_fact",
@@ -60,6 +72,7 @@ __all__ = [
     "lead_contacts",
     "leads_dimension",
     "left_join",
+    "level_report",
     "look_up",
     "match_leads",
     "month_report",
@@ -71,14 +84,18 @@ __all__ = [
     "previous_values",
     "project_to_spec",
     "reconcile",
+    "removed",
     "report_contacts",
+    "sketch_leads",
     "status_changes",
     "status_dimension",
     "status_report",
     "tally",
+    "tally_levels",
     "top_and_bottom",
     "union_all_by_name",
     "unmatched",
     "with_attributes",
+    "with_estimate",
     "with_rates",
 ]

@@ -6,6 +6,7 @@ from funnelwright.plans.jobs import (
     conform_reports,
     ingest_leads,
     ingest_reports,
+    kpi_level_report,
     kpi_reports,
     register_views,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "conform_reports",
     "ingest_leads",
     "ingest_reports",
+    "kpi_level_report",
     "kpi_reports",
     "register_views",
 ]

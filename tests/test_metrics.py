@@ -1,20 +1,26 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from funnelwright.operators import (
     add_up,
+    add_up_sketches,
     city_report,
     city_status_report,
     global_report,
     key_audit,
     key_multiplicity,
+    level_report,
     month_report,
     null_counts,
     null_percentages,
+    sketch_leads,
     status_report,
     tally,
+    tally_levels,
     top_and_bottom,
+    with_estimate,
 )
 
 FACT = "place_uuid string, status_uuid string, date_uuid string, demo boolean, set boolean"
@@ -139,3 +145,40 @@ def test_key_audit_and_multiplicity(spark):
     audit = {tuple(row)[:2]: tuple(row)[2:] for row in key_audit(frame).collect()}
     assert audit == {("e", "p"): (1, 3, 1, 2), (None, "p"): (2, 2, 0, 2), ("f", "p"): (1, 1, 0, 1)}
     assert key_multiplicity(frame).first().n_keys == 2
+
+
+def test_sketches_add_up(spark):
+    """Sketches of parts, which share leads, tell the whole's distinct leads within four standard errors."""
+    rows = spark.range(0, 60_000, 1, 6).selectExpr("CAST(id % 20000 AS STRING) AS lead_uuid", "id DIV 15000 AS batch", "id % 3 AS place")
+    rows = rows.unionAll(spark.range(50).selectExpr("CAST(NULL AS STRING)", "0L", "9L"))
+    parts = sketch_leads(rows, ["batch", "place"])
+    found = {r.place: r.Distinct_Leads_Estimate for r in with_estimate(add_up_sketches(parts, ["place"])).collect()}
+    exact = {r.place: r.n for r in rows.groupBy("place").agg(F.count_distinct("lead_uuid").alias("n")).collect()}
+    assert found.keys() == exact.keys() and found[9] == exact[9] == 0
+    assert all(abs(found[p] - n) <= 0.065 * n for p, n in exact.items())
+    whole = with_estimate(add_up_sketches(parts)).first()
+    assert abs(whole.Distinct_Leads_Estimate - 20_000) <= 0.065 * 20_000
+    few = with_estimate(sketch_leads(rows.filter("CAST(lead_uuid AS INT) < 40"))).first()
+    assert few.Distinct_Leads_Estimate == 40
+
+
+def test_levels_equal_the_single_reports(model):
+    """All rows of every report, also where members share a key and where a key has no member."""
+    _, fact, places, statuses, dates = model
+    tallied = tally(fact, ["place_uuid", "status_uuid", "date_uuid"])
+    levels = level_report(tally_levels(tallied), places, dates, statuses)
+    counts = ["Total_Delivered_Leads", "Total_Scheduled_Appointments", "Total_Demos", "Conversion_Rate", "Demo_Conversion_Rate"]
+    singles = {
+        ("global",): (global_report(tallied), []),
+        ("city",): (city_report(tallied, places, 100), ["state", "city_name"]),
+        ("month",): (month_report(tallied, dates), ["year", "month"]),
+        ("status",): (status_report(tallied, statuses), ["job_status"]),
+        ("city_status",): (city_status_report(tallied, places, statuses), ["city_name", "job_status"]),
+    }
+    for (level,), (single, columns) in singles.items():
+        own = levels.filter(F.col("level") == level)
+        assert report(own.select(*columns, *counts), len(columns)) == report(single.select(*columns, *counts), len(columns))
+        assert own.count() == single.distinct().count()
+    plan = levels._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1
+    assert level_report(tally_levels(tallied.limit(0)), places, dates, statuses).filter("level != 'global'").isEmpty()

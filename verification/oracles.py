@@ -276,6 +276,32 @@ _ORACLES = {
         ON r.phone_hash = d.phone_hash AND r.email_hash = d.email_hash AND r.reported_on >= d.delivered_on""",
 }
 
+_LEVEL_COLUMNS = ("state", "city_name", "year", "month", "job_status")
+
+
+def _level(name: str, rated: str, *columns: str) -> str:
+    listed = ", ".join(column if column in columns else f"NULL AS {column}" for column in _LEVEL_COLUMNS)
+    return f"""SELECT '{name}' AS level, {listed}, Total_Delivered_Leads, Total_Scheduled_Appointments, Total_Demos, Conversion_Rate,
+        Demo_Conversion_Rate FROM ({rated})"""
+
+
+_ORACLES["kpi_levels"] = "\nUNION ALL\n".join(
+    [
+        _level("global", _rated("", "fact")),
+        _level("city", _BY_CITY, "state", "city_name"),
+        _level("month", _BY_MONTH, "year", "month"),
+        _level("status", _BY_STATUS, "job_status"),
+        _level("city_status", _by_city_status("fact"), "city_name", "job_status"),
+    ]
+)
+_ORACLES["distinct_leads"] = """SELECT city_name, count(DISTINCT lead_uuid) AS Distinct_Leads, true AS close
+    FROM fact f LEFT JOIN d_places p ON p.uuid = f.place_uuid GROUP BY city_name"""
+_SNAPSHOT_COLUMNS = ", ".join(f'{_squeeze(name)} AS "{header}"' for name, header in HEADERS.items() if name != "dispo")
+_OLD, _NEW = (f"(SELECT {_SNAPSHOT_COLUMNS} FROM raw_snapshots WHERE snapshot = 'snapshot-{name}')" for name in "AR")
+_ORACLES["snapshot_added"] = f"{_NEW} EXCEPT ALL {_OLD}"
+_ORACLES["snapshot_removed"] = f"{_OLD} EXCEPT ALL {_NEW}"
+_ORACLES["snapshot_kept"] = f"{_OLD} INTERSECT ALL {_NEW}"
+
 # What is read from skewed raw tables, by query.
 _OVER_SKEWED = dict.fromkeys(
     ("lead_match", "dim_leads", "fact_kpi", "latest_state", "status_changes", "reconciled", "next_report"), _SKEWED

@@ -9,40 +9,49 @@ from pyspark.sql import functions as F
 
 from funnelwright.functions import deterministic_uuid, parse_date, quoted
 from funnelwright.operators import (
+    added,
     as_of_join,
     city_report,
     city_status_report,
     clean,
     conform,
     date_dimension,
+    distinct_leads_report,
     global_report,
     heavy_keys,
     invalid_values,
     key_audit,
+    kept,
     key_multiplicity,
     kpi_fact,
     kpi_fact_from_dimensions,
     latest_state,
     lead_contacts,
     leads_dimension,
+    level_report,
     match_leads,
     month_report,
+    normalise_text,
     null_counts,
     null_percentages,
     null_sentinels,
     places_dimension,
     project_to_spec,
     reconcile,
+    removed,
     report_contacts,
+    sketch_leads,
     status_changes,
     status_dimension,
     status_report,
     tally,
+    tally_levels,
     union_all_by_name,
     unmatched,
 )
 from funnelwright.operators.history import asked_times
 from funnelwright.operators.joins import LEAST_ROWS
+from funnelwright.operators.metrics import DISTINCT, ESTIMATE, REPORT_KEYS
 from funnelwright.operators.model import HASHES, LEAD_KEY
 from funnelwright.plans import (
     build_model,
@@ -426,6 +435,39 @@ def _next_report_skewed(spark, sf_dir):
     return _next_report_of(skewed_deliveries(spark, sf_dir), conform_reports(skewed_reports(spark, sf_dir)), FEW_ROWS)
 
 
+def _kpi_levels(spark, sf_dir):
+    contacts, reports = _stored_tables(spark, sf_dir)
+    levels = tally_levels(tally(_fact_of(contacts, reports), REPORT_KEYS))
+    return level_report(levels, places_dimension(reports), date_dimension(spark), status_dimension(reports))
+
+
+def _distinct_leads(spark, sf_dir):
+    """Exact numbers, and whether the sketches are off by four standard errors (6.5 percent) at most."""
+    contacts, reports = _stored_tables(spark, sf_dir)
+    fact = _stored(_fact_of(contacts, reports))
+    found = distinct_leads_report(fact, sketch_leads(fact, ["place_uuid"]), places_dimension(reports))
+    off = F.abs(F.col(ESTIMATE) - F.col(DISTINCT))
+    return found.select("city_name", DISTINCT, (off <= F.ceil(0.065 * F.col(DISTINCT))).alias("close"))
+
+
+def _two_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of two snapshots, with copies."""
+    raw = _stored(normalise_text(raw_snapshots(spark, sf_dir)).drop("Dispo"))
+    return tuple(raw.filter(F.col("snapshot") == f"snapshot-{name}").drop("snapshot") for name in "AR")
+
+
+def _snapshot_added(spark, sf_dir):
+    return added(*_two_snapshots(spark, sf_dir))
+
+
+def _snapshot_removed(spark, sf_dir):
+    return removed(*_two_snapshots(spark, sf_dir))
+
+
+def _snapshot_kept(spark, sf_dir):
+    return kept(*_two_snapshots(spark, sf_dir))
+
+
 def _grown_step1(spark: SparkSession, sf_dir: str) -> str:
     """Reports and leads taken in a run for each snapshot that arrives, the first two merged in between."""
     folder = scratch_folder(spark)
@@ -509,4 +551,9 @@ QUERIES = {
     "unmatched_reports_skewed": _unmatched_reports_skewed,
     "next_report": _next_report,
     "next_report_skewed": _next_report_skewed,
+    "kpi_levels": _kpi_levels,
+    "distinct_leads": _distinct_leads,
+    "snapshot_added": _snapshot_added,
+    "snapshot_removed": _snapshot_removed,
+    "snapshot_kept": _snapshot_kept,
 }
