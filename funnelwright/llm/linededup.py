@@ -14,7 +14,8 @@ from funnelwright.llm.common import Scratch
 
 SHORTEST = 10  # code points of a line that counts
 KEYS_PER_SHARD = 1_000_000  # a full shard's filter has 2 to 4 MB
-SENT_FILTERS = 64_000_000  # bytes of all filters up to which they go to every task
+SENT_FILTERS = 64_000_000  # bytes of all filters up to which they go to every task; beyond, lines go to their filters
+LINES_PER_FILTER = 5_000_000  # that one copy of a filter looks up, where lines go to filters
 KEY = ("low", "high")
 
 _SLOTS = 4
@@ -165,6 +166,11 @@ class LineIndex:
         again = _counted(references.join(touched, list(KEY), "left_semi"))
         counts = self.counts.join(touched, list(KEY), "left_anti").unionByName(again)
         counts = scratch.store(counts, "counts")
+        shards = max(1, -(-counts.count() // KEYS_PER_SHARD))
+        if shards > 2 * self.shards:  # so that no filter grows without end
+            keys = counts.select(_shard(shards).alias("shard"), "low")
+            filters = scratch.store(keys.groupBy("shard").applyInPandas(_built, "shard long, cells binary"), "filters")
+            return LineIndex(references, counts, filters, shards, self.shortest)
         came = counts.join(self.counts, list(KEY), "left_anti").select(_shard(self.shards).alias("shard"), "low", F.lit(True).alias("came"))
         went = self.counts.join(counts, list(KEY), "left_anti").select(_shard(self.shards).alias("shard"), "low", F.lit(False).alias("came"))
         moves = came.union(went).groupBy("shard")
@@ -177,16 +183,35 @@ class LineIndex:
         return LineIndex(references, counts, filters, self.shards, self.shortest)
 
     def surplus(self) -> DataFrame:
-        """(``doc_id``, ``lows``, ``highs``): per document the keys whose lines it loses."""
-        spark = self.references.sparkSession
-        maybe = self.references
+        """(``doc_id``, ``lows``, ``highs``): per document the keys whose lines it loses.
+
+        Every reference is looked up in its shard's filter first: in its own task while all filters are small enough to be sent,
+        else where the filters are.
+        """
         size = self.filters.agg(F.sum(F.length("cells"))).first()[0] or 0
         if size <= SENT_FILTERS:
+            spark = self.references.sparkSession
             cells = spark.sparkContext.broadcast({row.shard: bytes(row.cells) for row in self.filters.collect()})
-            maybe = maybe.mapInPandas(_known(cells, self.shards), maybe.schema)
+            maybe = self.references.mapInPandas(_known(cells, self.shards), self.references.schema)
+        else:
+            maybe = self._known_where_filters_are()
         lost = maybe.join(self.counts, list(KEY)).filter("doc_id != keeper")
         return lost.groupBy("doc_id").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
 
+    def _known_where_filters_are(self) -> DataFrame:
+        """The references that filters know. References go to the tasks of their shards, several per shard where a line is
+        frequent, each of which reads the shard's filter before them."""
+        own = self.references.withColumn("shard", _shard(self.shards))
+        parts = own.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / LINES_PER_FILTER).cast("int").alias("parts"))
+        dealt = own.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+        filters = self.filters.join(parts, "shard").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        nothing = [F.lit(0).cast("long").alias(name) for name in (*KEY, "doc_id")]  # NULL would make pandas read doubles
+        both = filters.select("shard", "part", F.lit(False).alias("is_line"), "cells", *nothing).union(
+            dealt.select("shard", "part", F.lit(True), F.lit(None).cast("binary"), *KEY, "doc_id")
+        )
+        met = both.repartition("shard", "part").sortWithinPartitions("shard", "part", "is_line")
+        return met.mapInPandas(_known_after_filter, self.references.schema)
+
 
 def _documents_lines(docs: DataFrame, text: str, doc_id: str, shortest: int) -> DataFrame:
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("data"))
@@ -237,6 +262,23 @@ def _known(cells, shards: int):
     return run
 
 
+def _known_after_filter(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines that the filter before them knows. A shard without filter has no repeated line; its lines are after another's filter."""
+    held, shard = None, None
+    for part in parts:
+        low, shards = part["low"].to_numpy(), part["shard"].to_numpy()
+        keep = np.zeros(len(part), bool)
+        filters = np.flatnonzero(~part["is_line"].to_numpy(bool))
+        for start, end in zip([0, *filters], [*filters, len(part)], strict=True):
+            if len(filters) and start in filters and end > start:
+                held, shard = Cuckoo.from_bytes(part["cells"].iloc[start]), shards[start]
+                start += 1
+            if held is not None and end > start:
+                own = start + np.flatnonzero(shards[start:end] == shard)
+                keep[own] = held.contains(low[own])
+        yield part.loc[keep, ["low", "high", "doc_id"]]
+
+
 def _rewriter(shortest: int):
     @F.pandas_udf("text string, n_lines long, n_dropped long")
     def rewrite(data: pd.Series, lows: pd.Series, highs: pd.Series) -> pd.DataFrame:

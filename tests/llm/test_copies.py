@@ -174,3 +174,36 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch, block):
     found = {tuple(r) for r in embeddings.near_vectors(frame).collect()}
     assert found == {(i, degree[i], groups[i], groups[i] == i) for i in groups}
     assert embeddings.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_lines_go_to_their_filters_where_these_are_too_large_to_send(spark, monkeypatch):
+    """Many shards, filters cut off from tasks, frequent lines in several parts: the same rows, and nothing is collected."""
+    monkeypatch.setattr(linededup, "SENT_FILTERS", -1)
+    monkeypatch.setattr(linededup, "KEYS_PER_SHARD", 3)
+    monkeypatch.setattr(linededup, "LINES_PER_FILTER", 4)
+    old, new = lines(3, range(10, 40)), lines(4, range(50, 90))
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    index = linededup.LineIndex.build(frame(old))
+    assert index.shards > 3 and index.filters.count() > 1
+    assert digest(linededup.dedup_lines(frame(old), index)) == dedup(old)
+    known = {tuple(r) for r in index._known_where_filters_are().collect()}
+    repeated = {tuple(r) for r in index.references.join(index.counts, ["low", "high"], "left_semi").collect()}
+    assert repeated <= known and len(known) <= index.references.count()
+    both = index.insert(frame(new))
+    assert digest(linededup.dedup_lines(frame(old + new), both)) == dedup(old + new)
+    assert digest(linededup.dedup_lines(frame(old), both.delete(frame(new)))) == dedup(old)
+
+
+def test_filters_do_not_grow_without_end(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "KEYS_PER_SHARD", 2)
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    few = [(i, "a line that two hold\nanother line of them") for i in (1, 2)]
+    more = [(10 + i, "\n".join(f"line number {n} is long enough" for n in range(i, i + 8))) for i in range(12)]
+    index = linededup.LineIndex.build(frame(few))
+    grown = index.insert(frame(more))
+    assert index.shards == 1 and grown.shards == -(-grown.counts.count() // 2) > 2
+    assert digest(linededup.dedup_lines(frame(few + more), grown)) == dedup(few + more)
+    # Two halves of an insert end in the same index as one.
+    again = index.insert(frame(more[:6])).insert(frame(more[6:]))
+    assert set(map(tuple, again.counts.collect())) == set(map(tuple, grown.counts.collect()))
+    assert digest(linededup.dedup_lines(frame(few + more), again)) == dedup(few + more)
