@@ -276,25 +276,28 @@ class Weights:
 
         Each is linked with all confirmed mentions of its identity. As the labels of these are given, their messages are
         constants, one coupling each, that sum per identity and are added to what the spelling says; how many other
-        mentions are unconfirmed changes nothing. Repetitions without a confirmed fellow are linked as a path.
+        mentions are unconfirmed changes nothing. Repetitions without a confirmed fellow are linked as a path. The field is that of
+        all mentions, but a mention without a confirmed fellow is never told: neighbours and repetitions alone reveal nothing.
         """
-        labels = [m[2] for m in found]
-        if not any(labels) or all(labels):
-            return []
         fellows = confirmed_fellows(found)
         open_ = [i for i, m in enumerate(found) if not m[2] and not fellows[i]]
         skips = [(open_[i], open_[j]) for i, j in skip_edges([found[i][4] for i in open_])]
-        if not skips and not any(fellows):
+        linked = [i for i, own in enumerate(fellows) if own]
+        if not linked:
             return []
+        marginals = self.marginals(found, fellows, skips)
+        best = marginals.argmax(axis=1)
+        return [(found[i][0], int(best[i]) - 1, found[i][1]) for i in linked if best[i] and marginals[i, best[i]] > 0.5]
+
+    def marginals(self, found: list[tuple[int, int, int, str, str, str]], fellows: list[dict[int, int]], skips: list[tuple[int, int]]) -> np.ndarray:
+        """The probability of each label of each mention."""
         unary = np.stack([self.unary(m[2], m[3]) for m in found])
         for i, own in enumerate(fellows):
             for label, n in own.items():
                 unary[i, label] += n * self.skip[label, label]
         chain = [(i, i + 1) for i in range(len(found) - 1)]
         pair = np.concatenate([np.broadcast_to(self.follow, (len(chain), *self.follow.shape)), np.broadcast_to(self.skip, (len(skips), *self.skip.shape))])
-        marginals = propagate(unary, np.array(chain + skips), pair)
-        best = marginals.argmax(axis=1)
-        return [(m[0], int(b) - 1, m[1]) for m, b, p in zip(found, best, marginals, strict=True) if not m[2] and b and p[b] > 0.5]
+        return propagate(unary, np.array(chain + skips), pair)
 
 
 def _found(weights: Weights):

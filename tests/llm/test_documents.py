@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 import time
+import zlib
 
 import duckdb
 import numpy as np
@@ -609,3 +610,104 @@ def test_long_items_are_cut(spark, monkeypatch):
     docs = [(i, " ".join(["so", *words[i : i + 20], "on"])) for i in range(0, 180, 3)] + [(999, " ".join(draw.sample(words, 200)))]
     found = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"))
     assert sorted(map(tuple, found.collect())) == [(i, 1, 20, 20, 1) for i in range(0, 180, 3)]
+
+
+def made_up_weights():
+    """Labels that often follow each other, as strongly as weights can say, and spellings of all kinds."""
+    rows = [("next", "", a, b, 500 if a == b else 1) for a in range(5) for b in range(5)]
+    rows += [("skip", "", a, a, 40) for a in range(1, 5)] + [("shape", "#10 ", 4, 0, 30), ("shape", "#10 ", 0, 0, 20), ("shape", "#9 ", 0, 0, 50)]
+    return pii.Weights(rows)
+
+
+def test_unrelated_repetitions_reveal_nothing():
+    weights = made_up_weights()
+    told = lambda text: weights.added(pii.mentions(text, pii.base_spans(text)))
+    between = "+1 (743) 555-3824 and 743 999 1234 and +1 (743) 555-3826"
+    assert told(between) == [] == told(between + " far 222 333 44 and 222 333 44")
+    assert told(between + " again (743) 555-3826") == [(63, 3, 77)]
+    assert told("nothing") == [] == told("743 999 1234")
+
+
+def test_added_spans_equal_enumeration():
+    """Marginals by summing over all labels of the mentions that no pattern confirms; where chain and skips make loops, the
+    messages are close enough to tell the same unless it is a near thing."""
+    draw, some = random.Random(3), 0
+    parts = ["+1 (743) 555-3824", "(743) 555-3824", "743 555 3824", "743 999 1234", "222 333 44", "me@example.com", "Me [at] example.com", "you (at) there", "8.8.8.8"]
+    for weights in (made_up_weights(), pii.Weights([])):
+        for _ in range(150):
+            text = " x ".join(draw.choice(parts) for _ in range(draw.randrange(2, 8)))
+            found = pii.mentions(text, pii.base_spans(text))
+            fellows = pii.confirmed_fellows(found)
+            open_ = [i for i, m in enumerate(found) if not m[2] and not fellows[i]]
+            skips = [(open_[a], open_[b]) for a, b in pii.skip_edges([found[i][4] for i in open_])]
+            want = np.zeros((len(found), 5))
+            for labels in itertools.product(*[[m[2]] if m[2] else range(5) for m in found]):
+                score = sum(weights.unary(m[2], m[3])[x] for m, x in zip(found, labels))
+                score += sum(weights.follow[a, b] for a, b in zip(labels, labels[1:]))
+                score += sum(weights.skip[labels[a], labels[b]] for a, b in skips)
+                score += sum(n * weights.skip[x, label] for x, own in zip(labels, fellows) for label, n in own.items())
+                want[range(len(found)), labels] += np.exp(score)
+            want /= want.sum(1, keepdims=True)
+            linked = {i for i, own in enumerate(fellows) if own}
+            sure = {i for i in linked if abs(want[i].max() - 0.5) > 0.1}
+            expected = {(found[i][0], int(want[i].argmax()) - 1, found[i][1]) for i in sure if want[i].argmax() and want[i].max() > 0.5}
+            told = {span for span in weights.added(found) if any(found[i][0] == span[0] for i in sure)}
+            assert told == expected, text
+            some += len(expected)
+    assert some > 50
+
+
+def test_quality_fit_equals_brute_force(spark):
+    """Statistics by plain counting, and the model by the normal equations of all rows at once."""
+    docs, labels = read_documents(spark, SF), spark.read.parquet(f"{SF}/labels.parquet")
+    described = quality.describe(docs)
+    by_id = {r.doc_id: (r.held_out, np.array(r.x)) for r in described.collect()}
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    for doc_id, text in list(texts.items())[:80]:
+        data = (text or "").encode()
+        held_out, x = by_id[doc_id]
+        tokens, lines = data.split(), [line.strip() for line in data.split(b"\n") if line.strip()]
+        m, k = max(1, len(tokens)), max(1, len(lines))
+        assert held_out == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        plain = {
+            0: np.log(1 + len(data)), 1: np.log(1 + len(tokens)), 2: np.log(1 + len(lines)), 3: sum(map(len, tokens)) / m,
+            6: sum(48 <= b <= 57 for b in data) / max(1, len(data)), 7: sum(65 <= b <= 90 for b in data) / max(1, len(data)),
+            8: sum(b in b".!?" for b in data) / m, 9: data.count(b",") / m, 14: len(set(tokens)) / m,
+            16: len({(a, b) for a, b in zip(tokens, tokens[1:])}) / max(1, m - 1), 18: max((tokens.count(t) for t in set(tokens)), default=0) / m,
+            23: len(set(lines)) / k, 27: sum(len(line) < 30 for line in lines) / k,
+        }
+        assert all(abs(x[i] - value) < 1e-9 for i, value in plain.items()), (doc_id, plain)
+    y = {}
+    for r in labels.filter("quality IS NOT NULL").collect():
+        y.setdefault(r.doc_id, []).append(float(r.quality))
+    learnt = sorted(i for i in y if i in by_id and not by_id[i][0])
+    fold = {r.doc_id for r in spark.createDataFrame([(i,) for i in learnt], "doc_id long").filter(
+        F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(quality.FOLDS)) == quality.CALIBRATION_FOLD).collect()}
+    x = np.stack([by_id[i][1] for i in learnt])
+    model = quality.fit(described, labels)
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(model.scale, np.maximum(x.std(0), 1e-9))
+    z = np.clip((x - x.mean(0)) / np.maximum(x.std(0), 1e-9), -6, 6)
+    waves = np.cos(z @ model.directions + model.phases) * np.sqrt(2 / quality.FEATURES)
+    design = np.hstack([waves, z * 0.2, np.ones((len(z), 1))])
+    target, fits = np.array([np.mean(y[i]) for i in learnt]), np.array([i not in fold for i in learnt])
+    a, b = design[fits], target[fits]
+    penalty = np.full(a.shape[1], quality.RIDGE * fits.sum())
+    penalty[-1] = 1e-9
+    # The same ridge as least squares with a row per penalty, not by normal equations.
+    weights = np.linalg.lstsq(np.vstack([a, np.diag(np.sqrt(penalty))]), np.r_[b, np.zeros(len(penalty))], rcond=None)[0]
+    assert np.allclose(model.weights, weights, atol=1e-6)
+    raw = design @ weights
+    assert np.allclose(model.raw(x), raw, atol=1e-5)
+    # The calibration is the best monotone fit of the fold's labels, so scores follow raw scores and their mean is the labels'.
+    order = np.argsort(raw)
+    assert (np.diff(model.score(x)[order]) >= -1e-9).all()
+    held = ~fits
+    assert abs(model.score(x[held]).mean() - target[held].mean()) < 0.05
+
+
+def test_quality_ties_and_long_texts(spark):
+    rows = [(i, "the same words " * (70_000 if i == 3 else 20)) for i in range(1, 9)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)], "doc_id long, quality int")
+    found = {r.doc_id: r for r in quality.score_quality(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
+    assert len({found[i].score for i in found if i != 3}) == 1
+    assert all(r.predicted == (r.score >= quality.THRESHOLD) for r in found.values())
