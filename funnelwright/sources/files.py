@@ -21,6 +21,9 @@ SOURCE_TIME = "_source_time"
 
 _HEADER_READERS = 32
 
+# CSV files whose header lines the driver reads itself; beyond, tasks do.
+_OPENED_BY_DRIVER = 500
+
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """CSV files that share one header line. Every column is a string; nothing is read before an action.
@@ -152,9 +155,15 @@ def _list_files(spark: SparkSession, folder: str, glob: str, folders: bool = Fal
 def _header_lines(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
     """First line of each file, None for an empty file.
 
-    Opens the files through the session's own Hadoop file system and reads one line of each. Like Spark's file
-    listing this is work per file on the driver, never per row; the opens overlap.
+    A few files are opened by the driver, which is quicker than a job. The header lines of many are found by a job, so the driver
+    opens no file, however many there are.
     """
+    read = _lines_read_by_driver if len(paths) <= _OPENED_BY_DRIVER else _lines_read_by_tasks
+    return read(spark, paths)
+
+
+def _lines_read_by_driver(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
+    """Opens the files through the session's own Hadoop file system and reads one line of each; the opens overlap."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
     def first_line(path: str) -> str | None:
@@ -167,3 +176,38 @@ def _header_lines(spark: SparkSession, paths: Sequence[str]) -> list[str | None]
 
     with ThreadPoolExecutor(_HEADER_READERS) as pool:
         return list(pool.map(first_line, paths))
+
+
+# While header lines are read: a file is one split and one task, and lines reach the task's Python one by one.
+_FILE_PER_TASK = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 50),
+    "spark.sql.files.openCostInBytes": str(1 << 50),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1",
+}
+
+
+def _lines_read_by_tasks(spark: SparkSession, paths: Sequence[str]) -> list[str | None]:
+    """A task per file, which ends after the file's first line; the driver gets a line per file."""
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    before = {name: spark.conf.get(name) for name in _FILE_PER_TASK}
+    for name, value in _FILE_PER_TASK.items():
+        spark.conf.set(name, value)
+    try:
+        lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
+        found = lines.mapInArrow(first, "value string, path string").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def full_name(location) -> str:
+        return location.getFileSystem(conf).makeQualified(location).toString()
+
+    by_name = {full_name(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.path))): row.value for row in found}
+    return [by_name.get(full_name(jvm.org.apache.hadoop.fs.Path(path))) for path in paths]

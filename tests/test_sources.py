@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+from funnelwright.sources import files
 from funnelwright.sources import SOURCE_FILE, read_csv, read_csv_folder, read_parquet, read_parquet_folder, read_table, write_table
 from funnelwright.specs import Field, TableSpec, get_spec
 
@@ -123,3 +124,22 @@ def test_tables_are_overwritten(spark, tmp_path):
     write_table(spark.range(3), root, "t")
     assert write_table(spark.range(2), root + "/", "t").count() == 2
     assert read_table(spark, root, "t").count() == read_parquet(spark, root + "/t").count() == 2
+
+
+def test_header_lines_of_many_files_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    headers = ["CITY,Set", "CityName,Set", "Set,CITY,Größe"]
+    paths = []
+    for i in range(60):
+        rows = "".join(f"{i},{n}{',x' if i % 3 == 2 else ''}\n" for n in range(3))
+        paths.append(put(tmp_path, f"file {i} %41 ü.csv", f"{headers[i % 3]}\r\n{rows}" if i % 7 else ""))
+    (tmp_path / "large.csv").write_text("CITY,Set\n" + "Rome,1\n" * 200_000)
+    listed = sorted([*paths, str(tmp_path / "large.csv")])
+    settings = {name: spark.conf.get(name) for name in files._FILE_PER_TASK}
+    by_tasks = files._lines_read_by_tasks(spark, listed)
+    assert by_tasks == files._lines_read_by_driver(spark, listed)
+    assert by_tasks.count(None) == 9
+    assert {name: spark.conf.get(name) for name in files._FILE_PER_TASK} == settings
+    by_driver = records(read_csv_folder(spark, str(tmp_path), get_spec("reports")))
+    monkeypatch.setattr(files, "_OPENED_BY_DRIVER", 10)
+    monkeypatch.setattr(files, "_lines_read_by_driver", None)
+    assert records(read_csv_folder(spark, str(tmp_path), get_spec("reports"))) == by_driver
