@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+from funnelwright.__main__ import main
 from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
 from funnelwright.sources import merge_batches, read_table, tables
 from funnelwright.specs import get_spec
@@ -111,3 +112,19 @@ def test_leads_and_the_model_over_increments(spark, folders, tmp_path):
         build_model(spark, out, f"{out}-model")
     ours, theirs = (kpi_reports(spark, f"{out}-model") for out in (grown, whole))
     assert {name: rows(frame) for name, frame in ours.items()} == {name: rows(frame) for name, frame in theirs.items()}
+
+
+def test_command_line(spark, folders, tmp_path, capsys):
+    source, grown, _ = folders
+    leads = tmp_path / "leads"
+    put(source, "a.csv", report(1), report("x"))
+    spark.createDataFrame([("l1", "p1", "e1")], "lead_UUID string, phone_hash string, email_hash string").write.parquet(str(leads))
+    place = [f"--leads={leads}", f"--reports={source}", f"--out={grown}"]
+    main(["increment", *place])
+    put(source, "b.csv", report(2))
+    main(["increment", *place, "--merge"])
+    main(["increment", *place])
+    assert "LEADNUMBER" in capsys.readouterr().out
+    assert read_table(spark, grown, "reports").count() == 3 and read_table(spark, grown, "leads").count() == 1
+    main(["model", f"--conformed={grown}", f"--out={grown}-model"])
+    assert read_table(spark, f"{grown}-model", "kpi_calculation").count() == 3
