@@ -99,8 +99,8 @@ def build_model(
     """Tables ``leads`` and ``reports`` -> ``date``, ``leads``, ``places``, ``status``, ``kpi_calculation``.
 
     More tables stay next to them: ``members``, the combinations of places and statuses, ``lead_contacts``, ``report_contacts``, their heavy keys ``heavy_contacts`` and
-    ``heavy_reports``, ``kpi_tally``, the fact counted by all dimension keys, which the reports read, ``kpi_levels``, the same added
-    up for every report, and ``lead_sketches``, the distinct leads by place.
+    ``heavy_reports``, ``kpi_tally``, the fact counted by all dimension keys, which the reports read, and ``lead_sketches``, the
+    distinct leads by place.
     """
     with sized_for(spark, conformed, expansion=PARQUET_EXPANSION):
         reports = read_table(spark, conformed, "reports")
@@ -116,8 +116,7 @@ def build_model(
         repeated = write_table(heavy_keys(reported, contacts, HASHES, left_rows="n_rows"), out, "heavy_reports")
         fact = kpi_fact(reports, contacts, repeated, first_date=first_date, last_date=last_date)
         stored = write_table(fact, out, "kpi_calculation")
-        counted = write_table(tally(stored, REPORT_KEYS), out, "kpi_tally")
-        write_table(tally_levels(counted), out, "kpi_levels")
+        write_table(tally(stored, REPORT_KEYS), out, "kpi_tally")
         write_table(sketch_leads(stored, ["place_uuid"]), out, "lead_sketches")
         return stored
 
@@ -136,9 +135,9 @@ def kpi_reports(spark: SparkSession, model: str) -> dict[str, DataFrame]:
 
 
 def kpi_level_report(spark: SparkSession, model: str) -> DataFrame:
-    """The rows of all five reports as one table, from one scan of the model's ``kpi_levels``."""
+    """The rows of all five reports as one table, from one scan of the model's tally."""
     d_date, d_places, d_status = (read_table(spark, model, name) for name in ("date", "places", "status"))
-    return level_report(read_table(spark, model, "kpi_levels"), d_places, d_date, d_status)
+    return level_report(tally_levels(read_table(spark, model, "kpi_tally")), d_places, d_date, d_status)
 
 
 # The names under which SQL text refers to the stored tables.

@@ -11,7 +11,7 @@ from funnelwright.sources.files import (
     read_parquet_folder,
     stored_bytes,
 )
-from funnelwright.sources.tables import merge_batches, read_table, write_batch, write_table
+from funnelwright.sources.tables import last_batch, merge_batches, read_batches, read_table, write_batch, write_table
 from funnelwright.specs import Field, SPECS, TableSpec, get_spec, report_spec, specs_from_json
 
 __all__ = [
@@ -21,7 +21,9 @@ __all__ = [
     "SPECS",
     "TableSpec",
     "get_spec",
+    "last_batch",
     "merge_batches",
+    "read_batches",
     "read_csv",
     "read_csv_files",
     "read_csv_folder",

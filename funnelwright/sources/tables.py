@@ -64,6 +64,31 @@ def write_batch(df: DataFrame, root: str, name: str, number: int) -> DataFrame:
     return write_table(df, folder, _part("batch", number))
 
 
+def read_batches(spark: SparkSession, root: str, name: str, after: int = -1, through: int | None = None) -> DataFrame | None:
+    """The rows of the batches with numbers above ``after`` and up to ``through``; None if there are none.
+
+    Batches that are merged can only be read together.
+    """
+    folder = f"{root.rstrip('/')}/{name}"
+    merged, numbers = _parts(spark, folder)
+    last = max([*numbers, -1 if merged is None else merged]) if through is None else through
+    wanted = [number for number in numbers if after < number <= last]
+    if merged is not None and after < merged:
+        if after >= 0 or last < merged:
+            raise ValueError(f"batches of {folder} are merged up to {merged}, they cannot be read from {after + 1} to {last}")
+        parts = [_part("through", merged)]
+    else:
+        parts = []
+    paths = [path for part in [*parts, *[_part("batch", number) for number in wanted]] for path in table_paths(spark, f"{folder}/{part}")]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def last_batch(spark: SparkSession, root: str, name: str) -> int:
+    """The number of the last batch, -1 if there is none."""
+    merged, numbers = _parts(spark, f"{root.rstrip('/')}/{name}")
+    return max([*numbers, -1 if merged is None else merged])
+
+
 def merge_batches(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Write all batches of a table as one, so that readers have few folders to list; the batches go afterwards."""
     folder = f"{root.rstrip('/')}/{name}"

@@ -16,7 +16,7 @@ from funnelwright.operators.cleaning import count_invalid
 from funnelwright.plans.jobs import INVALID, PARQUET_EXPANSION, conform_leads, conform_reports
 from funnelwright.plans.sizing import sized_for_bytes
 from funnelwright.sources.files import SOURCE_FILE, SOURCE_TIME, read_csv_files, read_parquet_files
-from funnelwright.sources.tables import read_table, write_batch
+from funnelwright.sources.tables import last_batch, read_table, write_batch
 from funnelwright.specs import SPECS, TableSpec
 
 # Columns of the grown tables that say where a row is from, and when that file came.
@@ -90,6 +90,8 @@ def _take_new_files(
     listed = listed.option("maxFilesPerTrigger", files_per_batch).load(folder).select("path", "length")
     writer = listed.writeStream.foreachBatch(take).trigger(availableNow=True)
     writer.option("checkpointLocation", f"{out.rstrip('/')}/_progress/{name}").start().awaitTermination()
+    if last_batch(spark, out, name) < 0:
+        raise FileNotFoundError(f"no file to take in {folder} yet")
     return read_table(spark, out, name)
 
 

@@ -1,12 +1,22 @@
+import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from funnelwright.__main__ import main
 from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
-from funnelwright.sources import merge_batches, read_table, tables
+from funnelwright.sources import merge_batches, read_table, tables, write_batch, write_table
 from funnelwright.specs import get_spec
-from funnelwright.streaming import increment_leads, increment_reports, increments, invalid_values_of_increments
+from funnelwright.streaming import (
+    increment_leads,
+    increment_model,
+    increment_reports,
+    increments,
+    increments_reports,
+    invalid_values_of_increments,
+    model,
+)
 
 # Headers of a report.
 HEADER = "ENTRYDATE,LEADNUMBER,phone_hash,email_hash,STATE,ZIP,Appt Date,Demo,Set,Dispo,Job Status,CITY"
@@ -128,3 +138,65 @@ def test_command_line(spark, folders, tmp_path, capsys):
     assert read_table(spark, grown, "reports").count() == 3 and read_table(spark, grown, "leads").count() == 1
     main(["model", f"--conformed={grown}", f"--out={grown}-model"])
     assert read_table(spark, f"{grown}-model", "kpi_calculation").count() == 3
+
+
+def test_reports_follow_the_increments(spark, tmp_path):
+    """After every step, in which leads or reports arrive in any order, the reports are those of a model built anew."""
+    draw = random.Random(4)
+    step1, out = f"{tmp_path}/step1", f"{tmp_path}/steps"
+    leads, reports = [], []
+
+    def lead(n):
+        return (draw.choice([f"l{n}", f"l{n}", f"m{n}", None]), f"p{n}" if n < 9 else None, f"e{n}")
+
+    def row(n):
+        appointment = draw.choice([None, "2023-03-06 14:30:00", "2023-04-01 09:00:00"])
+        return (
+            "2023-03-04", draw.choice([n, n + 100, None]), draw.choice([f"p{n}", None]) if n == 3 else f"p{n}", f"e{n}", draw.choice(["TX", None]), 12345,
+            appointment, draw.choice([True, False, None]), draw.choice([True, False, None]), "sale", draw.choice(["Sold", "Lost", None]), draw.choice(["Rome", "Bari"]),
+        )
+
+    kind = "entry_date string, lead_number int, phone_hash string, email_hash string, state string, zip int, appt_date string, demo boolean, set boolean, dispo string, job_status string, city_name string"
+    arrivals = [("reports", 12), ("leads", 4), ("both", 12), ("none", 0), ("leads", 5)]
+    numbers = {"leads": 0, "reports": 0}
+    for what, n in arrivals:
+        for name, make, held, schema in (("leads", lead, leads, "lead_uuid string, phone_hash string, email_hash string"), ("reports", row, reports, kind)):
+            if what in (name, "both"):
+                new = [make(draw.randrange(8)) for _ in range(n)]
+                held += new
+                frame = spark.createDataFrame(new, schema)
+                if name == "reports":
+                    frame = frame.withColumns({"entry_date": F.to_date("entry_date"), "appt_date": F.to_timestamp("appt_date")})
+                write_batch(frame, step1, name, numbers[name])
+                numbers[name] += 1
+        tallied = increment_model(spark, step1, out)
+        whole = f"{tmp_path}/whole-{numbers['leads']}-{numbers['reports']}-{what}"
+        write_table(read_table(spark, step1, "reports"), whole, "reports")
+        none = spark.range(0).selectExpr("'' AS lead_uuid", "'' AS phone_hash", "'' AS email_hash")
+        write_table(read_table(spark, step1, "leads") if numbers["leads"] else none, whole, "leads")
+        build_model(spark, whole, f"{whole}-model")
+        assert rows(tallied) == rows(read_table(spark, f"{whole}-model", "kpi_tally")), what
+    ours, theirs = increments_reports(spark, out), kpi_reports(spark, f"{whole}-model")
+    assert {name: rows(frame) for name, frame in ours.items()} == {name: rows(frame) for name, frame in theirs.items()}
+
+
+def test_a_step_that_dies_is_done_again(spark, tmp_path, monkeypatch):
+    step1, out = f"{tmp_path}/step1", f"{tmp_path}/steps"
+    conformed = "CAST('2023-03-04' AS DATE) entry_date, 1 lead_number, 'p' phone_hash, 'e' email_hash, 'TX' state, 1 zip, CAST(NULL AS TIMESTAMP) appt_date, true demo, true set, 'x' dispo, 'Sold' job_status, 'Rome' city_name"
+    write_batch(spark.sql(f"SELECT {conformed}"), step1, "reports", 0)
+    increment_model(spark, step1, out)
+    write_batch(spark.sql("SELECT 'l' lead_uuid, 'p' phone_hash, 'e' email_hash UNION ALL SELECT 'm', 'p', 'e'"), step1, "leads", 0)
+    write = model.write_batch
+
+    def write_all_but_progress(frame, root, name, number):
+        if name == model.PROGRESS:
+            raise RuntimeError("the step died")
+        return write(frame, root, name, number)
+
+    monkeypatch.setattr(model, "write_batch", write_all_but_progress)
+    with pytest.raises(RuntimeError, match="the step died"):
+        increment_model(spark, step1, out)
+    monkeypatch.setattr(model, "write_batch", write)
+    write_batch(spark.sql(f"SELECT {conformed}"), step1, "reports", 1)
+    assert increment_model(spark, step1, out).first().Total_Delivered_Leads == 4
+    assert increment_model(spark, step1, out).first().Total_Delivered_Leads == 4

@@ -252,6 +252,7 @@ _ORACLES = {
     "incremental_reports": "SELECT * FROM snapshot_reports",
     "incremental_invalid_values": _invalid("cleaned_snapshots"),
     "incremental_by_city_status": _by_city_status("snapshot_fact"),
+    "incremental_tally": _by_city_status("snapshot_fact"),
     "latest_state": f"""SELECT * FROM reports QUALIFY row_number() OVER (PARTITION BY email_hash, phone_hash
         ORDER BY {", ".join(f'"{name}" DESC NULLS LAST' for name in _STATE_ORDER)}) = 1""",
     "status_changes": """SELECT * EXCLUDE (place) FROM (

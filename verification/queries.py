@@ -64,7 +64,13 @@ from funnelwright.plans import (
 )
 from funnelwright.sources import merge_batches, read_table, write_table
 from funnelwright.specs import SENTINEL_COLUMNS, SENTINELS, VERBATIM_ENTRY_DATE, Field, TableSpec, get_spec
-from funnelwright.streaming import increment_leads, increment_reports, invalid_values_of_increments
+from funnelwright.streaming import (
+    increment_leads,
+    increment_model,
+    increment_reports,
+    increments_reports,
+    invalid_values_of_increments,
+)
 from verification.fixture import (
     raw_deliveries,
     raw_leads,
@@ -482,6 +488,19 @@ def _grown_step1(spark: SparkSession, sf_dir: str) -> str:
     return f"{folder}/step1"
 
 
+def _incremental_tally(spark, sf_dir):
+    """The last report after a step for each snapshot, with leads that arrive after their reports."""
+    folder = scratch_folder(spark)
+    leads = raw_leads(spark, sf_dir)
+    for turn, pattern in enumerate(_csv_snapshots_in_turn(spark, sf_dir, f"{folder}/reports")):
+        increment_reports(spark, pattern, f"{folder}/step1")
+        if turn:
+            leads.filter(F.pmod(F.xxhash64("lead_UUID"), F.lit(2)) == turn - 1).write.mode("append").parquet(f"{folder}/leads")
+            increment_leads(spark, f"{folder}/leads", f"{folder}/step1")
+        increment_model(spark, f"{folder}/step1", f"{folder}/step2")
+    return increments_reports(spark, f"{folder}/step2")["city_status"]
+
+
 def _incremental_reports(spark, sf_dir):
     reports = read_table(spark, _grown_step1(spark, sf_dir), "reports")
     return _comparable(reports.drop("invalid_values", "source_file", "source_time"))
@@ -537,6 +556,7 @@ QUERIES = {
     "parquet_leads_variants": _parquet_leads_variants,
     "stored_model_by_city_status": _stored_model_by_city_status,
     "incremental_reports": _incremental_reports,
+    "incremental_tally": _incremental_tally,
     "incremental_invalid_values": _incremental_invalid_values,
     "incremental_by_city_status": _incremental_by_city_status,
     "latest_state": _latest_state,
