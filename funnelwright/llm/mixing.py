@@ -12,6 +12,7 @@ from funnelwright.llm.common import Scratch, words
 WEIGHTS = (5, 2, 1)  # of the sources by name, repeating
 MOST_EPOCHS = 3
 DOCS_PER_SLICE = 5_000
+LEAST_WEIGHT = 0.001  # of a document whose quality is given
 
 
 def quality_weight(tokens: Column) -> Column:
@@ -20,13 +21,21 @@ def quality_weight(tokens: Column) -> Column:
     return F.when(n > 0, 0.25 + 0.75 * F.size(F.array_distinct(tokens)) / n).otherwise(F.lit(0.25))
 
 
-def _sized(docs: DataFrame, text: str, source: str, doc_id: str) -> DataFrame:
-    """``docs`` with _size, _weight and a fingerprint _print from which its random number follows."""
+def _sized(docs: DataFrame, text: str, doc_id: str, quality: str | None = None) -> DataFrame:
+    """``docs`` with _size, _weight and a fingerprint _print from which its random number follows.
+
+    The weight is the column ``quality`` where that is given, raised to ``LEAST_WEIGHT`` (also from NULL and NaN), so that
+    no document's key is infinite.
+    """
     tokens = words(F.col(text))
+    weight = quality_weight(F.col("_tokens"))
+    if quality is not None:
+        given = F.nanvl(F.col(quality).cast("double"), F.lit(0.0))
+        weight = F.greatest(F.coalesce(given, F.lit(0.0)), F.lit(LEAST_WEIGHT))
     identity = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
     out = docs.withColumn("_tokens", tokens)
     return out.withColumns(
-        {"_size": F.size("_tokens").cast("long"), "_weight": quality_weight(F.col("_tokens")), "_print": F.md5(identity)}
+        {"_size": F.size("_tokens").cast("long"), "_weight": weight, "_print": F.md5(identity)}
     ).drop("_tokens")
 
 
@@ -110,12 +119,13 @@ def _with_turns(sized: DataFrame, plan: DataFrame, source: str) -> DataFrame:
 
 def mix_sizes(
     docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", share: float = 1.0,
-    weights: Sequence[float] = WEIGHTS, most_epochs: int = MOST_EPOCHS,
+    weights: Sequence[float] = WEIGHTS, most_epochs: int = MOST_EPOCHS, quality: str | None = None,
 ) -> DataFrame:
     """What the mix takes of each row of ``docs``: doc_id, size, source_size, target, taken, source.
 
     ``size`` is the number of words; ``taken`` counts repetitions. The random numbers follow from doc_id and text, so
-    reruns agree, however the rows are dealt out.
+    reruns agree, however the rows are dealt out. ``quality`` names a column of ``docs`` with weights, such as the scores of
+    ``score_quality``; without it the weight is told by how little a text repeats its words.
 
     Defined cases: NULL and empty texts have size 0 and take nothing. A NULL source is a source of its own, the last.
     Rows that agree in source, doc_id and text are taken together; where the target ends among them, they are in if at
@@ -123,8 +133,9 @@ def mix_sizes(
     ignored. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
-    sized = scratch.store(_sized(own, "text", "source", "doc_id").drop("text"), "sized")
+    given = [] if quality is None else [F.col(quality).alias("quality")]
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"), *given)
+    sized = scratch.store(_sized(own, "text", "doc_id", quality and "quality").drop("text", "quality"), "sized")
     plan = mix_plan(sized, "source", scratch, share, weights, most_epochs)
     out = _with_turns(sized, plan, "source")
     return out.select(
@@ -135,7 +146,7 @@ def mix_sizes(
 
 def mix(
     docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", share: float = 1.0,
-    weights: Sequence[float] = WEIGHTS, most_epochs: int = MOST_EPOCHS,
+    weights: Sequence[float] = WEIGHTS, most_epochs: int = MOST_EPOCHS, quality: str | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as ``mix_sizes`` takes it. Texts are read again and never shuffled.
 
@@ -143,8 +154,11 @@ def mix(
     NULLs, ties, repeated rows and empty tables.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    boxed = docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"), F.col(source).alias("source"), F.col(doc_id).alias("doc_id"))
-    sized = _sized(boxed, "text", "source", "doc_id")
+    given = [] if quality is None else [F.col(quality).alias("quality")]
+    boxed = docs.select(
+        F.struct("*").alias("_row"), F.col(text).alias("text"), F.col(source).alias("source"), F.col(doc_id).alias("doc_id"), *given
+    )
+    sized = _sized(boxed, "text", "doc_id", quality and "quality")
     plan = mix_plan(sized.select("source", "_size", "_weight", "_print"), "source", scratch, share, weights, most_epochs)
     turns = _with_turns(sized, plan, "source").filter("_turns > 0")
     return turns.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_turns")))).select("_row.*")

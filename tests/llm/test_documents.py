@@ -5,6 +5,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -711,3 +712,31 @@ def test_quality_ties_and_long_texts(spark):
     found = {r.doc_id: r for r in quality.score_quality(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()}
     assert len({found[i].score for i in found if i != 3}) == 1
     assert all(r.predicted == (r.score >= quality.THRESHOLD) for r in found.values())
+
+
+def test_mix_by_given_quality(spark):
+    """Documents of high quality are taken first, in both forms; odd qualities count as the least."""
+    rows = [(i, "word " * 10, "ab"[i % 2], 1.0 if i % 4 < 2 else 0.001) for i in range(2000)]
+    rows += [(3000 + i, "word " * 10, "a", q) for i, q in enumerate([None, float("nan"), -1.0, 0.0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, score double")
+    sizes = {r.doc_id: r.taken for r in mixing.mix_sizes(docs, share=0.25, quality="score").collect()}
+    taken = Counter(r.doc_id for r in mixing.mix(docs, share=0.25, quality="score").collect())
+    assert taken == Counter({i: n // 10 for i, n in sizes.items() if n})
+    assert sum(i % 4 < 2 for i in taken) > 0.98 * len(taken) and len(taken) < 600
+    assert len(mixing.mix_sizes(docs).select("taken").distinct().collect()) > 0
+
+
+def test_each_licence_is_told_from_its_kin():
+    """Every shipped text, whole and with a word changed, is found as itself among all others."""
+    known = licenses.Templates(licenses.shipped_templates(), licenses.DICE)
+    for name, text in licenses._TEXTS.items():
+        tokens = licenses._TOKEN.findall(text.lower())
+        assert known.best(tokens) == (1.0, name)
+        assert known.best([*tokens[:7], "changed", *tokens[8:]])[1] == name
+
+
+def test_licences_in_repeated_rows_and_long_texts(spark):
+    text = "unlike words stand here " * 100_000 + licenses._TEXTS["Zlib"] + " and others follow" * 60_000
+    docs = spark.createDataFrame([(1, text), (1, text), (2, "Zlib " * 100_000), (3, licenses._TEXTS["BSD-3-Clause"]), (3, licenses._TEXTS["BSD-3-Clause"])], "doc_id long, text string")
+    found = Counter((r.doc_id, r.license, round(r.dice, 6)) for r in licenses.scan_licenses(docs).collect())
+    assert found == Counter({(1, "Zlib", 1.0): 2, (3, "BSD-3-Clause", 1.0): 2})
