@@ -1,4 +1,4 @@
-"""Command line: ``python -m funnelwright ingest|increment|model|report``, each on the folders of the step before."""
+"""Command line: ``python -m funnelwright ingest|increment|model|report|history``, each on the folders of the step before."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports
+from funnelwright.plans import build_history, build_model, ingest_leads, ingest_reports, kpi_reports
 from funnelwright.sources import merge_batches, write_table
 from funnelwright.specs import SPECS, get_spec, specs_from_json
 from funnelwright.streaming import increment_leads, increment_reports, invalid_values_of_increments
@@ -29,6 +29,9 @@ def main(argv: list[str] | None = None) -> None:
     model = step.add_parser("model", help="conformed tables -> dimensions and fact")
     model.add_argument("--conformed", default="step1")
     model.add_argument("--out", default="step2")
+    history = step.add_parser("history", help="conformed tables -> latest states, changes, leads and reports without counterpart")
+    history.add_argument("--conformed", default="step1")
+    history.add_argument("--out", default="history")
     report = step.add_parser("report", help="dimensions and fact -> the five reports")
     report.add_argument("--model", default="step2")
     report.add_argument("--out", default="step3", help="folder that the complete reports are stored in")
@@ -49,6 +52,10 @@ def main(argv: list[str] | None = None) -> None:
         if args.merge:
             for name in ("leads", "reports"):
                 merge_batches(spark, args.out, name)
+    elif args.step == "history":
+        for name, frame in build_history(spark, args.conformed, args.out).items():
+            print(name)
+            show(frame, 10)
     elif args.step == "model":
         show(build_model(spark, args.conformed, args.out), 10)
     else:

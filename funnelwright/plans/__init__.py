@@ -1,5 +1,6 @@
-"""The three batch jobs. Each reads stored tables, and writes tables that the next one reads."""
+"""The batch jobs. Each reads stored tables, and writes tables that the next one reads."""
 
+from funnelwright.plans.history import build_history
 from funnelwright.plans.jobs import (
     build_model,
     conform_leads,
@@ -12,6 +13,7 @@ from funnelwright.plans.jobs import (
 )
 
 __all__ = [
+    "build_history",
     "build_model",
     "conform_leads",
     "conform_reports",

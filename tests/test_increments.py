@@ -136,8 +136,18 @@ def test_command_line(spark, folders, tmp_path, capsys):
     main(["increment", *place])
     assert "LEADNUMBER" in capsys.readouterr().out
     assert read_table(spark, grown, "reports").count() == 3 and read_table(spark, grown, "leads").count() == 1
+    put(source, "c.csv", report(2).replace("Sold", "Lost"), report(3))
+    main(["increment", *place])
+    main(["history", f"--conformed={grown}", f"--out={grown}-history"])
+    tables = {name: read_table(spark, f"{grown}-history", name) for name in ("latest_state", "status_changes", "unmatched_leads", "unmatched_reports")}
+    assert {(r.lead_number, r.job_status) for r in tables["latest_state"].collect()} == {(None, "Sold"), (1, "Sold"), (2, "Lost"), (3, "Sold")}
+    assert Counter((r.lead_number, r.job_status, r.previous_job_status) for r in tables["status_changes"].collect()) == Counter(
+        [(None, "Sold", None), (1, "Sold", None), (2, "Sold", None), (2, "Lost", "Sold"), (3, "Sold", None)]
+    )
+    assert tables["unmatched_leads"].isEmpty()
+    assert sorted(r.email_hash for r in tables["unmatched_reports"].collect()) == ["e2", "e2", "e3", "ex"]
     main(["model", f"--conformed={grown}", f"--out={grown}-model"])
-    assert read_table(spark, f"{grown}-model", "kpi_calculation").count() == 3
+    assert read_table(spark, f"{grown}-model", "kpi_calculation").count() == 5
 
 
 def test_reports_follow_the_increments(spark, tmp_path):
