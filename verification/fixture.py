@@ -23,6 +23,9 @@ SELECT concat('lead-', CAST(c_custkey AS STRING)) AS lead_UUID,
 FROM {customer}
 """
 
+# Every thirtieth lead has a contact that no report has; then lead 0's contact, which skewed reports have, is that of no lead.
+UNREPORTED_LEADS = SKEWED_LEADS.replace("THEN 0 ELSE", "THEN -1 ELSE")
+
 _REPORT_COLUMNS = """
  concat(lpad(CAST(month(o_orderdate) AS STRING), 2, '0'), '/', lpad(CAST(day(o_orderdate) AS STRING), 2, '0'), '/',
         CAST(year(o_orderdate) AS STRING)) AS entrydate,
@@ -106,6 +109,10 @@ def skewed_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, SKEWED_LEADS)
 
 
+def unreported_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir, UNREPORTED_LEADS)
+
+
 def skewed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_headers(_run(spark, sf_dir, SKEWED_REPORTS))
 
