@@ -199,3 +199,14 @@ def test_a_hot_key_in_one_input_partition_is_cut(spark):
             assert sum(sizes) == 60_000 and max(sizes) < 30_000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_rows_of_a_key_that_both_sides_have_often_are_repeated_in_proportion(spark):
+    """Slices of three rows would repeat 300 left rows 2,700 times and 8,100 right rows 100 times: two thirds of all pairs."""
+    left = spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias("x"))
+    right = spark.range(8_100).select(F.lit("hot").alias("k"), F.col("id").alias("u"))
+    heavy = heavy_keys(left, right, ["k"], least_rows=3)
+    [(_, rows, columns)] = map(tuple, heavy.collect())
+    assert rows > 1 and columns > 1 and 300 * columns + 8_100 * rows <= 20 * 8_400
+    for joined in (left_join(left, right, ["k"], heavy, ["u"]), full_outer_join(left, right, ["k"], heavy)):
+        assert joined.count() == joined.select("x", "u").distinct().count() == 300 * 8_100
