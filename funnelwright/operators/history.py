@@ -82,6 +82,7 @@ def as_of_join(
     ties: Sequence[str] = (),
     heavy: DataFrame | None = None,
     slice_days: int = SLICE_DAYS,
+    crowded: DataFrame | None = None,
 ) -> DataFrame:
     """Each row of ``left`` with the one row of ``right`` with equal ``on`` columns that is nearest in time.
 
@@ -94,9 +95,19 @@ def as_of_join(
     window, and per key a window over the slices that carries the nearest right row into slices that have none. Then left
     rows are joined with what was found for their key and time; ``heavy`` are the heavy keys of that join, ``on`` and
     ``left_time``, for times of a key that have very many left rows. See :func:`asked_times`.
+
+    ``crowded``, the :func:`heavy_keys` of both sides on ``on``, says which keys need all this, each once; by default every key does.
+    The rows of a key that is not listed are few: they move once, into one window.
     """
     if direction not in ("next", "last"):
         raise ValueError(f"no such direction: {direction}")
+    if crowded is not None:
+        key = _present([*on, left_time])
+        keyed = left.filter(key)
+        many = [of_crowded_keys(side, crowded, on) for side in (keyed, right)]
+        few = [without_crowded_keys(side, crowded, on) for side in (keyed, right)]
+        dealt = as_of_join(*many, on, left_time, right_time, direction, ties, heavy, slice_days)
+        return union_all_by_name([dealt, _as_of_in_one_window(*few, on, left_time, right_time, direction, ties), left.filter(~key)])
     rest = [name for name in right.columns if name not in on and name != right_time]
     order = [*ties, *[name for name in rest if name not in ties]]
     found = F.struct(F.col("_time"), *[quoted(name) for name in order]) if order else F.struct("_time")
@@ -121,6 +132,36 @@ def as_of_join(
     return joined.select(*[quoted(name) for name in left.columns], *[taken[name].alias(name) for name in right.columns if name not in on])
 
 
+def of_crowded_keys(df: DataFrame, crowded: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of the keys in ``crowded``."""
+    return df.join(crowded.select(*on), list(on), "left_semi")
+
+
+def without_crowded_keys(df: DataFrame, crowded: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of all other keys."""
+    return df.join(crowded.select(*on), list(on), "left_anti")
+
+
+def _as_of_in_one_window(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, direction: str, ties: Sequence[str]
+) -> DataFrame:
+    """:func:`as_of_join` with all rows of a key, of both sides, in one window; ``left`` has no NULL in key or time."""
+    rest = [name for name in right.columns if name not in on and name != right_time]
+    order = [*ties, *[name for name in rest if name not in ties]]
+    own = [name for name in left.columns if name not in on and name != left_time]
+    asked = left.select(*on, F.col(left_time).alias("_time"), F.struct(F.lit(True).alias("_asked"), *[quoted(name) for name in own]).alias("_row"))
+    found = F.struct(F.col(right_time).alias("_time"), *[quoted(name) for name in order])
+    offered = right.filter(_present([*on, right_time])).select(*on, F.col(right_time).alias("_time"), found.alias("_found"))
+    # Right rows come before left rows of their time, the smallest of them last.
+    sign = F.desc if direction == "next" else F.asc
+    so_far = Window.partitionBy(*on).orderBy(sign("_time"), F.col("_row").isNotNull(), F.desc("_found")).rowsBetween(Window.unboundedPreceding, 0)
+    both = union_all_by_name([asked, offered]).withColumn("_nearest", F.last("_found", True).over(so_far)).filter("_row IS NOT NULL")
+    mine = {left_time: F.col("_time")} | {name: F.col("_row")[name] for name in own}
+    taken = {right_time: F.col("_nearest._time")} | {name: F.col("_nearest")[name] for name in rest}
+    of_left = [quoted(name) if name in on else mine[name].alias(name) for name in left.columns]
+    return both.select(*of_left, *[taken[name].alias(name) for name in right.columns if name not in on])
+
+
 def asked_times(left: DataFrame, on: Sequence[str], left_time: str) -> DataFrame:
     """The distinct keys and times of ``left``; what the left rows of :func:`as_of_join` are joined with in the end."""
     return left.filter(_present([*on, left_time])).select(*on, left_time).distinct()

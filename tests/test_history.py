@@ -121,3 +121,22 @@ def test_a_hot_keys_rows_are_in_many_tasks(spark):
         assert max(r["count"] for r in found.collect()) < 0.4 * 40_000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.parametrize("direction", ["next", "last"])
+@pytest.mark.parametrize("crowd", [1, 25, 1000])
+def test_as_of_join_cuts_crowded_keys_only(spark, direction, crowd):
+    """The same rows whichever keys are cut by time; with copies, ties, and NULLs everywhere."""
+    draw = random.Random(11)
+    days = [None, *[FIRST + timedelta(days=n) for n in (0, 0, 1, 31, 40, 100, 365, 366)]]
+    keys = ["hot"] * 6 + ["a", "b", "c", None]
+    asks = [(draw.choice([*keys, "left only"]), draw.choice(days), draw.choice([None, 1, 2])) for _ in range(150)]
+    offers = [(draw.choice([*keys, "right only"]), draw.choice(days), draw.choice([None, 1, 2]), draw.choice([None, "u", "v"])) for _ in range(80)]
+    left = spark.createDataFrame(asks, "k string, day date, n int").repartition(4)
+    right = spark.createDataFrame(offers, "k string, at date, u int, v string").repartition(3)
+    crowded = heavy_keys(left, right, ["k"], crowd)
+    plain = as_of_join(left, right, ["k"], "day", "at", direction, ties=["v"])
+    found = as_of_join(left, right, ["k"], "day", "at", direction, ties=["v"], crowded=crowded)
+    assert found.dtypes == plain.dtypes
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, plain.collect()))
+    assert plain.filter("at IS NOT NULL").count() > 50
