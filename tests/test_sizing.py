@@ -38,3 +38,11 @@ def test_settings_hold_within_the_block_only(spark, tmp_path, monkeypatch):
             assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 * MB)
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == text
     spark.conf.set("spark.sql.files.maxPartitionBytes", before[1])
+
+
+def test_merged_size_holds_within_the_block_only(spark, tmp_path):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    with sized_for(spark, str(tmp_path), merge_to=8 * MB):
+        assert spark.conf.get(name) == str(8 * MB)
+    assert spark.conf.get(name) == before
