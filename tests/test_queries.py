@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from verification import oracles
@@ -50,3 +51,19 @@ def test_reports_agree_with_each_other(spark):
     delivered = totals["kpi_global"][0]
     assert by_city_status.groupBy().sum(counts[0]).first()[0] == delivered - without_status
     assert delivered >= contract.queries()["row_count"](spark, SF).first().n_rows
+
+
+def test_two_snapshots_are_read_from_the_given_tables_alone(spark, tmp_path):
+    """Nothing is stored in between, as each row is read once; and a snapshot is named by its return flag as it is."""
+    sf = str(tmp_path)
+    for name in ("customer", "nation", "orders"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    items = spark.read.parquet(f"{SF}/lineitem.parquet")
+    flags = ["A", "A", "R", "R", "R", "N", "A ", None]  # of one order's items
+    flag = F.element_at(F.array(*[F.lit(flag) for flag in flags]), F.col("n"))
+    one = items.limit(1).drop("l_returnflag").crossJoin(spark.range(1, len(flags) + 1).select(F.col("id").cast("int").alias("n")))
+    one.withColumn("l_returnflag", flag).drop("n").write.parquet(f"{sf}/lineitem.parquet")
+    for name, rows in (("snapshot_kept", 2), ("snapshot_removed", 0), ("snapshot_added", 1)):
+        answer = contract.queries()[name](spark, sf)
+        assert answer.count() == rows
+        assert all(sf in file for file in answer.inputFiles())
