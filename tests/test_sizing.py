@@ -46,3 +46,11 @@ def test_merged_size_holds_within_the_block_only(spark, tmp_path):
     with sized_for(spark, str(tmp_path), merge_to=8 * MB):
         assert spark.conf.get(name) == str(8 * MB)
     assert spark.conf.get(name) == before
+
+
+def test_aggregations_have_no_small_first_map_within_the_block(spark, tmp_path):
+    name = "spark.sql.codegen.aggregate.map.twolevel.enabled"
+    before = spark.conf.get(name)
+    with sized_for(spark, str(tmp_path)):
+        assert spark.conf.get(name) == "false"
+    assert spark.conf.get(name) == before
