@@ -138,3 +138,11 @@ def test_percentage(spark):
     frame = spark.createDataFrame([(1, 3), (0, 0), (5, 0), (0, 7), (2, 3)], "a long, b long")
     found = [row.p for row in frame.select(percentage(F.col("a"), F.col("b")).alias("p")).collect()]
     assert found == [33.33, 0.0, 0.0, 0.0, 66.67]
+
+
+def test_uuid5_is_cut_and_joined_as_bytes(spark):
+    """Pieces of a string are looked for character by character from its start."""
+    frame = spark.range(1).select(uuid5(F.col("id").cast("string")).alias("key"))
+    assert frame.dtypes == [("key", "string")]
+    analysed = frame._jdf.queryExecution().analyzed().toString()
+    assert "cast(concat(substring(cast(sha1" in analysed and "as binary), 1, 8)" in analysed

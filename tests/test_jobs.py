@@ -4,8 +4,9 @@ import json
 import pytest
 
 from funnelwright.__main__ import main
-from funnelwright.plans import build_model, ingest_leads, ingest_reports, kpi_reports, register_views
-from funnelwright.sources import read_table
+from funnelwright.operators import joins
+from funnelwright.plans import build_model, ingest_leads, ingest_reports, jobs, kpi_reports, register_views
+from funnelwright.sources import read_table, write_table
 from funnelwright.specs import get_spec
 
 # Headers of a report, but for the city's, which has two names.
@@ -104,3 +105,13 @@ def test_command_line(spark, folders, capsys):
     assert read_table(spark, f"{folders}/step3", "month").count() == 3
     printed = capsys.readouterr().out
     assert "5 report rows" in printed and "Conversion_Rate" in printed and "66.67" in printed
+
+
+def test_the_model_counts_its_contacts_once_for_all_heavy_keys(spark, tmp_path, monkeypatch):
+    counted = []
+    monkeypatch.setattr(jobs, "crowds", lambda *given: counted.append(len(given[0])) or joins.crowds(*given))
+    conformed = "CAST('2023-03-04' AS DATE) entry_date, 1 lead_number, 'p' phone_hash, 'e' email_hash, 'TX' state, 1 zip, CAST(NULL AS TIMESTAMP) appt_date, true demo, true set, 'x' dispo, 'Sold' job_status, 'Rome' city_name"
+    write_table(spark.sql(f"SELECT {conformed}"), str(tmp_path), "reports")
+    write_table(spark.sql("SELECT 'l' lead_uuid, 'p' phone_hash, 'e' email_hash"), str(tmp_path), "leads")
+    assert build_model(spark, str(tmp_path), f"{tmp_path}/model").first().lead_uuid == "l"
+    assert counted == [2]

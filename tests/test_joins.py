@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from funnelwright.operators import full_outer_join, heavy_keys, left_join, unmatched
+from funnelwright.operators.joins import crowds, slices_of
 
 
 def brute_force(left, right):
@@ -210,3 +211,14 @@ def test_rows_of_a_key_that_both_sides_have_often_are_repeated_in_proportion(spa
     assert rows > 1 and columns > 1 and 300 * columns + 8_100 * rows <= 20 * 8_400
     for joined in (left_join(left, right, ["k"], heavy, ["u"]), full_outer_join(left, right, ["k"], heavy)):
         assert joined.count() == joined.select("x", "u").distinct().count() == 300 * 8_100
+
+
+def test_crowds_give_the_heavy_keys_of_several_joins(spark):
+    """A key with rows enough by one count only is heavy in the joins that go by that count."""
+    one = spark.createDataFrame([("x",)] * 4 + [("y",)] * 2 + [(None,)] * 9, "k string")
+    two = spark.createDataFrame([("x", 1), ("y", 5), ("z", 1), (None, 9)], "k string, n long")
+    found = crowds([(one, {"a": F.count("*")}), (two, {"b": F.count("*"), "c": F.sum("n")})], ["k"], 3)
+    assert sorted(map(tuple, found.collect())) == [("x", 4, None, None), ("y", None, 1, 5)]
+    for left, right, rows, names in ((one, two, None, ("a", "b")), (two, one, "n", ("c", "a"))):
+        expected = sorted(map(tuple, heavy_keys(left, right, ["k"], 3, rows).collect()))
+        assert sorted(map(tuple, slices_of(found, ["k"], *names, 3).collect())) == expected != []
