@@ -146,3 +146,9 @@ def test_uuid5_is_cut_and_joined_as_bytes(spark):
     assert frame.dtypes == [("key", "string")]
     analysed = frame._jdf.queryExecution().analyzed().toString()
     assert "cast(concat(substring(cast(sha1" in analysed and "as binary), 1, 8)" in analysed
+
+
+def test_collapse_whitespace_knows_the_ascii_characters_only(spark):
+    texts = [f"a{chr(code)}{chr(code)}b" for code in (*range(1, 0x100), 0x2003, 0x2028)]
+    expected = ["a b" if text[1] in "\t\n\x0b\f\r " else text for text in texts]
+    assert values(spark, texts, collapse_whitespace) == expected

@@ -43,3 +43,8 @@ def test_rows_move_as_lines_and_copies_share_a_file(spark, tmp_path):
         assert written.count() == expected.count() > 0
         shared = [F.col(f"`{name}`") for name in raw.columns if name not in ("snapshot", "Dispo")]
         assert written.groupBy(*shared).agg(F.count_distinct(SOURCE_FILE).alias("files")).filter("files > 1").isEmpty()
+
+
+def test_lines_hold_the_customer_once(spark, tmp_path):
+    """The key of the join is in both of its tables, and a line needs it once."""
+    assert not {"o_custkey", "c_custkey"} <= set(snapshot_lines(spark, _tables(spark, tmp_path)).columns)
