@@ -54,8 +54,9 @@ def find_leaks(
 
     Items are cut into parts of ``WINDOWS_PER_PART`` windows and go to all tasks in blocks of about ``SEEDS_PER_BLOCK`` seeds, so
     what is sent is bounded; the documents are read once per block. They are never shuffled, and a passage that many documents share
-    costs a row each. Items of fewer than ``least_words`` words are not looked for: with one, a document that has the only word of
-    an item contains it.
+    costs a row each. A task holds all hits of a document at once, so a hit has the words around it, not those of the whole document,
+    and stands for all windows that share its seed. Items of fewer than ``least_words`` words are not looked for: with one, a document
+    that has the only word of an item contains it.
 
     Defined cases: NULL and empty texts contain nothing. Documents that share a doc_id, or items that share an item_id,
     are reported as one, and NULL ids as one. Equal items are found each. Extra columns are ignored.
@@ -69,36 +70,51 @@ def find_leaks(
     items = scratch.store(items.select("item_id", F.xxhash64("item_id", "item", "part").alias("number"), part.alias("item"), "compared"), "items")
     masks = {size: mask(size) for size in sorted(items.agg(F.collect_set("compared")).first()[0])}
     unequal = F.floor(F.col("compared") * (100 - EQUAL) / 100).cast("int")
-    n_seeds = items.agg(F.sum((F.size("item") - F.col("compared") + 1) * (unequal + 1))).first()[0] or 0
+    # A window has a seed at its first word and at as many next ones as it may have unequal words.
+    n_seeds = items.agg(F.sum(F.size("item") - F.col("compared") + 1 + unequal)).first()[0] or 0
     blocks = max(1, -(-n_seeds // SEEDS_PER_BLOCK))
     kinds = sorted(set(masks.values())) or [mask(LEAST_WORDS)]
     least = min(map(len, kinds))
 
-    source = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words")).filter(F.size("words") >= least)
-    starts = source.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - least)))
+    source = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("words"))
+    # Not a filter, for which Spark would look for the words once more.
+    places = F.when(F.size("words") >= least, F.sequence(F.lit(0), F.size("words") - least))
+    starts = source.withColumn("at", F.explode(places))
     hashed = starts.select("doc_id", "words", "at", F.stack(F.lit(len(kinds)), *[_seed(kind, "words", F.col("at")) for kind in kinds]).alias("seed"))
     found = []
     for block in range(blocks):
         own = items.filter(F.pmod("number", F.lit(blocks)) == block)
-        firsts = own.withColumn("first", F.explode(F.sequence(F.lit(0), F.size("item") - F.col("compared"))))
-        places = firsts.withColumn("place", F.explode(F.sequence(F.col("first"), F.col("first") + unequal)))
+        last_place = F.size("item") - F.col("compared") + unequal
+        seeds = own.withColumn("place", F.explode(F.sequence(F.lit(0), last_place)))
         seed = F.coalesce(*[F.when(F.col("compared") == size, _seed(kind, "item", F.col("place"))) for size, kind in masks.items()], F.lit(None))
-        seeds = places.select("number", "place", "first", seed.alias("seed"))
-        hits = hashed.join(F.broadcast(seeds), "seed").join(F.broadcast(own), "number")
-        found.append(hits.select("doc_id", "item_id", "words", "item", "compared", "at", "place", "first"))
+        seeds = seeds.select("number", "place", "compared", seed.alias("seed"))
+        hits = hashed.join(F.broadcast(seeds), "seed")
+        # The words of all windows that have this seed; none of them begins more than the allowed unequal words before it.
+        begin = F.greatest(F.lit(0), F.col("at") - unequal)
+        around = F.slice("words", begin + 1, F.col("at") - begin + F.col("compared"))
+        hits = hits.select("doc_id", "number", "place", "at", begin.alias("begin"), around.alias("around"))
+        hits = hits.join(F.broadcast(own), "number")
+        firsts = F.sequence(F.greatest(F.lit(0), F.col("place") - unequal), F.least("place", F.size("item") - F.col("compared")))
+        best = F.array_max(F.transform(firsts, _window_from)).alias("best")
+        found.append(hits.select("doc_id", "item_id", best))
     hits = found[0]
     for more in found[1:]:
         hits = hits.union(more)
-    windows = hits.withColumn("doc_start", F.col("at") - F.col("place") + F.col("first"))
+    verified = hits.filter(F.col("best.matched") * 100 >= F.col("best.compared") * EQUAL)
+    best = F.max("best").alias("best")
+    told = verified.groupBy("doc_id", "item_id").agg(best)
+    return told.select("doc_id", "item_id", "best.matched", "best.compared", (-F.col("best.start")).alias("doc_start"))
+
+
+def _window_from(first: Column) -> Column:
+    """The item's window from ``first``, put where a hit says, as (matched, start, compared); ``start`` is negative for the first to be the best."""
+    doc_start = F.col("at") - F.col("place") + first
     equal = F.aggregate(
         F.sequence(F.lit(0), F.col("compared") - 1),
         F.lit(0),
-        lambda n, i: n + F.coalesce((_word("words", F.col("doc_start") + i) == _word("item", F.col("first") + i)).cast("int"), F.lit(0)),
+        lambda n, i: n + F.coalesce((_word("around", doc_start - F.col("begin") + i) == _word("item", first + i)).cast("int"), F.lit(0)),
     )
-    verified = windows.withColumn("matched", equal).filter(F.col("matched") * 100 >= F.col("compared") * EQUAL)
-    best = F.max(F.struct("matched", (-F.col("doc_start")).alias("start"), "compared")).alias("best")
-    told = verified.groupBy("doc_id", "item_id").agg(best)
-    return told.select("doc_id", "item_id", "best.matched", "best.compared", (-F.col("best.start")).alias("doc_start"))
+    return F.struct(equal.alias("matched"), (-doc_start).alias("start"), F.col("compared").alias("compared"))
 
 
 def _word(words: str, place: Column) -> Column:
