@@ -222,3 +222,14 @@ def test_crowds_give_the_heavy_keys_of_several_joins(spark):
     for left, right, rows, names in ((one, two, None, ("a", "b")), (two, one, "n", ("c", "a"))):
         expected = sorted(map(tuple, heavy_keys(left, right, ["k"], 3, rows).collect()))
         assert sorted(map(tuple, slices_of(found, ["k"], *names, 3).collect())) == expected != []
+
+
+def test_full_outer_join_holds_no_product_of_a_key(spark):
+    """Spark's own full join keeps all pairs of a key in a task's memory until the last one is made."""
+    left = spark.range(400).select(F.when(F.col("id") < 300, "hot").otherwise("left").alias("k"), F.col("id").alias("x"))
+    right = spark.range(400).select(F.when(F.col("id") < 300, "hot").otherwise("right").alias("k"), F.col("id").alias("u"))
+    for heavy in (None, heavy_keys(left, right, ["k"], least_rows=50)):
+        joined = full_outer_join(left, right, ["k"], heavy)
+        assert "FullOuter" not in joined._jdf.queryExecution().optimizedPlan().toString()
+        counts = {(r.in_left, r.in_right): r["count"] for r in joined.groupBy("in_left", "in_right").count().collect()}
+        assert counts == {(True, True): 90_000, (True, False): 100, (False, True): 100}
