@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +109,21 @@ def test_tables_are_compressed_as_hashes_need_it(spark, tmp_path):
     stored = write_table(spark.range(20_000).selectExpr("md5(CAST(id AS STRING)) AS k"), str(tmp_path), "t")
     assert stored.count() == 20_000
     assert sum(file.stat().st_size for file in (tmp_path / "t").rglob("*.parquet")) < 20_000 * 32 * 0.75
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_path):
+    def shuffled():
+        files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.endswith(".data")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting_before = shuffled(), spark.conf.get(setting)
+    stored = write_table(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), str(tmp_path), "t")
+    write_table(stored.repartition("k"), str(tmp_path), "t")
+    for _ in range(50):  # files go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert spark.conf.get(setting) == setting_before
+    assert read_table(spark, str(tmp_path), "t").count() == 7
