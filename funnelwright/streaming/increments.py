@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from funnelwright.operators.cleaning import count_invalid
 from funnelwright.plans.jobs import INVALID, PARQUET_EXPANSION, conform_leads, conform_reports
 from funnelwright.plans.sizing import sized_for_bytes
-from funnelwright.sources.files import SOURCE_FILE, SOURCE_TIME, read_csv_files, read_parquet_files
+from funnelwright.sources.files import CSV_FILES, SOURCE_FILE, SOURCE_TIME, read_csv_files, read_parquet_files, unpacked_bytes
 from funnelwright.sources.tables import last_batch, read_table, write_batch
 from funnelwright.specs import SPECS, TableSpec
 
@@ -45,7 +45,7 @@ def increment_reports(
         stored = write_batch(_with_source(conformed), out, "reports", number)
         write_batch(count_invalid(stored, INVALID), out, INVALID_VALUES, number)
 
-    return _take_new_files(spark, folder, "*.csv", out, "reports", ingest, files_per_batch)
+    return _take_new_files(spark, folder, CSV_FILES, out, "reports", ingest, files_per_batch)
 
 
 def increment_leads(
@@ -83,7 +83,7 @@ def _take_new_files(
         files = batch.select("path", "length").collect()  # at most files_per_batch
         paths = sorted(row.path for row in files if row.length)
         if paths:
-            with sized_for_bytes(batch.sparkSession, sum(row.length for row in files), expansion):
+            with sized_for_bytes(batch.sparkSession, sum(unpacked_bytes(row.path, row.length) for row in files), expansion):
                 ingest(batch.sparkSession, paths, number)
 
     listed = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", glob)

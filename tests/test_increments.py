@@ -1,3 +1,4 @@
+import gzip
 import random
 from collections import Counter
 
@@ -210,3 +211,13 @@ def test_a_step_that_dies_is_done_again(spark, tmp_path, monkeypatch):
     write_batch(spark.sql(f"SELECT {conformed}"), step1, "reports", 1)
     assert increment_model(spark, step1, out).first().Total_Delivered_Leads == 4
     assert increment_model(spark, step1, out).first().Total_Delivered_Leads == 4
+
+
+def test_compressed_files_are_taken_too(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    put(source, "a.csv", report(1))
+    increment_reports(spark, str(source), out)
+    (source / "b.csv.gz").write_bytes(gzip.compress("\n".join([HEADER, report(2), report(2), report(3)]).encode()))
+    found = increment_reports(spark, str(source), out)
+    assert sorted(row.source_file.rsplit("/", 1)[-1] for row in found.collect()) == ["a.csv", "b.csv.gz", "b.csv.gz"]

@@ -1,3 +1,4 @@
+import gzip
 from collections import Counter
 
 import pytest
@@ -143,3 +144,22 @@ def test_header_lines_of_many_files_are_read_by_tasks(spark, tmp_path, monkeypat
     monkeypatch.setattr(files, "_OPENED_BY_DRIVER", 10)
     monkeypatch.setattr(files, "_lines_read_by_driver", None)
     assert records(read_csv_folder(spark, str(tmp_path), get_spec("reports"))) == by_driver
+
+
+def test_compressed_csv_files(spark, tmp_path):
+    def pack(name, text):
+        (tmp_path / name).write_bytes(gzip.compress(text.encode()))
+        return str(tmp_path / name)
+
+    put(tmp_path, "a.csv", "CITY,Set\nRome,1\n")
+    paths = [pack("b.csv.gz", "CityName,Set\nBari,0\n"), pack("c.csv.gz", "CITY,Set\r\nGrößen,1\r\n"), pack("d.csv.gz", "")]
+    put(tmp_path, "e.csv.gz", "")
+    put(tmp_path, "f.csv.old", "CITY\nnot this\n")
+    headers = files._lines_read_by_driver(spark, [*paths, str(tmp_path / "e.csv.gz")])
+    assert headers == files._lines_read_by_tasks(spark, [*paths, str(tmp_path / "e.csv.gz")]) == ["CityName,Set", "CITY,Set", None, None]
+    merged = read_csv_folder(spark, str(tmp_path), get_spec("reports"))
+    expected = expect({"CITY": "Rome", "Set": "1"}, {"CITY": "Bari", "Set": "0"}, {"CITY": "Größen", "Set": "1"})
+    assert records(merged) == expected
+    assert merged.select(SOURCE_FILE).distinct().count() == 3
+    sizes = [file.stat().st_size * (3 if file.suffix == ".gz" else 1) for file in tmp_path.iterdir() if file.name != "f.csv.old"]
+    assert files.csv_bytes(spark, str(tmp_path)) == sum(sizes)
