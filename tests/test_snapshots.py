@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from funnelwright.sources import read_table
 from funnelwright.sources.files import SOURCE_FILE, read_csv_folder
 from verification.fixture import raw_snapshots, snapshot_lines, snapshots_of
-from verification.queries import _csv_snapshots_in_turn
+from verification.queries import _csv_snapshots_in_turn, _write_csv_snapshots
 
 
 def _tables(spark, folder):
@@ -48,3 +48,12 @@ def test_rows_move_as_lines_and_copies_share_a_file(spark, tmp_path):
 def test_lines_hold_the_customer_once(spark, tmp_path):
     """The key of the join is in both of its tables, and a line needs it once."""
     assert not {"o_custkey", "c_custkey"} <= set(snapshot_lines(spark, _tables(spark, tmp_path)).columns)
+
+
+def test_snapshots_are_compressed_and_their_lines_go(spark, tmp_path):
+    folder, out = _tables(spark, tmp_path / "in"), tmp_path / "out"
+    assert _write_csv_snapshots(spark, folder, str(out)) == f"{out}/snapshot-*"
+    assert sorted(entry.name for entry in out.iterdir()) == ["snapshot-A", "snapshot-N", "snapshot-R"]
+    assert {file.name.split(".", 1)[1] for file in out.glob("*/part-*")} == {"csv.gz"}
+    found, expected = read_csv_folder(spark, f"{out}/snapshot-*"), raw_snapshots(spark, folder)
+    assert found.count() == expected.filter("snapshot IS NOT NULL").count() > 0
